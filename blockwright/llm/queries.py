@@ -33,6 +33,14 @@ def op1_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conversation_digest(format_conversations(conversation_messages(talk.unionByName(extra))))
 
 
+def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from blockwright.llm.langid import fit, is_training, predict_languages
+
+    docs = _docs(spark, sf_dir, "lang")
+    found = predict_languages(docs, fit(docs))
+    return found.select("doc_id", (~is_training(F.col("doc_id"))).alias("held_out"), "lang_pred", "score")
+
+
 def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     from blockwright.llm.jaccard import jaccard_components
 
@@ -45,12 +53,41 @@ def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_round_trip(_docs(spark, sf_dir), tokenizer_path())
 
 
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from blockwright.llm.toxicity import fit, is_held_out, score_toxicity
+
+    docs = _docs(spark, sf_dir, "lang")
+    model = fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id", "toxic"))
+    return score_toxicity(docs, model).select("doc_id", is_held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
+
+
 def op6_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     from blockwright.llm.tokenstore import read_token_blocks, write_token_blocks
 
     return read_token_blocks(write_token_blocks(_docs(spark, sf_dir), tokenizer_path(), end_id=2))
 
 
+def op7_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from blockwright.llm.fingerprint import fingerprint_neighbours
+
+    return fingerprint_neighbours(_docs(spark, sf_dir))
+
+
+def op8_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from blockwright.llm.lm import is_training, score, train
+
+    docs = _docs(spark, sf_dir)
+    model, counts = train(docs.where(is_training(F.col("doc_id"))))
+    found = score(docs, model, counts)
+    return found.select("doc_id", (~is_training(F.col("doc_id"))).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
+def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from blockwright.llm.decontam import contaminated
+
+    return contaminated(_docs(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet").select("item_id", "text"))
+
+
 def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     from blockwright.llm.secrets import BASE, find_secrets
 
@@ -69,9 +106,14 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_chat_formatting": op1_chat_formatting,
+    "op2_language_id": op2_language_id,
     "op3_jaccard_join": op3_jaccard_join,
     "op4_bpe": op4_bpe,
+    "op5_toxicity": op5_toxicity,
     "op6_token_store": op6_token_store,
+    "op7_fingerprints": op7_fingerprints,
+    "op8_lm_scoring": op8_lm_scoring,
+    "op9_decontamination": op9_decontamination,
     "op10_secrets": op10_secrets,
 }
 
