@@ -15,6 +15,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from blockwright.llm.shared import with_text
 
@@ -189,7 +190,8 @@ def _predicted(model: Model | None):
     return run
 
 
-def predict_languages(docs: DataFrame, model: Model | None) -> DataFrame:
-    """doc_id, text, lang_pred, score for each row of ``docs``, in place. A null text or one without a letter is ``und`` with score 0;
+def predict_languages(docs: DataFrame, model: Model | None, keep: tuple[str, ...] | list[str] = ("doc_id", "text")) -> DataFrame:
+    """The columns ``keep`` (text among them), lang_pred and score for each row of ``docs``, in place. A null text or one without a letter is ``und`` with score 0;
     so is every text if there was nothing to learn from."""
-    return with_text(docs).mapInArrow(_predicted(model), "doc_id long, text string, lang_pred string, score double")
+    rows = docs.select(*keep)
+    return rows.mapInArrow(_predicted(model), T.StructType([*rows.schema.fields, T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())]))

@@ -9,7 +9,6 @@ rule, backward then forward, give the leftmost longest span around each.
 
 from __future__ import annotations
 
-import hashlib
 import re._constants as sre
 import re._parser as sre_parser
 from collections.abc import Iterator
@@ -334,5 +333,27 @@ def find_secrets(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
     return with_text(docs).mapInArrow(_scan(rules), "doc_id long, text string, secret_spans array<struct<kind:string,start:bigint,end:bigint>>")
 
 
-def digests(spans: list[tuple[str, int, int]]) -> str:
-    return hashlib.sha256(",".join(f"{k}:{s}:{e}" for k, s, e in spans).encode()).hexdigest()
+def _redact(rules: tuple[Rule, ...]):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found = scanner(rules)
+        for batch in batches:
+            column = batch.schema.get_field_index("text")
+            data, offsets = text_bytes(batch.column(column))
+            texts = []
+            for text, low, spans in zip(batch.column(column), offsets[:-1].tolist(), found.spans(data, offsets), strict=True):
+                value, at, out = text.as_py(), 0, []
+                if spans:
+                    for s, r, e in _points(data, low, spans):
+                        if s >= at:
+                            out.append(value[at:s] + f"[{rules[r].kind}]")
+                        at = max(at, e)
+                    value = "".join(out) + value[at:]
+                texts.append(value)
+            yield batch.set_column(column, "text", pa.array(texts, pa.string()))
+
+    return run
+
+
+def redacted(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
+    """``docs`` with each secret in ``text`` replaced by its kind in brackets; overlapping spans become one. Null texts stay null."""
+    return docs.mapInArrow(_redact(rules), docs.schema)
