@@ -1,15 +1,72 @@
-"""Five stages over ``documents``; each reads what the stage before it has written."""
+"""Five stages over ``documents``: language ID, near duplicates, benchmark passages, secrets, BPE.
+
+Each stage takes (spark, docs, sf_dir) and gives all rows its decisions leave; ``check`` tools and ``run`` write each
+stage's rows and read them again before the next. All but the last return the columns of documents.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from blockwright.llm.bpe import bpe_round_trip
+from blockwright.llm.decontam import contaminated
+from blockwright.llm.jaccard import jaccard_components
+from blockwright.llm.langid import fit, predict_languages
+from blockwright.llm.queries import tokenizer_path
+from blockwright.llm.secrets import redacted
+from blockwright.llm.shared import written
+
+#: A text whose best language is less likely than this is no text of a known language.
+LEAST_LANGUAGE_SCORE = 0.5
+COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
+
+
+def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose language is ``und`` or too unlikely go; the others keep their row, with ``lang`` filled in where it was null."""
+    key = docs.select(*COLUMNS)
+    found = predict_languages(key, fit(key), keep=COLUMNS)
+    keep = (F.col("lang_pred") != "und") & (F.col("score") >= LEAST_LANGUAGE_SCORE)
+    return found.where(keep).withColumn("lang", F.coalesce("lang", "lang_pred")).select(*COLUMNS)
+
+
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies stays, the one with the smallest doc_id (five words a shingle, similarity 0.8)."""
+    found = jaccard_components(docs, words=5, num=80, den=100)
+    stay = found.where("doc_id = component_id").select("doc_id").distinct()
+    return docs.select(*COLUMNS).dropDuplicates(["doc_id"]).join(stay, "doc_id", "left_semi").select(*COLUMNS)
+
+
+def drop_benchmark_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold a passage of a benchmark item go."""
+    pairs = contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet").select("item_id", "text"))
+    return docs.select(*COLUMNS).join(written(pairs.select("doc_id").distinct(), "leaks"), "doc_id", "left_anti").select(*COLUMNS)
+
+
+def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every secret becomes ``[kind]``; n_chars follows."""
+    return redacted(docs.select(*COLUMNS)).withColumn("n_chars", F.length("text").cast("long")).select(*COLUMNS)
+
+
+def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """doc_id, n_tokens, ids_sha256 and decoded_sha256 of each text."""
+    return bpe_round_trip(docs, tokenizer_path())
+
+
+STAGES = [
+    ("language_id", identify_language),
+    ("jaccard_join", drop_near_duplicates),
+    ("decontamination", drop_benchmark_passages),
+    ("secrets", redact_secrets),
+    ("bpe", encode),
+]
 
-STAGES: list = []
+#: SQL can't express the classifier, the aligner and the encoder: the stages are tested against brute-force versions.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
+    for name, stage in STAGES:
+        docs = written(stage(spark, docs, sf_dir), f"stage-{name}")
     return docs
