@@ -176,7 +176,8 @@ def jaccard_components(docs: DataFrame, words: int = 5, num: int = 80, den: int
     wide = near.where((F.col("m") > PAIRS_UP_TO) & (F.col("id") > F.col("hub"))).select(F.col("id").alias("u"), F.col("hub").alias("v"))
     blocks = written(components(wide), "blocks")
     needed = pairs.select(F.col("u").alias("doc_id")).union(pairs.select("v")).union(blocks.select("node")).distinct()
-    sets = written(src.join(needed, "doc_id", "left_semi").select("doc_id", "text").mapInArrow(_sets(words), "id long, s array<long>").dropDuplicates(["id"]), "sets")
+    # by a merge join at every size: the ids grow with the documents, so no size of theirs is a bound for a broadcast
+    sets = written(src.join(needed.hint("merge"), "doc_id", "left_semi").select("doc_id", "text").mapInArrow(_sets(words), "id long, s array<long>").dropDuplicates(["id"]), "sets")
     left, right = sets.select(F.col("id").alias("u"), F.col("s").alias("a")), sets.select(F.col("id").alias("v"), F.col("s").alias("b"))
     both = pairs.join(left, "u").join(right, "v").where(den * F.least(F.size("a"), F.size("b")) >= num * F.greatest(F.size("a"), F.size("b")))
     shared = both.select("u", "v", F.size("a").alias("x"), F.size("b").alias("y"), F.size(F.array_intersect("a", "b")).alias("o"))
