@@ -46,10 +46,13 @@ class Memo(dict):
         super().__init__()
         self.make, self.most, self.old = make, most, {}
 
-    def __missing__(self, key: str) -> bytes:
+    def make_room(self) -> None:
         if len(self) >= self.most:
             self.old = dict(self)
             self.clear()
+
+    def __missing__(self, key: str) -> bytes:
+        self.make_room()
         found = self.old.get(key)
         if found is None:
             found = self.make(key)
@@ -152,10 +155,27 @@ class LibraryPieces(BytePairs):
         self.library.no_padding()
         self.special = {t.content: i for i, t in self.library.get_added_tokens_decoder().items()}
         self.cut = regex.compile("(" + "|".join(map(regex.escape, sorted(self.special, key=len, reverse=True))) + ")") if self.special else None
+        self.stops = {c: self._library([c])[0] for c in ".,"}
         self.pieces = Memo(self._piece)
 
+    def _library(self, pieces: list[str]) -> list[bytes]:
+        return [np.array(e.ids, "<u4").tobytes() for e in self.library.encode_batch_fast(pieces, add_special_tokens=False)]
+
     def _piece(self, piece: str) -> bytes:
-        return np.array(self.library.encode(piece, add_special_tokens=False).ids, "<u4").tobytes()
+        if piece[-1:] in self.stops and piece[-2:-1].isalpha():
+            return self.pieces[piece[:-1]] + self.stops[piece[-1]]
+        return self._library([piece])[0]
+
+    def encode_many(self, texts: list[str]) -> list[bytes]:
+        """All texts, the pieces that the memo lacks in one call of the library."""
+        self.pieces.make_room()
+        cut = [t.replace(" ", "\0 ").replace("\n", "\0\n\0").split("\0") if t and evenly_spaced(t) and not (self.cut and self.cut.search(t)) else None for t in texts]
+        lacking = set().union(*[c for c in cut if c]).difference(self.pieces)
+        bare = {p[:-1] if p[-1:] in self.stops and p[-2:-1].isalpha() else p for p in lacking}
+        bare = [p for p in bare if p not in self.pieces.old and p not in self.pieces]
+        for p, ids in zip(bare, self._library(bare), strict=True):
+            self.pieces[p] = ids
+        return [b"".join(map(self.pieces.__getitem__, c)) if c else self.encode(t) for t, c in zip(texts, cut, strict=True)]
 
 
 @lru_cache(4)

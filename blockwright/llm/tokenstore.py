@@ -25,6 +25,8 @@ from blockwright.llm.shared import with_text, written
 CHUNK_BITS = 8
 BLOCK_IDS = 1 << 20
 DOCS_A_RANGE = 4000
+ROWS_AT_ONCE = 256
+BROADCAST_BLOCKS = 200_000
 _HEAD = struct.Struct("<4sBBIQ")
 
 
@@ -105,11 +107,13 @@ def _encoded(path: str, end_id: int, cuts: np.ndarray):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         library = encoder(path, LibraryPieces)
         end = np.array([end_id], "<u4").tobytes()
-        for batch in batches:
-            found = [library.encode(x.as_py() or "") + end for x in batch.column("text")]
-            ids = batch.column("doc_id")
-            place = np.searchsorted(cuts, ids.fill_null(-(1 << 63)).to_numpy(), "left")
-            yield pa.RecordBatch.from_pydict({"doc_id": ids, "range": pa.array(place, pa.int64()), "packed": pa.array([pack([0], [np.frombuffer(x, "<u4")]) for x in found], pa.binary())})
+        for whole in batches:
+            for low in range(0, whole.num_rows, ROWS_AT_ONCE):
+                batch = whole.slice(low, ROWS_AT_ONCE)
+                ids = batch.column("doc_id")
+                place = np.searchsorted(cuts, ids.fill_null(-(1 << 63)).to_numpy(), "left")
+                packed = [pack([0], [np.frombuffer(x + end, "<u4")]) for x in library.encode_many([x.as_py() or "" for x in batch.column("text")])]
+                yield pa.RecordBatch.from_pydict({"doc_id": ids, "range": pa.array(place, pa.int64()), "packed": pa.array(packed, pa.binary())})
 
     return run
 
@@ -164,8 +168,11 @@ def read_token_blocks(blocks: DataFrame) -> DataFrame:
     Null texts count as empty and hold the end id alone; rows without doc_id come first. The ids before a range are
     summed over one number a range, those before a block over the blocks of its range.
     """
-    inside = F.coalesce(F.sum("n_ids").over(Window.partitionBy("range").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    spans = Window.partitionBy("range").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    inside = blocks.select("range", "block", F.coalesce(F.sum("n_ids").over(spans), F.lit(0)).alias("inside"))
     totals = blocks.groupBy("range").agg(F.sum("n_ids").alias("total"))
     before = totals.select("range", F.coalesce(F.sum("total").over(Window.orderBy("range").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("before"))
-    placed = blocks.select("range", "block", "content", inside.alias("inside")).join(before, "range")
-    return placed.select((F.col("before") + F.col("inside")).alias("start"), "content").mapInArrow(_read, "doc_id long, start long, n_tokens long, ids_crc32 long")
+    starts = inside.join(before, "range").select("range", "block", (F.col("before") + F.col("inside")).alias("start"))
+    if blocks.limit(BROADCAST_BLOCKS + 1).count() <= BROADCAST_BLOCKS:  # three numbers a block; beyond that the blocks are joined by a shuffle
+        starts = F.broadcast(starts)
+    return blocks.select("range", "block", "content").join(starts, ["range", "block"]).select("start", "content").mapInArrow(_read, "doc_id long, start long, n_tokens long, ids_crc32 long")
