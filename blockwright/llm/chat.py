@@ -83,6 +83,7 @@ def chosen_paths(messages: DataFrame, top: int | None = 1) -> DataFrame:
         leaves = leaves.where(F.col("rank") <= top)
     on_path = leaves.select("tree_id", "rank", "leaf", "message_id")
     for level in nodes.levels:  # after k levels a path holds the 2^k messages above its leaf
+        on_path = written(on_path, "paths")
         on_path = on_path.unionByName(on_path.join(level, ["tree_id", "message_id"]).select("tree_id", "rank", "leaf", F.col("up").alias("message_id")))
     return on_path.join(nodes.select("tree_id", "message_id", "depth", "role", "text"), ["tree_id", "message_id"])
 
