@@ -34,7 +34,7 @@ def with_counterparty(fills: DataFrame) -> DataFrame:
 
 def outcome_fills(fills: DataFrame) -> DataFrame:
     """Fills of outcome markets with their outcome and side numbers; needs with_market and with_counterparty."""
-    n = F.substring("coin", 2, 40).cast("decimal(20,0)")
+    n = F.substring("coin", 2, 40).try_cast("decimal(20,0)")
     rows = fills.where("market_type = 'outcome'").withColumns({"outcome_id": F.floor(n / 10).cast("long"), "side_index": (n % 10).cast("long")})
     return rows.drop(*OUTCOME_LEFT_OUT, "counterparty_direction", "counterparty_fill_index")
 
