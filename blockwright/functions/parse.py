@@ -124,7 +124,7 @@ def exact_decimal(c: Column, scale: int = 10) -> Column:
 def canonical_text(value: Column) -> Column:
     """A decimal's shortest plain text: no trailing zeros, no trailing point."""
     t = F.regexp_replace(F.format_string("%s", value.cast("string")), r"(\.[0-9]*?)0+$", "$1")
-    return F.when(value == 0, "0").otherwise(F.regexp_replace(t, r"\.$", ""))
+    return F.when(value == 0, "0").when(value.isNotNull(), F.regexp_replace(t, r"\.$", ""))
 
 
 def base_units(coins: Column, places: int = 8) -> Column:

@@ -58,12 +58,21 @@ def changelog_writer(root: str, key: list[str], append: Callable[[DataFrame, Dat
     return write
 
 
-def routing_day(blocks: DataFrame, seed: str | None = None) -> DataFrame:
-    """Each block's day from its own time, else the last known time before it, else the first known after it, else ``seed``."""
-    w = Window.orderBy("block_num")
-    known = F.last("ts", ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, 0))
-    later = F.first("ts", ignorenulls=True).over(w.rowsBetween(0, Window.unboundedFollowing))
-    return blocks.withColumn("date", F.to_date(F.coalesce(known, later, F.lit(seed).cast("timestamp"))))
+def routing_day(blocks: DataFrame, seed: str | None = None, width: int = 100_000) -> DataFrame:
+    """Each block's day from its own time, else the last known time before it, else the first known after it, else ``seed``.
+
+    Windows stay inside ranges of heights; between ranges only one row each is carried on.
+    """
+    keyed = blocks.withColumn("_bucket", F.floor(F.col("block_num") / width))
+    w = Window.partitionBy("_bucket").orderBy("block_num")
+    inside = keyed.withColumns({"_known": F.last("ts", ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, 0)), "_later": F.first("ts", ignorenulls=True).over(w.rowsBetween(0, Window.unboundedFollowing))})
+    at = F.when(F.col("ts").isNotNull(), F.col("block_num"))
+    ends = keyed.groupBy("_bucket").agg(F.max_by("ts", at).alias("_last"), F.min_by("ts", at).alias("_first"))
+    over = Window.orderBy("_bucket")  # one row for each range of heights
+    ends = ends.select("_bucket", F.last("_last", ignorenulls=True).over(over.rowsBetween(Window.unboundedPreceding, -1)).alias("_before"), F.first("_first", ignorenulls=True).over(over.rowsBetween(1, Window.unboundedFollowing)).alias("_after"))
+    out = inside.join(ends, "_bucket", "left")
+    day = F.to_date(F.coalesce("_known", "_before", "_later", "_after", F.lit(seed).cast("timestamp")))
+    return out.withColumn("date", day).drop("_bucket", "_known", "_later", "_before", "_after")
 
 
 def observed(df: DataFrame, name: str) -> DataFrame:
