@@ -163,7 +163,7 @@ def q10(spark, d):
     return all_.groupBy("root").agg(F.count("*").alias("receipts"), F.count_if(F.col("node") % 7 == 0).alias("failed"))
 
 
-@query("j12_last_in_chain", "WITH RECURSIVE w AS (SELECT node, node AS cur, next, 0::BIGINT AS depth FROM tree UNION ALL SELECT w.node, t.node, t.next, w.depth + 1 FROM w JOIN tree t ON t.node = w.next) SELECT node, CASE WHEN arg_max(next, depth) IS NULL AND max(depth) = max(depth) FILTER (WHERE next IS NULL) THEN arg_max(cur, depth) END AS last FROM w GROUP BY node")
+@query("j12_last_in_chain", "WITH RECURSIVE w AS (SELECT node, node AS cur, next, 0::BIGINT AS depth FROM tree UNION ALL SELECT w.node, t.node, t.next, w.depth + 1 FROM w JOIN tree t ON t.node = w.next) SELECT node, max(cur) FILTER (WHERE next IS NULL) AS last FROM w GROUP BY node")
 def j12(spark, d):
     return joins.last_in_chain(adapted(spark, d, "tree").select("node", "next")).select("node", "last")
 
@@ -717,3 +717,65 @@ def l2(spark, d):
 @query("l3_order_breaks", "SELECT count(*) AS n FROM (SELECT l_orderkey, l_partkey, lag(l_orderkey) OVER (ORDER BY file_row_number) AS po, lag(l_partkey) OVER (ORDER BY file_row_number) AS pp FROM (SELECT *, row_number() OVER () AS file_row_number FROM lineitem)) WHERE po > l_orderkey OR (po = l_orderkey AND pp >= l_partkey)")
 def l3(spark, d):
     return layout.order_breaks(read(spark, d, "lineitem"), ["l_orderkey", "l_partkey"]).agg(F.count("*").alias("n"))
+
+
+# ---- family specs over nested blocks ----
+def order_blocks(spark, d):
+    """Orders as blocks, their lines as transactions with logs, calls and inputs."""
+    li = read(spark, d, "lineitem").selectExpr("l_orderkey AS block_num", "named_struct('hash', concat('t', l_partkey), 'txid', concat('t', l_partkey), 'line', l_linenumber, 'receipt', named_struct('logs', array(named_struct('address', concat('s', l_suppkey), 'topics', array(l_returnflag, l_linestatus)))), "
+                                               "'vin', array(named_struct('prev_txid', concat('t', l_suppkey)), named_struct('prev_txid', null)), 'calls', array(named_struct('index', 0, 'balance_changes', array(named_struct('address', 'a', 'ordinal', l_partkey))))) AS t")
+    return li.groupBy("block_num").agg(F.sort_array(F.collect_list("t")).alias("transactions")).withColumn("tx", F.col("transactions"))
+
+
+@query("f_evm_logs", "SELECT l_orderkey AS block_num, 't' || l_partkey AS tx_hash, 's' || l_suppkey AS address, l_returnflag AS topic0, l_linestatus AS topic1, 0::BIGINT AS log_index FROM lineitem")
+def f_evm(spark, d):
+    from blockwright.plans.specs import flatten_family
+
+    return flatten_family(order_blocks(spark, d), "evm", only={"logs"})["logs"].select("block_num", "tx_hash", "address", "topic0", "topic1", "log_index")
+
+
+@query("f_evm_balance_changes", "SELECT l_orderkey AS block_num, 't' || l_partkey AS tx_hash, 0::BIGINT AS call_index, l_partkey AS ordinal FROM lineitem")
+def f_evm_changes(spark, d):
+    from blockwright.plans.specs import flatten_family
+
+    return flatten_family(order_blocks(spark, d), "evm", only={"balance_changes"})["balance_changes"].select("block_num", "tx_hash", "call_index", "ordinal")
+
+
+@query("f_bitcoin_inputs", "SELECT l_orderkey AS block_num, i AS input_index, 't' || l_partkey AS tx_hash, CASE i WHEN 0 THEN 't' || l_suppkey END AS prev_txid FROM lineitem, range(0, 2) t(i)")
+def f_bitcoin(spark, d):
+    from blockwright.plans.specs import flatten_family
+
+    return flatten_family(order_blocks(spark, d).drop("transactions"), "bitcoin", only={"inputs"})["inputs"].select("block_num", "input_index", "tx_hash", "prev_txid")
+
+
+@query("g5_sweep", "WITH known AS (SELECT entity, arg_max(listed, observed_at) AS listed, arg_max(level IS NOT NULL, observed_at) AS settled FROM log GROUP BY 1) SELECT entity, 0::BIGINT AS priority FROM known WHERE listed AND entity % 5 = 0 UNION ALL SELECT entity, 1 FROM known WHERE entity % 5 <> 0 AND NOT settled UNION ALL SELECT i, 2 FROM range(0, (SELECT max(entity) + 4 FROM log)) t(i) WHERE i NOT IN (SELECT entity FROM log)")
+def g5(spark, d):
+    log = adapted(spark, d, "log").withColumn("settled", F.col("level").isNotNull())
+    snapshot = log.where("entity % 5 <> 0").select("entity").distinct()
+    return G.sweep_candidates(log, snapshot, "entity", "settled", ahead=3)
+
+
+@query("o4_global_order", "SELECT 'log' AS kind, l_orderkey AS block_num, l_partkey AS ordinal FROM lineitem UNION ALL SELECT 'change', o_orderkey, o_custkey FROM orders")
+def o4(spark, d):
+    a = read(spark, d, "lineitem").select(F.lit("log").alias("kind"), F.col("l_orderkey").alias("block_num"), F.col("l_partkey").alias("ordinal"))
+    b = read(spark, d, "orders").select(F.lit("change").alias("kind"), F.col("o_orderkey").alias("block_num"), F.col("o_custkey").alias("ordinal"))
+    return a.unionByName(b).orderBy("block_num", "ordinal", "kind")
+
+
+@query("q16_index_expansion", "SELECT doc_id, i AS place, list_value('a', 'b', 'c')[i + 1] AS account FROM documents, range(0, 3) t(i) WHERE i <= doc_id % 3")
+def q16(spark, d):
+    keys = F.array(F.lit("a"), F.lit("b"), F.lit("c"))
+    rows = read(spark, d, "documents").select("doc_id", F.posexplode(F.sequence(F.lit(0), (F.col("doc_id") % 3).cast("int"))).alias("place", "i"))
+    return rows.select("doc_id", "place", F.get(keys, F.col("i")).alias("account"))
+
+
+@query("q8_system_contracts", "SELECT e.event_id, r.lo AS call FROM events e JOIN (SELECT DISTINCT event_id - event_id % 100 AS lo FROM events) r ON e.event_id BETWEEN r.lo AND r.lo + 9")
+def q8(spark, d):
+    e = read(spark, d, "events").select("event_id", F.floor(F.col("event_id") / 1000).alias("block"))
+    calls = e.select("block", (F.col("event_id") - F.col("event_id") % 100).alias("lo")).distinct().withColumn("hi", F.col("lo") + 9)
+    return joins.band_join(e, calls, ["block"], "event_id", "lo", "hi").select("event_id", F.col("lo").alias("call"))
+
+
+@query("q13_exact_satoshis", "SELECT l_orderkey, sum(CAST(round(l_quantity, 2) * 100 AS BIGINT))::BIGINT AS sats FROM lineitem GROUP BY 1")
+def q13(spark, d):
+    return read(spark, d, "lineitem").groupBy("l_orderkey").agg(F.sum((F.round("l_quantity", 2).cast("decimal(18,2)") * 100).cast("long")).alias("sats"))
