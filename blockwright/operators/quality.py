@@ -47,11 +47,11 @@ def block_runs(blocks: DataFrame, width: int = BUCKET) -> DataFrame:
     """Unbroken runs of heights: first, last, n (rows)."""
     b = _with_previous(blocks.withColumn("ts", F.lit(None).cast("long")), width)
     starts = b.withColumn("_s", F.when(F.col("_num").isNull() | (F.col("block_num") > F.col("_num") + 1), F.col("block_num")))
-    begin = starts.where("_s is not null").select(F.col("_s").alias("first"), F.coalesce("_num", F.lit(None)).alias("_before"))
+    begin = starts.where("_s is not null").select(F.col("_s").alias("first"), F.col("_num").alias("_before"))
     w = Window.orderBy("first")  # one row a run
     ends = begin.select("first", F.lead("_before").over(w).alias("last"))
-    top = blocks.agg(F.max("block_num").alias("_top"))
-    return ends.crossJoin(F.broadcast(top)).select("first", F.coalesce("last", "_top").alias("last"))
+    top = blocks.agg(F.max("block_num")).first()[0]
+    return ends.select("first", F.coalesce("last", F.lit(top)).alias("last"))
 
 
 def seal_range(blocks: DataFrame, start: int, stop: int, width: int = BUCKET) -> DataFrame:
