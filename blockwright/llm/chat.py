@@ -47,7 +47,7 @@ def parsed_turns(formatted: Column) -> Column:
 def with_branches(messages: DataFrame) -> DataFrame:
     """Every message with root, depth (0 at the root) and branch_score (sum from the root); messages on a cycle have no root and go.
 
-    A message whose parent is null or unknown is a root. Of repeated (tree_id, message_id) the first by all columns counts.
+    A message whose parent is null or unknown is a root; rows without tree_id or message_id are left out. Of repeated (tree_id, message_id) the first by all columns counts.
     """
     key = ["tree_id", "message_id"]
     order = Window.partitionBy(*key).orderBy("parent_id", "role", "text", "score")
@@ -57,14 +57,15 @@ def with_branches(messages: DataFrame) -> DataFrame:
     jump = nodes.select(*key, F.col("parent_id").alias("up"), F.when(F.col("parent_id").isNotNull(), 1).otherwise(0).cast("long").alias("depth"), F.coalesce("score", F.lit(0.0)).alias("sum"))
     levels = []
     longest = max(1, nodes.count())
+    jump = written(jump, "jumps")
     while True:
-        jump = written(jump, "jumps")
-        levels.append(jump.where("up is not null").select(*key, "up"))
-        if not jump.where("up is not null").limit(1).count() or 1 << len(levels) > 2 * longest:
+        active = jump.where("up is not null")  # only messages that haven't reached their root go on
+        levels.append(active.select(*key, "up"))
+        if not active.limit(1).count() or 1 << len(levels) > 2 * longest:
             break
         far = jump.select("tree_id", F.col("message_id").alias("up"), F.col("up").alias("up2"), F.col("depth").alias("depth2"), F.col("sum").alias("sum2"))
-        stepped = jump.join(far, ["tree_id", "up"], "left")
-        jump = stepped.select(*key, F.col("up2").alias("up"), (F.col("depth") + F.coalesce("depth2", F.lit(0))).alias("depth"), (F.col("sum") + F.coalesce("sum2", F.lit(0.0))).alias("sum"))
+        stepped = active.join(far, ["tree_id", "up"]).select(*key, F.col("up2").alias("up"), (F.col("depth") + F.col("depth2")).alias("depth"), (F.col("sum") + F.col("sum2")).alias("sum"))
+        jump = written(jump.where("up is null").unionByName(stepped), "jumps")
     found = jump.where("up is null").select(*key, "depth", F.col("sum").alias("branch_score"))
     out = nodes.join(found, key)
     out.levels = levels  # type: ignore[attr-defined]

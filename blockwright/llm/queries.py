@@ -4,10 +4,13 @@ from __future__ import annotations
 
 import os
 from collections.abc import Callable
+from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from blockwright.llm.shared import ship
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 
@@ -104,6 +107,15 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *map(count, base), F.sha2(joined(own), 256).alias("base_sha256"), joined(F.col("secret_spans")).alias("spans"))
 
 
+def _shipped(query: Query) -> Query:
+    @wraps(query)
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        ship(spark)
+        return query(spark, sf_dir)
+
+    return run
+
+
 QUERIES: dict[str, Query] = {
     "op1_chat_formatting": op1_chat_formatting,
     "op2_language_id": op2_language_id,
@@ -117,6 +129,8 @@ QUERIES: dict[str, Query] = {
     "op10_secrets": op10_secrets,
 }
 
+QUERIES = {name: _shipped(query) for name, query in QUERIES.items()}
+
 ORACLE: dict[str, str] = {
     "op1_chat_formatting": r"""
 WITH said AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations

@@ -4,10 +4,25 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
 
+def ship(spark: SparkSession) -> None:
+    """Send this package's sources to the executors' Python workers, once a context; where they have it installed this changes nothing."""
+    context, top = spark.sparkContext, Path(__file__).resolve().parents[1]
+    if getattr(context, "_blockwright_shipped", False):
+        return
+    path = Path(tempfile.mkdtemp(prefix="spark-package-")) / f"{top.name}.zip"
+    with zipfile.ZipFile(path, "w") as z:
+        for f in sorted(top.rglob("*.py")):
+            z.write(f, f.relative_to(top.parent))
+    context.addPyFile(str(path))
+    context._blockwright_shipped = True
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The cluster's ``spark.checkpoint.dir``; a temporary folder only where that is unset (tests, one machine)."""
     found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
