@@ -6,6 +6,8 @@ stage's rows and read them again before the next. All but the last return the co
 
 from __future__ import annotations
 
+from functools import wraps
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -15,10 +17,10 @@ from blockwright.llm.jaccard import jaccard_components
 from blockwright.llm.langid import fit, predict_languages
 from blockwright.llm.queries import tokenizer_path
 from blockwright.llm.secrets import redacted
-from blockwright.llm.shared import written
+from blockwright.llm.shared import ship, written
 
-#: A text whose best language is less likely than this is no text of a known language.
-LEAST_LANGUAGE_SCORE = 0.5
+#: A text whose best language is less likely than this is no text of a known language. Short clean texts have scores from 0.3 on.
+LEAST_LANGUAGE_SCORE = 0.25
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
@@ -53,12 +55,21 @@ def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return bpe_round_trip(docs, tokenizer_path())
 
 
+def _stage(function):
+    @wraps(function)
+    def run(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        ship(spark)
+        return function(spark, docs, sf_dir)
+
+    return run
+
+
 STAGES = [
-    ("language_id", identify_language),
-    ("jaccard_join", drop_near_duplicates),
-    ("decontamination", drop_benchmark_passages),
-    ("secrets", redact_secrets),
-    ("bpe", encode),
+    ("language_id", _stage(identify_language)),
+    ("jaccard_join", _stage(drop_near_duplicates)),
+    ("decontamination", _stage(drop_benchmark_passages)),
+    ("secrets", _stage(redact_secrets)),
+    ("bpe", _stage(encode)),
 ]
 
 #: SQL can't express the classifier, the aligner and the encoder: the stages are tested against brute-force versions.
