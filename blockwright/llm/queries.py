@@ -80,8 +80,8 @@ def op8_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     from blockwright.llm.lm import is_training, score, train
 
     docs = _docs(spark, sf_dir)
-    model, counts = train(docs.where(is_training(F.col("doc_id"))))
-    found = score(docs, model, counts)
+    model, rest = train(docs.where(is_training(F.col("doc_id"))))
+    found = score(docs, model, rest)
     return found.select("doc_id", (~is_training(F.col("doc_id"))).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
 
 

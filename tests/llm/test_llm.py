@@ -257,6 +257,26 @@ def test_language_model(spark):
         assert 0.9 < (pair + left * single).sum() + left[0] * (0.1 / trie.denominator) <= 1 + 1e-9
 
 
+def test_language_model_scores_do_not_depend_on_the_head(spark):
+    texts = [*corpus(6, 400), "never-seen zz words never-seen zz"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    learn = docs.where(lm.is_training(docs["doc_id"]))
+    tokens = [[None, *words(t), None] for t in texts]
+    on = [zlib.crc32(str(k).encode()) % 10 != 0 for k in range(len(texts))]
+    c = Counter(w for t, x in zip(tokens, on, strict=True) if x for w in t[1:])
+    pairs = Counter(p for t, x in zip(tokens, on, strict=True) if x for p in itertools.pairwise(t))
+    d = {(v, w): float(lm._value(lm._quantise(np.array((n - lm.DISCOUNT) / c[v]), 256), 256)) for (v, w), n in pairs.items() if n >= lm.MIN_PAIR}
+    left = Counter()
+    for (v, _), x in d.items():
+        left[v] += x
+    total, distinct = sum(c.values()), len(c)
+    for head in ({}, {"vocabulary": 50}, {"pairs": 30}, {"vocabulary": 50, "pairs": 5}):
+        got = {r["doc_id"]: r["score"] for r in lm.score(docs, *lm.train(learn, **head)).collect()}
+        for k, t in enumerate(tokens):
+            want = sum(math.log10(d.get((v, w), 0) + (1 - left[v]) * (c[w] + lm.ADD) / (total + lm.ADD * (distinct + 1))) for v, w in itertools.pairwise(t))
+            assert got[k] == pytest.approx(want, rel=1e-3), head  # what a context leaves is rounded down to 16 bits
+
+
 def test_language_model_on_odd_rows(odd, none):
     model, counts = lm.train(odd)
     got = lm.score(odd, model, counts).collect()
