@@ -2,7 +2,8 @@
 
 Documents with equal sets become one class. A class of n shingles that has a partner at ratio 0.9 differs from it in at
 most n // 9 shingles; the hash space is cut into more parts than that (as many as its size class needs), so a partner
-shares at least one part whole. Classes that share a part meet: few in one bucket by a join of pairs, many by a blocked
+shares at least one part whole, and one that isn't empty but for a chance below MISS. Sets so small that only one shingle can differ
+are found through the hashes of the set and of all but one of its shingles, without any chance. Classes that share a part meet: few in one bucket by a join of pairs, many by a blocked
 sparse product of the document by n-gram incidence, tile by tile. Both keep a pair only when its exact overlap reaches the bound
 that follows from the two sizes.
 """
@@ -11,6 +12,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -22,6 +24,7 @@ from blockwright.llm.graph import components
 from blockwright.llm.shared import with_text, written
 
 CLASS_WIDTH = 1.5
+MISS = 1e-8
 PAIRS_UP_TO = 12
 TILE_ROWS = 256
 
@@ -54,6 +57,24 @@ def _level(n: int) -> int:
     return int(math.log(n) / math.log(CLASS_WIDTH) + 1e-9)
 
 
+@cache
+def parts_of(level: int, num: int, den: int) -> int:
+    """Into how many parts sets meet whose larger one is of this level; 0: through all but one of their shingles.
+
+    With s shared shingles and d others, at most d parts have one of the others, so no part of only shared ones is left with a chance of
+    at most (d / parts)^s.
+    """
+    top = math.ceil(CLASS_WIDTH ** (level + 1))
+    need = _most_apart(top, num, den) + 1
+    parts, apart = need + 5 + need // 48, 0
+    for n in range(max(1, math.floor(CLASS_WIDTH**level)), top + 1):
+        for shared in range(-(-num * n // den), n + 1):
+            d = shared * den // num - shared  # the union is at most shared * den / num
+            apart = max(apart, d)
+            parts = max(parts, math.ceil(d / MISS ** (1 / shared)))
+    return 0 if apart <= 1 and parts > top else parts
+
+
 def part_signatures(s: np.ndarray, num: int, den: int) -> np.ndarray:
     """One hash for each part of the set that isn't empty, at its size class and, near the border, the next one."""
     n = len(s)
@@ -61,11 +82,13 @@ def part_signatures(s: np.ndarray, num: int, den: int) -> np.ndarray:
         return np.zeros(0, np.uint64)
     out, inner = [], mix(s)
     for level in sorted({_level(n), _level(n * den // num)}):
-        need = _most_apart(math.ceil(CLASS_WIDTH ** (level + 1)), num, den) + 1
-        parts = np.uint64(need + 5 + need // 48)
+        parts, tag = np.uint64(parts_of(level, num, den)), np.uint64(level << 32)
+        if not parts:
+            out.append(mix(inner.sum(dtype=np.uint64) - np.append(inner, np.uint64(0)) + mix(np.full(1, tag))))
+            continue
         part = ((s >> np.uint64(32)) * parts) >> np.uint64(32)
         first = np.flatnonzero(np.concatenate([[True], part[1:] != part[:-1]]))
-        out.append(mix(np.add.reduceat(inner, first) + mix(part[first] + np.uint64(level << 32))))
+        out.append(mix(np.add.reduceat(inner, first) + mix(part[first] + tag)))
     return np.concatenate(out)
 
 

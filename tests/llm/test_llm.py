@@ -81,6 +81,24 @@ def test_jaccard_on_odd_rows(odd, none):
     assert jaccard.jaccard_components(none).count() == 0
 
 
+@pytest.mark.parametrize(("small", "large", "num"), [(4, 5, 80), (5, 6, 80), (6, 7, 80), (8, 10, 80), (9, 10, 90), (16, 20, 80)])
+def test_small_sets_meet(small, large, num):
+    r = np.random.default_rng(8)
+    for _ in range(20_000):
+        s = np.unique(r.integers(0, 1 << 64, large, np.uint64))
+        part = np.sort(r.permutation(s)[:small])
+        assert np.intersect1d(jaccard.part_signatures(s, num, 100), jaccard.part_signatures(part, num, 100)).size
+
+
+def test_parts_keep_the_stated_chance():
+    for num in (80, 90):
+        for n in range(1, 3000):
+            for shared in {-(-num * n // 100), n}:
+                apart = shared * 100 // num - shared
+                parts = jaccard.parts_of(jaccard._level(n), num, 100)
+                assert (apart <= 1) if parts == 0 else (apart / parts) ** shared <= 1.000001e-8
+
+
 def test_tiles_equal_pairs():
     r = np.random.default_rng(3)
     base = np.unique(r.integers(0, 1 << 40, 200))
