@@ -33,10 +33,20 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies stays, the one with the smallest doc_id (five words a shingle, similarity 0.8)."""
-    found = jaccard_components(docs, words=5, num=80, den=100)
-    stay = found.where("doc_id = component_id").select("doc_id").distinct()
-    return docs.select(*COLUMNS).dropDuplicates(["doc_id"]).join(stay, "doc_id", "left_semi").select(*COLUMNS)
+    """One row of each group of near copies stays, the one with the smallest doc_id, null last (five words a shingle, similarity 0.8).
+
+    Groups are found by a 64-bit hash of the text, not by doc_id: rows with a null doc_id take part like all others, and rows that share
+    a doc_id stay if their texts aren't linked. Texts without a word are in no group, and all their rows stay.
+    """
+    rows = docs.select(*COLUMNS).withColumns({"_text": F.xxhash64("text"), "_row": F.xxhash64(*[x for c in COLUMNS if c != "text" for x in (F.col(c), F.col(c).isNull())])})
+    worded = F.coalesce(F.col("text").rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
+    found = jaccard_components(rows.where(worded).select(F.col("_text").alias("doc_id"), "text"), words=5, num=80, den=100)
+    group = found.groupBy(F.col("doc_id").alias("_text")).agg(F.min("component_id").alias("_group"))
+    # one row a text before the join, so that a text with many copies is no hot key
+    best = rows.where(worded).groupBy("_text").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "_text", "_row")).alias("_best"))
+    stay = written(best.join(group, "_text").groupBy("_group").agg(F.min("_best").alias("_best")).select("_best._text", "_best._row"), "stay")
+    kept = rows.where(worded).join(stay, ["_text", "_row"], "left_semi").dropDuplicates(["_text", "_row"])
+    return kept.select(*COLUMNS).unionByName(rows.where(~worded).select(*COLUMNS))
 
 
 def drop_benchmark_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

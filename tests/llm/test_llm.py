@@ -412,6 +412,18 @@ def test_oracle(spark, name):
     assert got.sort_values(key).reset_index(drop=True)[list(want.columns)].astype(str).equals(want.sort_values(key).reset_index(drop=True).astype(str))
 
 
+def test_near_duplicates_keep_rows_without_and_with_repeated_ids(spark):
+    import corpus_pipeline
+
+    texts = [" ".join(f"w{k}x{j}" for j in range(30)) for k in range(6)]
+    rows = [(None, texts[0]), (None, texts[1]), (None, texts[1]), (4, texts[1] + " more"), (7, texts[2]), (7, texts[3]), (7, texts[3]), (9, texts[3]), (None, texts[4]), (None, texts[4] + " more"), (2, None), (2, " "), (None, None)]
+    docs = spark.createDataFrame([(i, t, "en", "web", len(t or "")) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    got = Counter((r["doc_id"], r["text"]) for r in corpus_pipeline.drop_near_duplicates(spark, docs, SMALL).collect())
+    either = got.pop((None, texts[4]), 0) + got.pop((None, texts[4] + " more"), 0)
+    assert either == 1
+    assert got == Counter([(None, texts[0]), (4, texts[1] + " more"), (7, texts[2]), (7, texts[3]), (2, None), (2, " "), (None, None)])
+
+
 def test_pipeline(spark):
     import corpus_pipeline
     from blockwright.llm.shared import written
