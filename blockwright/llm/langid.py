@@ -22,6 +22,7 @@ from blockwright.llm.shared import with_text
 BITS = 13
 ORDERS = 3
 PER_CLASS = 600
+OPEN_QUANTILE, OPEN_MARGIN = 0.01, 1.0  # the open-set floor lies this many nats a gram below that quantile of training texts
 _LETTER = regex.compile(r"\p{L}")
 _MULTIPLY = np.array([0x9E3779B1, 0x85EBCA77, 0xC2B2AE3D, 0x27D4EB2F, 0x165667B1], np.uint32)
 
@@ -45,6 +46,12 @@ class Model:
     idf: np.ndarray
     weights: np.ndarray  # language x (bucket + bias)
     temperature: float = 1.0
+    likely: np.ndarray | None = None  # language x bucket, log of the share of grams
+    floor: float = -np.inf
+
+    def likelihood(self, counts: np.ndarray) -> np.ndarray:
+        """Mean log-likelihood of each text's grams under the language that explains them best."""
+        return (counts @ self.likely.T).max(1) / np.maximum(counts.sum(1), 1)
 
     def logits(self, counts: np.ndarray) -> np.ndarray:
         """counts: texts x buckets."""
@@ -167,10 +174,18 @@ def fit(docs: DataFrame, per_class: int = PER_CLASS, bits: int = BITS, folds: in
         w = model.weights
         logits = np.array([w[:, x[k][0]] @ x[k][1] + w[:, -1] for k in np.flatnonzero(kept)])
         model.temperature = temperature(logits, y[kept])
+    grams = np.full((len(languages), 1 << bits), 0.1)
+    raw = [(k, np.frombuffer(counts, "<f4")) for (k, _), counts in zip(x, sample["counts"], strict=True)]
+    for k in used:
+        grams[y[k], raw[k][0]] += raw[k][1]
+    model.likely = np.log(grams / grams.sum(1, keepdims=True)).astype(np.float32)
+    known = [float((model.likely[:, at] @ n).max() / n.sum()) for at, n in (raw[k] for k in (np.flatnonzero(kept) if kept.any() else used)) if len(n)]
+    if known:
+        model.floor = float(np.quantile(known, OPEN_QUANTILE)) - OPEN_MARGIN
     return model
 
 
-def _predicted(model: Model | None):
+def _predicted(model: Model | None, open_set: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = int(np.log2(len(model.idf))) if model else BITS
         for batch in batches:
@@ -181,8 +196,11 @@ def _predicted(model: Model | None):
                 lang, score = ["und"] * len(texts), [0.0] * len(texts)
                 live = [k for k, x in enumerate(lettered) if x]
                 if live and model:
-                    p = model.probabilities(np.array([gram_counts(texts[k], bits) for k in live]))
-                    for k, row in zip(live, p, strict=True):
+                    counts = np.array([gram_counts(texts[k], bits) for k in live])
+                    inside = model.likelihood(counts) >= model.floor if open_set else np.ones(len(live), bool)
+                    for k, row, ok in zip(live, model.probabilities(counts), inside, strict=True):
+                        if not ok:
+                            continue
                         best = int(row.argmax())
                         lang[k], score[k] = model.languages[best], float(row[best])
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(lang, pa.string()), pa.array(score, pa.float64())], [*part.schema.names, "lang_pred", "score"])
@@ -190,8 +208,8 @@ def _predicted(model: Model | None):
     return run
 
 
-def predict_languages(docs: DataFrame, model: Model | None, keep: tuple[str, ...] | list[str] = ("doc_id", "text")) -> DataFrame:
+def predict_languages(docs: DataFrame, model: Model | None, keep: tuple[str, ...] | list[str] = ("doc_id", "text"), open_set: bool = False) -> DataFrame:
     """The columns ``keep`` (text among them), lang_pred and score for each row of ``docs``, in place. A null text or one without a letter is ``und`` with score 0;
-    so is every text if there was nothing to learn from."""
+    so is every text if there was nothing to learn from, and with ``open_set`` one whose grams no learnt language explains (mean log-likelihood below the model's floor)."""
     rows = docs.select(*keep)
-    return rows.mapInArrow(_predicted(model), T.StructType([*rows.schema.fields, T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())]))
+    return rows.mapInArrow(_predicted(model, open_set), T.StructType([*rows.schema.fields, T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())]))

@@ -19,17 +19,14 @@ from blockwright.llm.queries import tokenizer_path
 from blockwright.llm.secrets import redacted
 from blockwright.llm.shared import ship, written
 
-#: A text whose best language is less likely than this is no text of a known language. Short clean texts have scores from 0.3 on.
-LEAST_LANGUAGE_SCORE = 0.25
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language is ``und`` or too unlikely go; the others keep their row, with ``lang`` filled in where it was null."""
+    """Documents whose language is ``und`` go, texts in no language of the table and letter junk among them; the others keep their row, with ``lang`` filled in where it was null."""
     key = docs.select(*COLUMNS)
-    found = predict_languages(key, fit(key), keep=COLUMNS)
-    keep = (F.col("lang_pred") != "und") & (F.col("score") >= LEAST_LANGUAGE_SCORE)
-    return found.where(keep).withColumn("lang", F.coalesce("lang", "lang_pred")).select(*COLUMNS)
+    found = predict_languages(key, fit(key), keep=COLUMNS, open_set=True)
+    return found.where("lang_pred <> 'und'").withColumn("lang", F.coalesce("lang", "lang_pred")).select(*COLUMNS)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -412,6 +412,24 @@ def test_oracle(spark, name):
     assert got.sort_values(key).reset_index(drop=True)[list(want.columns)].astype(str).equals(want.sort_values(key).reset_index(drop=True).astype(str))
 
 
+def test_language_stage_drops_foreign_texts_and_junk(spark):
+    import corpus_pipeline
+
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select(*corpus_pipeline.COLUMNS)
+    r = random.Random(2)
+    bad = ["Wszyscy ludzie rodzą się wolni i równi pod względem swej godności", "Kaikki ihmiset syntyvät vapaina ja tasavertaisina arvoltaan", "Все люди рождаются свободными и равными", "人人生而自由 在尊严和权利上一律平等"]
+    bad += ["".join(r.choice("abcdefghijklmnopqrstuvwxyz   ") for _ in range(90)) for _ in range(20)]
+    held = [x["text"] for x in docs.where("text is not null").orderBy("doc_id").collect() if zlib.crc32(str(x["doc_id"]).encode()) % 5 == 0 and re.search("[a-z]", x["text"][:60])]
+    good = [t[:60] for t in held]  # short pieces of texts that the model didn't learn from
+    more = spark.createDataFrame([(-1 - k, t, None, "web", len(t)) for k, t in enumerate([*bad, *good])], docs.schema)
+    stay = {x["doc_id"] for x in corpus_pipeline.identify_language(spark, docs.union(more), SMALL).select("doc_id").collect()}
+    assert not stay & {-1 - k for k in range(len(bad))}
+    kept = sum(-1 - len(bad) - k in stay for k in range(len(good)))
+    assert kept >= 0.99 * len(good), (kept, len(good))
+    all_ = {x["doc_id"] for x in docs.where("text rlike '[a-zA-Z]'").select("doc_id").collect()}
+    assert len(all_ & stay) >= 0.995 * len(all_), (len(all_ & stay), len(all_))
+
+
 def test_near_duplicates_keep_rows_without_and_with_repeated_ids(spark):
     import corpus_pipeline
 
