@@ -394,6 +394,11 @@ def x1(spark, d):
     return read(spark, d, "documents").select("doc_id", F.posexplode(F.split(F.substring("text", 1, 60), " ")).alias("place", "word"))
 
 
+@query("x1_positions_whole", "SELECT doc_id, generate_subscripts(w, 1) - 1 AS place, unnest(w) AS word FROM (SELECT doc_id, split(text, ' ') AS w FROM documents)")
+def x1_whole(spark, d):
+    return read(spark, d, "documents").select("doc_id", F.posexplode(F.split("text", " ")).alias("place", "word"))
+
+
 @query("x2_predicates", "SELECT vec_id, len(list_filter(embedding, lambda x: x > 0)) AS positive, list_contains(list_transform(embedding, lambda x: x > 0), true) AS any_positive FROM embeddings")
 def x2(spark, d):
     return read(spark, d, "embeddings").select("vec_id", F.size(F.filter("embedding", lambda x: x > 0)).alias("positive"), F.exists("embedding", lambda x: x > 0).alias("any_positive"))
