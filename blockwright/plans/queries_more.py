@@ -116,6 +116,12 @@ def j6(spark, d):
     return joins.asof_join(f, adapted(spark, d, "log"), ["entity"], "event_id", "observed_at", ["kind"]).select("event_id", "kind")
 
 
+@query("j6_asof_join_whole", "SELECT f.event_id, h.kind FROM (SELECT event_id, user_id % 200 AS entity FROM events) f ASOF LEFT JOIN log h ON h.entity = f.entity AND h.observed_at <= f.event_id")
+def j6_whole(spark, d):
+    f = read(spark, d, "events").select("event_id", (F.col("user_id") % 200).alias("entity"))
+    return joins.asof_join(f, adapted(spark, d, "log"), ["entity"], "event_id", "observed_at", ["kind"]).select("event_id", "kind")
+
+
 @query("r4_leverage_at_time", "SELECT f.block_num, f.fill_index, h.level FROM (SELECT block_num, fill_index, block_num % 200 AS entity FROM fills) f ASOF LEFT JOIN (SELECT entity, observed_at AS valid_from, level FROM log) h ON h.entity = f.entity AND h.valid_from <= f.block_num")
 def r4(spark, d):
     f = adapted(spark, d, "fills").select("block_num", "fill_index", (F.col("block_num") % 200).alias("entity"))
@@ -130,6 +136,14 @@ def j7(spark, d):
     return joins.range_join(facts, anchors, "t", "a", 3600).groupBy("a").agg(F.count("*").alias("n"))
 
 
+@query("j7_time_range_whole", "SELECT a.a, count(*) AS n FROM (SELECT DISTINCT event_id * 100 AS a FROM events) a JOIN (SELECT event_id * 100 + user_id % 90 AS t FROM events) e ON e.t >= a.a - 3600 AND e.t < a.a GROUP BY 1")
+def j7_whole(spark, d):
+    e = read(spark, d, "events")
+    facts = e.select((F.col("event_id") * 100 + F.col("user_id") % 90).alias("t"))
+    anchors = e.select((F.col("event_id") * 100).alias("a")).distinct()
+    return joins.range_join(facts, anchors, "t", "a", 3600).groupBy("a").agg(F.count("*").alias("n"))
+
+
 @query("j8_same_block_lineage", "SELECT doc_id, CASE WHEN doc_id % 3 = 0 THEN 'tx' || doc_id END AS tx_hash FROM documents")
 def j8(spark, d):
     docs = read(spark, d, "documents")
