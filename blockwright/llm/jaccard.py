@@ -1,11 +1,13 @@
-"""N-gram Jaccard join: all pairs of documents whose shingle sets overlap by at least a ratio, and their components.
+"""N-gram Jaccard join: documents whose shingle sets overlap by at least a ratio, and their components.
 
 Documents with equal sets become one class. A class of n shingles that has a partner at ratio 0.9 differs from it in at
 most n // 9 shingles; the hash space is cut into more parts than that (as many as its size class needs), so a partner
 shares at least one part whole, and one that isn't empty but for a chance below MISS. Sets so small that only one shingle can differ
-are found through the hashes of the set and of all but one of its shingles, without any chance. Classes that share a part meet: few in one bucket by a join of pairs, many by a blocked
-sparse product of the document by n-gram incidence, tile by tile. Both keep a pair only when its exact overlap reaches the bound
-that follows from the two sizes.
+are found through the hashes of the set and of all but one of its shingles, without any chance. Classes that share a part, by whatever
+chain, form a block. The product of the class by n-gram incidence with its transpose is computed block by block: small blocks
+share a tile, large ones are cut into tiles of about TILE_ROWS classes, and a pair of a tile is kept when its overlap count reaches
+the bound that follows from the two sizes. In a large block each tile also holds the block's first class; classes linked with it by
+their own tile need no more products with each other, and only the others (with all classes) go through the tiles off the diagonal.
 """
 
 from __future__ import annotations
@@ -16,36 +18,45 @@ from functools import cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from blockwright.llm.arrays import mix, text_bytes, word_hashes
+from blockwright.llm.arrays import mix, slices, text_bytes, word_hashes
 from blockwright.llm.graph import components
-from blockwright.llm.shared import with_text, written
+from blockwright.llm.shared import forget, with_text, written
 
 CLASS_WIDTH = 1.5
 MISS = 1e-8
-PAIRS_UP_TO = 12
 TILE_ROWS = 256
+LIGHT = 8
+COLUMNS = 4096
+BATCH_BYTES = 4 << 20
 
 
 def shingle_sets(data: np.ndarray, offsets: np.ndarray, words: int) -> Iterator[np.ndarray]:
-    """The sorted distinct shingle hashes of each document."""
-    hashes, counts, _ = word_hashes(data, offsets)
+    """The sorted distinct shingle hashes of each document, some megabytes of text at a time."""
     odd = [np.uint64(2 * int(x) + 1) for x in np.random.default_rng(11).integers(1, 1 << 62, words)]
-    rolled = np.zeros(max(0, len(hashes) - words + 1), np.uint64)
-    for k in range(words):
-        rolled += hashes[k : k + len(rolled)] * odd[k]
-    rolled = mix(rolled)
-    at = np.concatenate([[0], np.cumsum(counts)])
-    for i, n in enumerate(counts):
-        if n >= words:
-            yield np.unique(rolled[at[i] : at[i + 1] - words + 1])
-        elif n:
-            short = (hashes[at[i] : at[i + 1]] * np.array(odd[:n])).sum(dtype=np.uint64, keepdims=True)
-            yield mix(short + np.full(1, n, np.uint64))
-        else:
-            yield np.zeros(0, np.uint64)
+    for i, j in slices(offsets):
+        hashes, counts, _ = word_hashes(data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i])
+        rolled = np.zeros(max(0, len(hashes) - words + 1), np.uint64)
+        for k in range(words):
+            rolled += hashes[k : k + len(rolled)] * odd[k]
+        rolled = mix(rolled)
+        at = np.concatenate([[0], np.cumsum(counts)])
+        for k, n in enumerate(counts):
+            if n >= words:
+                yield np.unique(rolled[at[k] : at[k + 1] - words + 1])
+            elif n:
+                short = (hashes[at[k] : at[k + 1]] * np.array(odd[:n])).sum(dtype=np.uint64, keepdims=True)
+                yield mix(short + np.full(1, n, np.uint64))
+            else:
+                yield np.zeros(0, np.uint64)
+
+
+def set_key(s: np.ndarray) -> np.int64:
+    """64 bits that stand for a set: equal for equal sets."""
+    sums = np.array([mix(s).sum(dtype=np.uint64), mix(s ^ np.uint64(0x5851F42D4C957F2D)).sum(dtype=np.uint64)])
+    return mix(mix(sums[:1] + np.uint64(len(s))) + sums[1:]).view(np.int64)[0]
 
 
 def _most_apart(n: int, num: int, den: int) -> int:
@@ -92,23 +103,24 @@ def part_signatures(s: np.ndarray, num: int, den: int) -> np.ndarray:
     return np.concatenate(out)
 
 
-def _profile(words: int, num: int, den: int, signed: bool):
+def _lists(values: list[np.ndarray]) -> pa.Array:
+    flat = np.concatenate(values).view(np.int64) if values else np.zeros(0, np.int64)
+    return pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum([len(x) for x in values])]).astype(np.int32)), pa.array(flat))
+
+
+def _profile(words: int, num: int, den: int):
+    """Rows (doc_id, place, n, key, parts) of texts (doc_id, place, text)."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             data, offsets = text_bytes(batch.column("text"))
-            n, hi, lo, signatures = [], [], [], []
-            for s in shingle_sets(data, offsets, words):
-                n.append(len(s))
-                hi.append(mix(s).sum(dtype=np.uint64))
-                lo.append(mix(s ^ np.uint64(0x5851F42D4C957F2D)).sum(dtype=np.uint64))
-                if signed:
-                    signatures.append(part_signatures(s, num, den).view(np.int64))
-            columns = {"doc_id": batch.column("doc_id"), "n": pa.array(n, pa.int64()), "hi": pa.array(np.array(hi, np.uint64).view(np.int64)), "lo": pa.array(np.array(lo, np.uint64).view(np.int64))}
-            if signed:
-                flat = np.concatenate(signatures) if signatures else np.zeros(0, np.int64)
-                at = np.concatenate([[0], np.cumsum([len(x) for x in signatures])]).astype(np.int32)
-                columns["parts"] = pa.ListArray.from_arrays(pa.array(at), pa.array(flat))
-            yield pa.RecordBatch.from_pydict(columns)
+            for i, j in slices(offsets, BATCH_BYTES):
+                n, key, parts = [], [], []
+                for s in shingle_sets(data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i], words):
+                    n.append(len(s))
+                    key.append(set_key(s))
+                    parts.append(part_signatures(s, num, den))
+                yield pa.RecordBatch.from_pydict({"doc_id": batch.column("doc_id").slice(i, j - i), "place": batch.column("place").slice(i, j - i), "n": pa.array(n, pa.int64()), "key": pa.array(key, pa.int64()), "parts": _lists(parts)})
 
     return run
 
@@ -117,39 +129,45 @@ def _sets(words: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             data, offsets = text_bytes(batch.column("text"))
-            sets = [s.view(np.int64) for s in shingle_sets(data, offsets, words)]
-            at = np.concatenate([[0], np.cumsum([len(x) for x in sets])]).astype(np.int32)
-            yield pa.RecordBatch.from_pydict({"id": batch.column("doc_id"), "s": pa.ListArray.from_arrays(pa.array(at), pa.array(np.concatenate(sets) if sets else np.zeros(0, np.int64)))})
+            for i, j in slices(offsets, BATCH_BYTES):
+                sets = list(shingle_sets(data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i], words))
+                yield pa.RecordBatch.from_pydict({"key": pa.array([set_key(s) for s in sets], pa.int64()), "s": _lists(sets)})
 
     return run
 
 
-def tile_links(ids: np.ndarray, sets: list[np.ndarray], side: np.ndarray, num: int, den: int) -> list[tuple[int, int]]:
-    """Links inside one tile, thinned to a spanning forest. ``side`` 0: rows, 1: columns, 2: both (a tile on the diagonal)."""
-    m = len(ids)
-    sizes = np.array([len(s) for s in sets])
-    _, inverse, df = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
-    owner = np.repeat(np.arange(m), sizes)
+def overlaps(sets: list[np.ndarray]) -> np.ndarray:
+    """The upper triangle of incidence times transpose: how many n-grams each two of the sets share."""
+    m = len(sets)
     overlap = np.zeros((m, m), np.int32)
-    order = np.argsort(inverse, kind="stable")
-    owner, column = owner[order], inverse[order]
-    light = (df[column] > 1) & (df[column] <= 8)
+    _, column, df = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    owner = np.repeat(np.arange(m), [len(s) for s in sets])
+    order = np.argsort(column, kind="stable")
+    owner, column = owner[order], column[order]
+    light = (df[column] > 1) & (df[column] <= LIGHT)
     o, c = owner[light], column[light]
-    for step in range(1, 8):
+    for step in range(1, LIGHT):  # n-grams of few sets: their pairs of owners
         same = c[step:] == c[:-step]
         np.add.at(overlap, (o[:-step][same], o[step:][same]), 1)
-    heavy = np.flatnonzero(df > 8)
+    heavy = np.flatnonzero(df > LIGHT)
     place = np.full(len(df), -1)
-    for k in range(0, len(heavy), 4096):
+    for k in range(0, len(heavy), COLUMNS):  # the others: dense products of bounded width
+        some = heavy[k : k + COLUMNS]
         place[:] = -1
-        place[heavy[k : k + 4096]] = np.arange(len(heavy[k : k + 4096]))
+        place[some] = np.arange(len(some))
         took = place[column]
-        dense = np.zeros((m, min(4096, len(heavy) - k)), np.float32)
+        dense = np.zeros((m, len(some)), np.float32)
         dense[owner[took >= 0], took[took >= 0]] = 1
         overlap += np.triu(dense @ dense.T, 1).astype(np.int32)
+    return overlap
+
+
+def tile_links(ids: np.ndarray, sets: list[np.ndarray], side: np.ndarray, num: int, den: int) -> list[tuple[int, int]]:
+    """(id, smallest id it is linked with inside the tile) for each id but the smallest ones. ``side``: only pairs of different sides count, or of side 2."""
+    sizes, overlap = np.array([len(s) for s in sets]), overlaps(sets)
     total = sizes[:, None] + sizes[None, :]
-    a, b = np.nonzero(np.triu(den * overlap >= num * (total - overlap), 1) & (overlap > 0))
-    parent = list(range(m))
+    a, b = np.nonzero((den * overlap >= num * (total - overlap)) & (overlap > 0) & ((side[:, None] != side[None, :]) | (side == 2)[:, None]))
+    parent = {int(x): int(x) for x in ids}
 
     def root(x: int) -> int:
         while parent[x] != x:
@@ -157,19 +175,15 @@ def tile_links(ids: np.ndarray, sets: list[np.ndarray], side: np.ndarray, num: i
             x = parent[x]
         return x
 
-    out = []
-    for x, y in zip(a.tolist(), b.tolist(), strict=True):
-        if side[x] == side[y] != 2:
-            continue
-        if (p := root(x)) != (q := root(y)):
-            parent[p] = q
-            out.append((int(ids[x]), int(ids[y])))
-    return out
+    for x, y in zip(ids[a].tolist(), ids[b].tolist(), strict=True):
+        p, q = root(x), root(y)
+        parent[max(p, q)] = min(p, q)
+    return [(x, root(x)) for x in parent if root(x) != x]
 
 
 def _tile(num: int, den: int):
     def run(table: pa.Table) -> pa.Table:
-        ids, side = table.column("id").to_numpy(), table.column("side").to_numpy()
+        ids, side = table.column("key").to_numpy(), table.column("side").to_numpy()
         flat = table.column("s").combine_chunks()
         at, values = flat.offsets.to_numpy(), flat.values.to_numpy()
         links = tile_links(ids, [values[at[i] : at[i + 1]] for i in range(len(ids))], side, num, den)
@@ -178,48 +192,62 @@ def _tile(num: int, den: int):
     return run
 
 
+def _dealt(key: str, parts: str | int) -> Column:
+    return F.pmod(F.xxhash64(key), F.lit(parts) if isinstance(parts, int) else F.col(parts)).cast("long")
+
+
+def _products(tiles: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
+    """Links (u, v) found in each tile (t, i, j) of rows (t, i, j, key, side)."""
+    return tiles.join(sets, "key").groupBy("t", "i", "j").applyInArrow(_tile(num, den), "u long, v long")
+
+
+def block_links(blocks: DataFrame, sets: DataFrame, num: int, den: int, tile: int = TILE_ROWS) -> DataFrame:
+    """Links (u, v) between the classes of each block, enough to connect all that linked pairs connect.
+
+    ``blocks``: written rows (node, component), component being the block's smallest node; ``sets``: written rows (key, s).
+    """
+    large = written(blocks.groupBy("component").agg(F.count("*").alias("m")).where(F.col("m") > tile).withColumn("g", F.ceil(F.col("m") / tile)), "large")
+    shared = max(1, blocks.count() // (tile // 2))  # tiles that all small blocks share
+    few = blocks.join(large, "component", "left_anti").select(_dealt("component", shared).alias("t"), F.lit(-1).cast("long").alias("i"), F.lit(-1).cast("long").alias("j"), F.col("node").alias("key"), F.lit(2).alias("side"))
+    many = blocks.join(large, "component")
+    own = many.where("node <> component").select(F.col("component").alias("t"), _dealt("node", "g").alias("i"), F.lit(0).cast("long").alias("j"), F.col("node").alias("key"), F.lit(2).alias("side"))
+    first = large.select(F.col("component").alias("t"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("g") - 1)).alias("i"), F.lit(0).cast("long").alias("j"), F.col("component").alias("key"), F.lit(2).alias("side"))
+    links = written(_products(few.union(own).union(first), sets, num, den), "links")
+    apart = written(many.where("node <> component").join(links, (F.col("node") == F.col("u")) & (F.col("component") == F.col("v")), "left_anti").select("component", "node", "g"), "apart")
+    if apart.isEmpty():
+        return links
+    rest = written(apart.groupBy("component").agg(F.ceil(F.count("*") / tile).alias("h")), "rest")
+    rows = apart.join(rest, "component").select("component", _dealt("node", "h").alias("i"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("g") - 1)).alias("j"), F.col("node").alias("key"), F.lit(0).alias("side"))
+    columns = many.join(rest, "component").select("component", F.explode(F.sequence(F.lit(0).cast("long"), F.col("h") - 1)).alias("i"), _dealt("node", "g").alias("j"), F.col("node").alias("key"), F.lit(1).alias("side"))
+    return links.union(_products(rows.union(columns).withColumnRenamed("component", "t"), sets, num, den))
+
+
 def jaccard_components(docs: DataFrame, words: int = 5, num: int = 80, den: int = 100) -> DataFrame:
     """One row for each row of ``docs`` (doc_id, text): doc_id, n_shingles, class_id, component_id.
 
     Two documents link when ``den * intersection >= num * union`` of their sets of distinct word shingles; a text with
     fewer words is one shingle. class_id is the smallest doc_id with an equal set, component_id the smallest doc_id
-    reachable by links. Null and blank texts have no shingles and stand alone. Repeated doc_ids keep their rows, and their texts' sets count for that id.
-    Nothing is capped: a bucket of many classes goes through tiles of bounded size.
+    reachable by links; null doc_ids count only where there is no other. Null and blank texts have no shingles and stand alone.
+    Repeated rows keep their rows; rows that share a doc_id but not their texts are linked by their texts alone.
+    Nothing is capped: a block of many classes goes through tiles of bounded size.
     """
-    spark, src = docs.sparkSession, with_text(docs)
-    schema = "doc_id long, n long, hi long, lo long"
-    plain = src.mapInArrow(_profile(words, num, den, False), schema)
-    signed = src.mapInArrow(_profile(words, num, den, True), schema + ", parts array<long>").where("n > 0")
-    classes = signed.groupBy("n", "hi", "lo").agg(F.min_by("parts", "doc_id").alias("parts"), F.min("doc_id").alias("id"))
-    parts = classes.select("id", F.explode("parts").alias("part"))
-    bucket = Window.partitionBy("part")
-    near = written(parts.withColumns({"hub": F.min("id").over(bucket), "m": F.count("*").over(bucket)}).where("m > 1"), "buckets")
-    small = near.where(F.col("m") <= PAIRS_UP_TO).select("part", "id")
-    pairs = written(small.alias("a").join(small.alias("b"), F.expr("a.part = b.part AND a.id < b.id")).select(F.col("a.id").alias("u"), F.col("b.id").alias("v")).distinct(), "pairs")
-    wide = near.where((F.col("m") > PAIRS_UP_TO) & (F.col("id") > F.col("hub"))).select(F.col("id").alias("u"), F.col("hub").alias("v"))
-    blocks = written(components(wide), "blocks")
-    needed = pairs.select(F.col("u").alias("doc_id")).union(pairs.select("v")).union(blocks.select("node")).distinct()
-    # by a merge join at every size: the ids grow with the documents, so no size of theirs is a bound for a broadcast
-    sets = written(src.join(needed.hint("merge"), "doc_id", "left_semi").select("doc_id", "text").mapInArrow(_sets(words), "id long, s array<long>").dropDuplicates(["id"]), "sets")
-    left, right = sets.select(F.col("id").alias("u"), F.col("s").alias("a")), sets.select(F.col("id").alias("v"), F.col("s").alias("b"))
-    both = pairs.join(left, "u").join(right, "v").where(den * F.least(F.size("a"), F.size("b")) >= num * F.greatest(F.size("a"), F.size("b")))
-    shared = both.select("u", "v", F.size("a").alias("x"), F.size("b").alias("y"), F.size(F.array_intersect("a", "b")).alias("o"))
-    links = shared.where(den * F.col("o") >= num * (F.col("x") + F.col("y") - F.col("o"))).select("u", "v")
-    size = blocks.groupBy("component").agg(F.ceil(F.count("*") / TILE_ROWS).cast("int").alias("g"))
-    dealt = blocks.join(size, "component").withColumn("i", F.pmod(F.xxhash64("node"), "g").cast("int"))
-    tiles = dealt.select("component", "node", "i", F.explode(F.sequence(F.lit(0), F.col("g") - 1)).alias("j")).select(
-        "component", F.least("i", "j").alias("ti"), F.greatest("i", "j").alias("tj"), F.col("node").alias("id"), F.when(F.col("i") == F.col("j"), 2).when(F.col("i") < F.col("j"), 0).otherwise(1).cast("int").alias("side")
-    )
-    crossed = tiles.join(sets, "id").groupBy("component", "ti", "tj").applyInArrow(_tile(num, den), "u long, v long")
-    joined = components(links.union(crossed)).select(F.col("node").alias("class_id"), F.col("component").alias("linked"))
-    return _members(plain, joined)
-
-
-def _members(plain: DataFrame, joined: DataFrame) -> DataFrame:
-    """Each document with its class and component; hot classes are joined by their key with a row a class on the other side."""
-    alone = plain.where("n = 0").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("class_id"), F.col("doc_id").alias("component_id"))
-    full = plain.where("n > 0")
-    classes = full.groupBy("n", "hi", "lo").agg(F.min("doc_id").alias("class_id"))
-    # a component's smallest class id is its smallest doc_id, as a class id is the smallest of its class
-    named = classes.join(joined, "class_id", "left").select("n", "hi", "lo", "class_id", F.coalesce("linked", "class_id").alias("component_id"))
-    return full.join(named, ["n", "hi", "lo"]).select("doc_id", F.col("n").alias("n_shingles"), "class_id", "component_id").union(alone)
+    src = with_text(docs).withColumn("place", F.xxhash64("text"))
+    all_ = written(src.mapInArrow(_profile(words, num, den), "doc_id long, place long, n long, key long, parts array<long>"), "profile")
+    full = all_.where("n > 0")
+    classes = written(full.groupBy("key").agg(F.min("doc_id").alias("class_id"), F.min(F.struct("place", F.coalesce("doc_id", F.lit(0)).alias("id"))).alias("rep")), "classes")
+    parts = full.select(F.explode("parts").alias("part"), "key")
+    met = written(parts.groupBy("part").agg(F.min("key").alias("hub"), F.max("key").alias("top")).where("hub < top").select("part", "hub"), "met")
+    # merge joins at every size: the keys grow with the documents, so no size of theirs is a bound for a broadcast
+    edges = parts.join(met.hint("merge"), "part").where("key > hub").select(F.col("key").alias("u"), F.col("hub").alias("v")).distinct()
+    blocks = written(components(edges), "blocks")
+    one = classes.join(blocks.hint("merge"), F.col("key") == F.col("node")).select(F.col("rep.place").alias("place"), F.col("rep.id").alias("_id"), "key")
+    texts = src.withColumn("_id", F.coalesce("doc_id", F.lit(0))).join(one.select("place", "_id").hint("merge"), ["place", "_id"], "left_semi").select("text")
+    sets = written(texts.mapInArrow(_sets(words), "key long, s array<long>").dropDuplicates(["key"]), "sets")
+    joined = written(components(block_links(blocks, sets, num, den)), "joined")
+    named = classes.select("key", "class_id").join(joined.hint("merge"), F.col("key") == F.col("node"), "left").select("key", "class_id", "component")
+    least = named.where("component is not null").groupBy("component").agg(F.min("class_id").alias("component_id"))
+    # a table of one row a class, so that the join with a hot class's documents can be split
+    names = written(named.join(least.hint("merge"), "component", "left").select("key", "class_id", F.coalesce("component_id", "class_id").alias("component_id")), "names")
+    forget(classes, met, blocks, sets, joined)
+    alone = all_.where("n = 0").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("class_id"), F.col("doc_id").alias("component_id"))
+    return full.join(names.hint("merge"), "key").select("doc_id", F.col("n").alias("n_shingles"), "class_id", "component_id").union(alone)

@@ -118,6 +118,38 @@ def test_tiles_equal_pairs():
     assert group == want
 
 
+@pytest.mark.parametrize("tile", [4, 16, 1000])
+def test_large_blocks_equal_all_pairs(spark, tile):
+    """One block of several chained clusters, some of whose classes aren't linked with the block's first."""
+    r = np.random.default_rng(5)
+    sets, base = {}, [np.unique(r.integers(0, 1 << 40, 100)) for _ in range(6)]
+    for k in range(90):
+        b = base[k % 3 + 3 * (k >= 80)]
+        sets[1000 + 7 * k] = np.unique(np.concatenate([b[k % 11 :], r.integers(0, 1 << 40, k % 5)]))
+    keys = sorted(sets)
+    blocks = jaccard.written(spark.createDataFrame([(k, keys[0] if k < keys[80] else keys[80]) for k in keys], "node long, component long"), "test-blocks")
+    rows = jaccard.written(spark.createDataFrame([(k, s.tolist()) for k, s in sets.items()], "key long, s array<long>"), "test-sets")
+    got = {k: k for k in keys} | {x["node"]: x["component"] for x in graph.components(jaccard.block_links(blocks, rows, 90, 100, tile)).collect()}
+    want = {k: k for k in keys}
+    for a, b in itertools.combinations(keys, 2):
+        o = len(np.intersect1d(sets[a], sets[b]))
+        if 100 * o >= 90 * (len(sets[a]) + len(sets[b]) - o):
+            x, y = want[a], want[b]
+            want = {k: min(x, y) if v in (x, y) else v for k, v in want.items()}
+    assert got == want and len(set(got.values())) > 3
+
+
+def test_jaccard_of_one_id_with_several_texts(spark):
+    texts = [(5, "a b c d e f"), (5, "q r s t u v"), (7, "A B C D E F"), (9, "q r s t u v"), (None, "q r s t u v"), (None, "z y x w"), (None, None)]
+    got = sorted(map(tuple, jaccard.jaccard_components(spark.createDataFrame(texts, "doc_id long, text string"), 3, 90, 100).select("doc_id", "n_shingles", "component_id").collect()), key=str)
+    assert got == sorted([(5, 4, 5), (5, 4, 5), (7, 4, 5), (9, 4, 5), (None, 4, 5), (None, 2, None), (None, 0, None)], key=str)
+
+
+def test_components_that_do_not_settle_raise(spark):
+    with pytest.raises(RuntimeError, match="settle"):
+        graph.components(spark.createDataFrame([(k, k + 1) for k in range(40)], "u long, v long"), rounds=1)
+
+
 def test_components(spark):
     edges = [(k, k + 1) for k in range(50)] + [(100, 101), (101, 100), (7, 7)] + [(200, 200 + k) for k in range(1, 30)]
     got = {r["node"]: r["component"] for r in graph.components(spark.createDataFrame(edges, "u long, v long")).collect()}
