@@ -21,7 +21,9 @@ from pyspark.sql import DataFrame
 from blockwright.llm.shared import with_text
 
 SHORT = 96
-MEMO = 350_000
+MEMO = 250_000  # pieces of a generation
+PIECES_AT_ONCE = 4096
+MEMO_LETTERS = 48  # longer pieces are rare and aren't kept, which bounds the memo in bytes
 PATTERN = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
 
 
@@ -51,7 +53,14 @@ class Memo(dict):
             self.old = dict(self)
             self.clear()
 
+    def drop(self) -> None:
+        if self:
+            self.clear()
+            self.old = {}
+
     def __missing__(self, key: str) -> bytes:
+        if len(key) > MEMO_LETTERS:
+            return self.make(key)
         self.make_room()
         found = self.old.get(key)
         if found is None:
@@ -155,16 +164,24 @@ class LibraryPieces(BytePairs):
         self.library.no_padding()
         self.special = {t.content: i for i, t in self.library.get_added_tokens_decoder().items()}
         self.cut = regex.compile("(" + "|".join(map(regex.escape, sorted(self.special, key=len, reverse=True))) + ")") if self.special else None
-        self.stops = {c: self._library([c])[0] for c in ".,"}
+        self.stops = {c: self._library(c) for c in ".,"}
+        self.line = self._library("\n")
         self.pieces = Memo(self._piece)
 
-    def _library(self, pieces: list[str]) -> list[bytes]:
-        return [np.array(e.ids, "<u4").tobytes() for e in self.library.encode_batch_fast(pieces, add_special_tokens=False)]
+    def _library(self, text: str) -> bytes:
+        return np.array(self.library.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4").tobytes()
+
+    def _library_many(self, pieces: list[str]) -> Iterator[bytes]:
+        """Of pieces without white space but for one blank in front: all as lines of one text, cut at the line feed's token."""
+        for k in range(0, len(pieces), PIECES_AT_ONCE):
+            found = self._library("\n".join(pieces[k : k + PIECES_AT_ONCE]))
+            ends = (4 * np.flatnonzero(np.frombuffer(found, "<u4") == int.from_bytes(self.line, "little"))).tolist()
+            yield from (found[a:b] for a, b in zip([0, *(e + 4 for e in ends)], [*ends, len(found)], strict=True))
 
     def _piece(self, piece: str) -> bytes:
         if piece[-1:] in self.stops and piece[-2:-1].isalpha():
             return self.pieces[piece[:-1]] + self.stops[piece[-1]]
-        return self._library([piece])[0]
+        return self._library(piece)
 
     def encode_many(self, texts: list[str]) -> list[bytes]:
         """All texts, the pieces that the memo lacks in one call of the library."""
@@ -172,9 +189,8 @@ class LibraryPieces(BytePairs):
         cut = [t.replace(" ", "\0 ").replace("\n", "\0\n\0").split("\0") if t and evenly_spaced(t) and not (self.cut and self.cut.search(t)) else None for t in texts]
         lacking = set().union(*[c for c in cut if c]).difference(self.pieces)
         bare = {p[:-1] if p[-1:] in self.stops and p[-2:-1].isalpha() else p for p in lacking}
-        bare = [p for p in bare if p not in self.pieces.old and p not in self.pieces]
-        for p, ids in zip(bare, self._library(bare), strict=True):
-            self.pieces[p] = ids
+        bare = [p for p in bare if 0 < len(p) <= MEMO_LETTERS and p != "\n" and p not in self.pieces.old and p not in self.pieces]
+        self.pieces.update(zip(bare, self._library_many(bare), strict=True))
         return [b"".join(map(self.pieces.__getitem__, c)) if c else self.encode(t) for t, c in zip(texts, cut, strict=True)]
 
 
@@ -184,22 +200,30 @@ def encoder(path: str, kind: type = BytePairs) -> BytePairs:
     return kind(path)
 
 
+def forget_encoders() -> None:
+    """For tasks of later stages: free what this Python worker keeps for encoding."""
+    encoder.cache_clear()
+
+
 def _round_trip(path: str, keep_ids: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = encoder(path)
-        for batch in batches:
-            n, ids_sha, text_sha, ids = [], [], [], []
-            for text in batch.column("text"):
-                found = bpe.encode(text.as_py() or "")
-                n.append(len(found) // 4)
-                ids_sha.append(hashlib.sha256(found).hexdigest())
-                text_sha.append(hashlib.sha256(bpe.decode(found).encode()).hexdigest())
+        try:
+            for batch in batches:
+                n, ids_sha, text_sha, ids = [], [], [], []
+                for text in batch.column("text"):
+                    found = bpe.encode(text.as_py() or "")
+                    n.append(len(found) // 4)
+                    ids_sha.append(hashlib.sha256(found).hexdigest())
+                    text_sha.append(hashlib.sha256(bpe.decode(found).encode()).hexdigest())
+                    if keep_ids:
+                        ids.append(np.frombuffer(found, "<u4"))
+                columns = {"doc_id": batch.column("doc_id"), "n_tokens": pa.array(n, pa.int64()), "ids_sha256": pa.array(ids_sha, pa.string()), "decoded_sha256": pa.array(text_sha, pa.string())}
                 if keep_ids:
-                    ids.append(np.frombuffer(found, "<u4"))
-            columns = {"doc_id": batch.column("doc_id"), "n_tokens": pa.array(n, pa.int64()), "ids_sha256": pa.array(ids_sha, pa.string()), "decoded_sha256": pa.array(text_sha, pa.string())}
-            if keep_ids:
-                columns["ids"] = pa.array([x.astype(np.int32) for x in ids], pa.list_(pa.int32()))
-            yield pa.RecordBatch.from_pydict(columns)
+                    columns["ids"] = pa.array([x.astype(np.int32) for x in ids], pa.list_(pa.int32()))
+                yield pa.RecordBatch.from_pydict(columns)
+        finally:
+            bpe.pieces.drop()
 
     return run
 

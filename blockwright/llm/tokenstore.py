@@ -5,7 +5,7 @@ the ids that have one, a bitmap tells which of them go on, and a directory of ra
 next level. The blocks are rows of a Parquet table in the shared folder, so Spark's writer commits them and any executor reads them.
 
 Layout of a block, little-endian: magic "DAC1", bits a chunk (u8), levels (u8), documents (u32), ids (u64); then for each
-document its doc_id (i64) and number of ids (u32); then for each level: entries (u64), chunks (u8 or u16 each), bitmap (u64 words), ranks (u64 each).
+document its doc_id (i64), number of ids (u32) and whether it has a doc_id (u8); then for each level: entries (u64), chunks (u8 or u16 each), bitmap (u64 words), ranks (u64 each).
 """
 
 from __future__ import annotations
@@ -19,13 +19,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from blockwright.llm.bpe import LibraryPieces, encoder
+from blockwright.llm.bpe import LibraryPieces, encoder, forget_encoders
 from blockwright.llm.shared import with_text, written
 
 CHUNK_BITS = 8
-BLOCK_IDS = 1 << 20
-DOCS_A_RANGE = 4000
+BLOCK_IDS = 1 << 19
+RANGE_BYTES = 16 << 20
+MOST_RANGES = 20_000  # beyond that ranges grow; a range is sorted with spilling and written block by block
 ROWS_AT_ONCE = 256
+NO_ID = -(1 << 63)
 BROADCAST_BLOCKS = 200_000
 _HEAD = struct.Struct("<4sBBIQ")
 
@@ -50,7 +52,7 @@ def pack(doc_ids: list[int], ids: list[np.ndarray], bits: int = CHUNK_BITS) -> b
         body += [struct.pack("<Q", len(left)), chunk.tobytes(), words.tobytes(), ranks.tobytes()]
         left, levels = more[more > 0], levels + 1
     head = _HEAD.pack(b"DAC1", bits, levels, len(doc_ids), total)
-    return b"".join([head, np.array([-(1 << 63) if d is None else d for d in doc_ids], "<i8").tobytes(), np.array([len(x) for x in ids], "<u4").tobytes(), *body])
+    return b"".join([head, np.array([NO_ID if d is None else d for d in doc_ids], "<i8").tobytes(), np.array([len(x) for x in ids], "<u4").tobytes(), np.array([d is not None for d in doc_ids], "u1").tobytes(), *body])
 
 
 class Block:
@@ -63,7 +65,8 @@ class Block:
         at = _HEAD.size
         self.doc_ids = np.frombuffer(raw, "<i8", docs, at)
         self.sizes = np.frombuffer(raw, "<u4", docs, at := at + 8 * docs).astype(np.int64)
-        at += 4 * docs
+        self.with_id = np.frombuffer(raw, "u1", docs, at := at + 4 * docs).astype(bool)
+        at += docs
         self.levels = []
         for _ in range(levels):
             (n,) = struct.unpack_from("<Q", raw, at)
@@ -110,29 +113,40 @@ def _encoded(path: str, end_id: int, cuts: np.ndarray):
         for whole in batches:
             for low in range(0, whole.num_rows, ROWS_AT_ONCE):
                 batch = whole.slice(low, ROWS_AT_ONCE)
-                ids = batch.column("doc_id")
-                place = np.searchsorted(cuts, ids.fill_null(-(1 << 63)).to_numpy(), "left")
-                packed = [pack([0], [np.frombuffer(x + end, "<u4")]) for x in library.encode_many([x.as_py() or "" for x in batch.column("text")])]
-                yield pa.RecordBatch.from_pydict({"doc_id": ids, "range": pa.array(place, pa.int64()), "packed": pa.array(packed, pa.binary())})
+                ids, h = batch.column("doc_id").fill_null(NO_ID).to_numpy(), batch.column("h").to_numpy()
+                first = np.searchsorted(cuts, ids, "left")
+                spans = np.maximum(np.searchsorted(cuts, ids, "right") - first, 1)  # a doc_id that fills several ranges is dealt to them by its texts' hash
+                found = [_narrow(np.frombuffer(x + end, "<u4")) for x in library.encode_many([x.as_py() or "" for x in batch.column("text")])]
+                yield pa.RecordBatch.from_pydict({"doc_id": batch.column("doc_id"), "h": batch.column("h"), "range": pa.array(first + (h * spans >> 31), pa.int32()), "ids": pa.array(found, pa.binary())})
 
     return run
 
 
+def _narrow(ids: np.ndarray) -> bytes:
+    """A document's ids on their way to its range: two bytes each where all fit."""
+    return b"2" + ids.astype("<u2").tobytes() if ids.max() < 1 << 16 else b"4" + ids.tobytes()
+
+
+def _wide(raw: bytes) -> np.ndarray:
+    return np.frombuffer(raw, "<u2" if raw[:1] == b"2" else "<u4", offset=1).astype("<u4")
+
+
 def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Sorted documents to blocks of about BLOCK_IDS ids; a block never spans two ranges."""
+    forget_encoders()
     place, docs, ids, size, block = None, [], [], 0, 0
 
     def full() -> pa.RecordBatch:
-        return pa.RecordBatch.from_pydict({"range": pa.array([place], pa.int64()), "block": pa.array([block], pa.int64()), "n_ids": pa.array([size], pa.int64()), "content": pa.array([pack(docs, ids)], pa.binary())})
+        return pa.RecordBatch.from_pydict({"range": pa.array([place], pa.int32()), "block": pa.array([block], pa.int64()), "n_ids": pa.array([size], pa.int64()), "content": pa.array([pack(docs, ids)], pa.binary())})
 
     for batch in batches:
-        for doc_id, rng, raw in zip(batch.column("doc_id").to_pylist(), batch.column("range").to_pylist(), batch.column("packed"), strict=True):
+        for doc_id, rng, raw in zip(batch.column("doc_id").to_pylist(), batch.column("range").to_pylist(), batch.column("ids"), strict=True):
             if docs and (rng != place or size >= BLOCK_IDS):
                 yield full()
                 docs, ids, size, block = [], [], 0, block + 1 if rng == place else 0
             place = rng
             docs.append(doc_id)
-            ids.append(Block(raw.as_py()).all())
+            ids.append(_wide(raw.as_py()))
             size += len(ids[-1])
     if docs:
         yield full()
@@ -142,15 +156,17 @@ def write_token_blocks(docs: DataFrame, path: str, end_id: int = 2) -> DataFrame
     """Encode every text with the tokenizers library, append ``end_id``, and write blocks in ascending doc_id order.
 
     Returns the table of blocks read back from the shared folder: range, block, n_ids, content. Ranges of doc_ids are
-    bounded by quantiles of that column alone, so no text is read twice; each range is sorted by itself.
+    bounded by quantiles of that column, about RANGE_BYTES of text each; each range is one partition, sorted by itself. Rows without doc_id
+    come first; rows that share a doc_id are ordered by a hash of their text and may fill several ranges.
     """
-    src = with_text(docs)
-    ids = src.where("doc_id is not null").select("doc_id")
-    n = max(1, ids.count() // DOCS_A_RANGE)
-    cuts = sorted(set(ids.approxQuantile("doc_id", [k / n for k in range(1, n)], 0.1 / n))) if n > 1 else []
-    encoded = src.mapInArrow(_encoded(path, end_id, np.array(cuts)), "doc_id long, range long, packed binary")
-    sorted_ = encoded.repartition(n, "range").sortWithinPartitions("range", F.asc_nulls_first("doc_id"), "packed")
-    return written(sorted_.mapInArrow(_blocks, "range long, block long, n_ids long, content binary"), "token-blocks")
+    src = with_text(docs).withColumn("h", F.shiftrightunsigned(F.xxhash64("text"), 33))
+    size = src.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    n = int(min(max(1, size // RANGE_BYTES), MOST_RANGES))
+    found = src.select(F.coalesce("doc_id", F.lit(NO_ID)).alias("doc_id")).approxQuantile("doc_id", [k / n for k in range(1, n)], 0.1 / n) if n > 1 else []
+    cuts = np.array([int(min(max(x, NO_ID), (1 << 63) - 1)) for x in found], np.int64)
+    encoded = src.mapInArrow(_encoded(path, end_id, cuts), "doc_id long, h long, range int, ids binary")
+    sorted_ = encoded.repartitionById(n, "range").sortWithinPartitions("range", F.asc_nulls_first("doc_id"), "h", "ids").drop("h")
+    return written(sorted_.mapInArrow(_blocks, "range int, block long, n_ids long, content binary"), "token-blocks")
 
 
 def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -158,8 +174,11 @@ def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for start, raw in zip(batch.column("start").to_pylist(), batch.column("content"), strict=True):
             block = Block(raw.as_py())
             ids, at = block.all().astype("<u4"), np.concatenate([[0], np.cumsum(block.sizes)])
+            ends = np.concatenate([at[:-1], at[1:] - 1])  # each document's first and last id, by direct access
+            if (block.get(ends) != ids[ends]).any():
+                raise ValueError("a block's bitmaps and ranks do not agree")
             crc = [zlib.crc32(ids[a:b].tobytes()) for a, b in zip(at[:-1], at[1:], strict=True)]
-            yield pa.RecordBatch.from_pydict({"doc_id": pa.array(block.doc_ids, mask=block.doc_ids == -(1 << 63)), "start": pa.array(start + at[:-1]), "n_tokens": pa.array(block.sizes), "ids_crc32": pa.array(crc, pa.int64())})
+            yield pa.RecordBatch.from_pydict({"doc_id": pa.array(block.doc_ids, mask=~block.with_id), "start": pa.array(start + at[:-1]), "n_tokens": pa.array(block.sizes), "ids_crc32": pa.array(crc, pa.int64())})
 
 
 def read_token_blocks(blocks: DataFrame) -> DataFrame:
