@@ -42,10 +42,31 @@ def change_within(df: DataFrame, keys: list[str], order: str, seconds: str, valu
     return df.withColumn(name, F.when(near, F.col(value) - F.lag(value).over(w)))
 
 
-def filled_forward(df: DataFrame, keys: list[str], order: str, columns: list[str]) -> DataFrame:
-    """Each null replaced by the last known value of its key so far."""
-    w = Window.partitionBy(*keys).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
-    return df.withColumns({c: F.last(c, ignorenulls=True).over(w) for c in columns})
+def last_known(df: DataFrame, keys: list[str], order: list[str], values: dict[str, str], width: int | None = None) -> DataFrame:
+    """New columns (new name -> column): the last value of the key so far that isn't null, the row's own included.
+
+    With ``width`` (the first order column numeric) windows stay inside ranges of that many units; between ranges one row a key and range is carried on.
+    """
+    if width is None:
+        w = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+        return df.withColumns({name: F.last(c, ignorenulls=True).over(w) for name, c in values.items()})
+    kept = df.columns
+    ranged = df.withColumn("_range", F.floor(F.col(order[0]) / width))
+    inside = Window.partitionBy(*keys, "_range").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    ends = ranged.groupBy(*keys, "_range").agg(*[F.max_by(c, F.when(F.col(c).isNotNull(), F.struct(*order))).alias(f"_end{k}") for k, c in enumerate(values.values())])
+    over = Window.partitionBy(*keys).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)  # one row a key and range
+    carried = ends.select(*[F.col(k).alias(f"_key{i}") for i, k in enumerate(keys)], F.col("_range").alias("_at"), *[F.last(f"_end{k}", ignorenulls=True).over(over).alias(f"_from{k}") for k in range(len(values))])
+    same = F.col("_range").eqNullSafe(F.col("_at"))
+    for i, k in enumerate(keys):
+        same = same & F.col(k).eqNullSafe(F.col(f"_key{i}"))
+    seen = ranged.withColumns({f"_in{k}": F.last(c, ignorenulls=True).over(inside) for k, c in enumerate(values.values())}).join(carried, same, "left")
+    new = {name: F.coalesce(f"_in{k}", f"_from{k}") for k, name in enumerate(values)}
+    return seen.select(*[new.pop(c).alias(c) if c in new else F.col(c) for c in kept], *[c.alias(n) for n, c in new.items()])
+
+
+def filled_forward(df: DataFrame, keys: list[str], order: str, columns: list[str], width: int | None = None) -> DataFrame:
+    """Each null replaced by the last known value of its key so far; ``width`` as in ``last_known``."""
+    return last_known(df, keys, [order], {c: c for c in columns}, width)
 
 
 def reconciled(left: DataFrame, right: DataFrame, keys: list[str], a: str, b: str, factor: str = "1") -> DataFrame:

@@ -34,14 +34,23 @@ def removals(log: DataFrame, snapshot: DataFrame, key: list[str], observed_at) -
     return gone.withColumns({"listed": F.lit(False), "observed_at": F.lit(observed_at)})
 
 
-def bounded_removals(log: DataFrame, gone: DataFrame, key: list[str], least: int = 25, share: float = 0.2) -> DataFrame:
-    """``gone``, or no row and an error of the caller's to raise, if it is more than max(least, share of the listed)."""
-    listed = newest(log, key).where("listed").count()
-    return gone if gone.count() <= max(least, share * listed) else gone.limit(0)
+class MassRemoval(ValueError):
+    """A snapshot that lacks more entities than a run may unlist."""
 
 
-def append(log: DataFrame, snapshot: DataFrame, key: list[str], observed_at) -> DataFrame:
-    return changes(log, snapshot, key).unionByName(bounded_removals(log, removals(log, snapshot, key, observed_at), key), allowMissingColumns=True)
+def bounded_removals(log: DataFrame, gone: DataFrame, key: list[str], least: int = 25, share: float = 0.2, allow: bool = False) -> DataFrame:
+    """``gone``; raises MassRemoval if it is more than max(least, share of the listed), unless the caller allows that."""
+    if not allow:
+        n, listed = gone.count(), newest(log, key).where("listed").count()
+        if n > max(least, share * listed):
+            raise MassRemoval(f"{n} of {listed} listed entities are missing from the snapshot")
+    return gone
+
+
+def append(log: DataFrame, snapshot: DataFrame, key: list[str], observed_at, allow_removals: bool = False) -> DataFrame:
+    """The rows to add to the log: changed and new entities, then the removed ones. Nothing is added when too many are missing (MassRemoval)."""
+    gone = bounded_removals(log, removals(log, snapshot, key, observed_at), key, allow=allow_removals)
+    return changes(log, snapshot, key).unionByName(gone, allowMissingColumns=True)
 
 
 def missing_hours(log: DataFrame, wanted: DataFrame, key: list[str], time: str) -> DataFrame:
@@ -55,8 +64,8 @@ def sweep_candidates(log: DataFrame, snapshot: DataFrame, id_column: str, settle
     known = newest(log, [id_column])
     gone = known.where("listed").join(snapshot, id_column, "left_anti").select(id_column, F.lit(0).alias("priority"))
     open_ = known.join(snapshot.select(id_column), id_column, "left_semi").where(~F.col(settled)).select(id_column, F.lit(1).alias("priority"))
-    top = known.agg(F.coalesce(F.max(id_column), F.lit(-1)).alias("_m"))
-    unseen = top.select(F.explode(F.sequence(F.lit(0).cast("long"), F.col("_m") + ahead)).alias(id_column)).join(known, id_column, "left_anti").select(id_column, F.lit(2).alias("priority"))
+    top = known.agg(F.coalesce(F.max(id_column), F.lit(-1))).first()[0]
+    unseen = log.sparkSession.range(top + ahead + 1).select(F.col("id").alias(id_column)).join(known, id_column, "left_anti").select(id_column, F.lit(2).alias("priority"))
     out = gone.unionByName(open_).unionByName(unseen).orderBy("priority", id_column)
     return out.limit(limit) if limit else out
 
@@ -79,11 +88,13 @@ def current_filled(log: DataFrame, key: list[str], columns: list[str], time: str
 
 
 def verify(log: DataFrame, key: list[str], payload: list[str], time: str = "observed_at") -> DataFrame:
-    """(kind, key): hash_mismatch where the payload's hash isn't the stored one, repeated where two rows in a row say the same, duplicate_time."""
+    """(key, time, kind): hash_mismatch where the payload's hash isn't the stored one, repeated where two rows in a row say the same,
+    duplicate_time, and orphan_removal where a row unlists an entity that isn't listed before it."""
     w = Window.partitionBy(*key).orderBy(time)
     same = (F.lag("payload_sha256").over(w) == F.col("payload_sha256")) & (F.lag("listed").over(w) == F.col("listed"))
-    rows = log.withColumns({"_bad": payload_hash(payload) != F.col("payload_sha256"), "_same": F.coalesce(same, F.lit(False)), "_twice": F.coalesce(F.lag(time).over(w) == F.col(time), F.lit(False))})
-    kinds = F.filter(F.array(F.when(F.col("_bad"), "hash_mismatch"), F.when(F.col("_same"), "repeated"), F.when(F.col("_twice"), "duplicate_time")), lambda k: k.isNotNull())
+    checks = {"hash_mismatch": ~payload_hash(payload).eqNullSafe(F.col("payload_sha256")), "repeated": same, "duplicate_time": F.lag(time).over(w) == F.col(time), "orphan_removal": ~F.col("listed") & ~F.coalesce(F.lag("listed").over(w), F.lit(False))}
+    rows = log.withColumns({f"_{k}": F.coalesce(c, F.lit(False)) for k, c in checks.items()})
+    kinds = F.filter(F.array(*[F.when(F.col(f"_{k}"), k) for k in checks]), lambda k: k.isNotNull())
     return rows.select(*key, time, F.explode(kinds).alias("kind"))
 
 

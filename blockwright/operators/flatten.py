@@ -63,12 +63,12 @@ def flatten_table(blocks: DataFrame, spec: TableSpec) -> DataFrame:
 
 
 def flatten(blocks: DataFrame, spec: FlattenSpec) -> dict[str, DataFrame]:
-    """All tables of a family; blocks with errors go to ``quarantine`` as a whole."""
+    """All tables of a family; blocks with errors go to ``quarantine`` as a whole; no list of errors (null) is no error."""
     out = {}
     if spec.errors:
         checked = blocks.withColumn("_errors", F.expr(spec.errors))
-        out["quarantine"] = checked.where(F.size("_errors") > 0).select("block_num", F.explode("_errors").alias("error"))
-        blocks = checked.where(F.size("_errors") == 0).drop("_errors")
+        out["quarantine"] = checked.where(F.coalesce(F.size("_errors"), F.lit(0)) > 0).select("block_num", F.explode("_errors").alias("error"))
+        blocks = checked.where(F.coalesce(F.size("_errors"), F.lit(0)) <= 0).drop("_errors")
     return out | {t.name: flatten_table(blocks, t) for t in spec.tables}
 
 

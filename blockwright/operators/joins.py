@@ -11,16 +11,18 @@ def band_join(points: DataFrame, ranges: DataFrame, keys: list[str], point: str,
     return points.join(ranges, keys).where(F.col(point).between(F.col(begin), F.col(end)))
 
 
-def asof_join(facts: DataFrame, history: DataFrame, keys: list[str], time: str, valid_from: str, columns: list[str]) -> DataFrame:
+def asof_join(facts: DataFrame, history: DataFrame, keys: list[str], time: str, valid_from: str, columns: list[str], width: int | None = None) -> DataFrame:
     """Each fact with the history row valid at its time (the latest with valid_from <= time), nulls where there is none.
 
-    One union and one window over (key, time): linear in both sides, whatever the number of versions of a key.
+    One union and one window over (key, time): linear in both sides, whatever the number of versions of a key. With ``width``
+    (numeric times) the window stays inside ranges of that many units, and one row a key and range is carried on, so that a busy key is no single task.
     """
+    from blockwright.operators.aggregates import last_known
+
     held = F.struct(*columns)
     left = facts.select(*keys, F.col(time).alias("_t"), F.lit(1).alias("_side"), F.struct(*facts.columns).alias("_fact"), F.lit(None).cast(history.select(held.alias("h")).schema["h"].dataType).alias("_held"))
     right = history.select(*keys, F.col(valid_from).alias("_t"), F.lit(0).alias("_side"), F.lit(None).cast(left.schema["_fact"].dataType).alias("_fact"), held.alias("_held"))
-    w = Window.partitionBy(*keys).orderBy("_t", "_side").rowsBetween(Window.unboundedPreceding, 0)
-    seen = left.unionByName(right).withColumn("_now", F.last("_held", ignorenulls=True).over(w)).where("_side = 1")
+    seen = last_known(left.unionByName(right), keys, ["_t", "_side"], {"_now": "_held"}, width).where("_side = 1")
     return seen.select("_fact.*", *[F.col(f"_now.{c}").alias(c) for c in columns])
 
 
@@ -49,41 +51,50 @@ def spend_join(inputs: DataFrame, outputs: DataFrame) -> DataFrame:
     return spends.join(spent, ["prev_txid", "prev_vout"])
 
 
-def descendants(edges: DataFrame, roots: DataFrame, rounds: int = 60) -> DataFrame:
+def descendants(edges: DataFrame, roots: DataFrame) -> DataFrame:
     """All (root, node, depth) reachable along edges (parent, child), each pair once at its least depth; cycles end.
 
-    Each round joins only the newest pairs, leaves out the ones seen, and cuts its lineage with checkpoint().
+    Each round joins only the newest pairs, leaves out the ones seen, and appends its pairs to one stored table; rounds go on until one finds nothing.
     """
-    from blockwright.sources.tables import ensure_checkpoint_dir
-
-    ensure_checkpoint_dir(edges.sparkSession)
-    seen = roots.select(F.col("node").alias("root"), "node", F.lit(0).alias("depth")).distinct().checkpoint()
-    newest = seen
-    for k in range(1, rounds + 1):
-        step = newest.join(edges, newest["node"] == edges["parent"]).select("root", F.col("child").alias("node"), F.lit(k).alias("depth")).distinct()
-        newest = step.join(seen.select("root", "node"), ["root", "node"], "left_anti").checkpoint()
+    from blockwright.sources.tables import shared_path
+
+    spark, path = edges.sparkSession, shared_path(edges.sparkSession, "descendants")
+    pairs = roots.select(F.col("node").alias("root"), "node", F.lit(0).alias("depth")).distinct()
+    schema, k = pairs.schema, 0
+    while True:
+        pairs.write.parquet(f"{path}/round={k}")
+        newest = spark.read.schema(schema).parquet(f"{path}/round={k}")
+        seen = spark.read.schema(schema).parquet(path)
         if newest.isEmpty():
-            break
-        seen = seen.unionByName(newest).checkpoint()
-    return seen
+            return seen.select("root", "node", "depth")
+        k += 1
+        step = newest.join(edges, newest["node"] == edges["parent"]).select("root", F.col("child").alias("node"), F.lit(k).alias("depth")).distinct()
+        pairs = step.join(seen.select("root", "node"), ["root", "node"], "left_anti").select("root", "node", "depth")
 
 
-def last_in_chain(links: DataFrame, rounds: int = 40) -> DataFrame:
+def last_in_chain(links: DataFrame) -> DataFrame:
     """For each (node, next): the node its chain ends at and how far; doubled jumps, so rounds grow with the log of the length.
 
-    ``next`` null ends a chain; a next that has no row leaves the range and gives last = null (pending). Cycles give no row.
+    ``next`` null ends a chain; a next that has no row leaves the range and gives last = null (pending). Nodes on a cycle, or that lead into one,
+    give no row. Only unfinished nodes go on to the next round; a round that finishes none leaves nothing but cycles, and is the last.
     """
-    from blockwright.sources.tables import ensure_checkpoint_dir
-
-    ensure_checkpoint_dir(links.sparkSession)
-    jump = links.select("node", F.col("next").alias("up"), F.when(F.col("next").isNull(), F.col("node")).alias("last"), F.when(F.col("next").isNull(), 0).otherwise(1).cast("long").alias("depth")).checkpoint()
-    for _ in range(rounds):
-        if jump.where("up is not null").isEmpty():
-            break
-        far = jump.select(F.col("node").alias("up"), F.col("up").alias("up2"), F.col("last").alias("last2"), F.col("depth").alias("depth2"))
-        stepped = jump.join(far, "up", "left")
-        jump = stepped.select("node", F.col("up2").alias("up"), F.coalesce("last", "last2").alias("last"), (F.col("depth") + F.coalesce("depth2", F.lit(0))).alias("depth")).checkpoint()
-    return jump.where("up is null").select("node", "last", "depth")
+    from blockwright.sources.tables import stored_table
+
+    first = links.select("node", F.col("next").alias("up"), F.when(F.col("next").isNull(), F.col("node")).alias("last"), F.when(F.col("next").isNull(), 0).otherwise(1).cast("long").alias("depth"))
+    ended = [stored_table(first.where("up is null"), "chain-ends")]
+    open_ = stored_table(first.where("up is not null"), "chain-open")
+    while True:
+        done = ended[0]
+        for part in ended[1:]:
+            done = done.unionByName(part)
+        far = done.unionByName(open_).select(F.col("node").alias("up"), F.col("up").alias("up2"), F.col("last").alias("last2"), F.col("depth").alias("depth2"))
+        stepped = open_.join(far, "up", "left").select("node", F.col("up2").alias("up"), F.col("last2").alias("last"), (F.col("depth") + F.coalesce("depth2", F.lit(0))).alias("depth"))
+        stepped = stored_table(stepped, "chain-step")
+        now = stepped.where("up is null")
+        if now.isEmpty():
+            return done.select("node", "last", "depth")
+        ended.append(now)
+        open_ = stepped.where("up is not null")
 
 
 def same_block_lineage(receipts: DataFrame, transactions: DataFrame) -> DataFrame:

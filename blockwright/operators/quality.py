@@ -44,14 +44,15 @@ def validate_blocks(blocks: DataFrame, allow_gaps: bool = False, width: int = BU
 
 
 def block_runs(blocks: DataFrame, width: int = BUCKET) -> DataFrame:
-    """Unbroken runs of heights: first, last, n (rows)."""
+    """Unbroken runs of heights: first, last. A run's end is looked for inside its range of heights, then in the ranges after it, one row a range."""
     b = _with_previous(blocks.withColumn("ts", F.lit(None).cast("long")), width)
-    starts = b.withColumn("_s", F.when(F.col("_num").isNull() | (F.col("block_num") > F.col("_num") + 1), F.col("block_num")))
-    begin = starts.where("_s is not null").select(F.col("_s").alias("first"), F.col("_num").alias("_before"))
-    w = Window.orderBy("first")  # one row a run
-    ends = begin.select("first", F.lead("_before").over(w).alias("last"))
+    starts = F.col("_num").isNull() | (F.col("block_num") > F.col("_num") + 1)
+    begin = b.where(starts).select(F.col("block_num").alias("first"), F.col("_num").alias("_before"), F.floor(F.col("block_num") / width).alias("_bucket"))
+    inside = begin.withColumn("_next", F.lead("_before").over(Window.partitionBy("_bucket").orderBy("first")))
+    over = Window.orderBy("_bucket")  # one row for each range of heights
+    edges = begin.groupBy("_bucket").agg(F.min_by("_before", "first").alias("_before")).select("_bucket", F.lead("_before").over(over).alias("_after"))
     top = blocks.agg(F.max("block_num")).first()[0]
-    return ends.select("first", F.coalesce("last", F.lit(top)).alias("last"))
+    return inside.join(edges, "_bucket", "left").select("first", F.coalesce("_next", "_after", F.lit(top)).alias("last"))
 
 
 def seal_range(blocks: DataFrame, start: int, stop: int, width: int = BUCKET) -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,11 +13,22 @@ from pyspark.sql import types as T
 LAST_TABLE = "blocks"
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Spark's own setting where there is one; a temporary folder only where it is unset (tests, one machine)."""
+def shared_path(spark: SparkSession, name: str) -> str:
+    """A new path in the cluster's ``spark.checkpoint.dir``; a temporary folder only where that is unset and Spark runs on one machine (tests)."""
     found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(found or "file://" + tempfile.mkdtemp(prefix="spark-checkpoints-"))
+    if not found:
+        if not spark.sparkContext.master.split("[")[0] == "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        found = "file://" + tempfile.mkdtemp(prefix="spark-shared-")
+        spark.conf.set("spark.checkpoint.dir", found)
+    return f"{found.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def stored_table(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written once and read back: lineage ends there, and the sizes Spark plans with are real."""
+    path = shared_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def read_blocks(spark: SparkSession, path: str, schema: T.StructType | str, form: str = "parquet") -> DataFrame:
@@ -32,7 +44,10 @@ def writer_options(lookup_columns: Iterable[str] = (), codec: str = "zstd", rows
     """Parquet options: codec, bounded row groups, Bloom filters on the columns that point lookups ask for."""
     out = {"compression": codec, "parquet.block.row.count.limit": str(rows_a_group)}
     for c in lookup_columns:
-        out[f"parquet.bloom.filter.enabled#{c}"] = "true"
+        out |= {f"parquet.bloom.filter.enabled#{c}": "true", f"parquet.bloom.filter.candidates.number#{c}": "8"}
+    if len(out) > 2:
+        # one of eight sizes from 1 to 128 KB, by the group's distinct values: 128 KB suit 65,536 of them
+        out |= {"parquet.bloom.filter.adaptive.enabled": "true", "parquet.bloom.filter.max.bytes": str(1 << 17)}
     return out
 
 

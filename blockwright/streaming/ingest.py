@@ -8,8 +8,9 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
+from blockwright.operators.changelog import newest
 from blockwright.operators.flatten import FlattenSpec, flatten
-from blockwright.sources.tables import LAST_TABLE, writer_options
+from blockwright.sources.tables import LAST_TABLE, stored_table, writer_options
 
 
 def write_batch(tables: dict[str, DataFrame], root: str, batch_id: int) -> None:
@@ -35,11 +36,15 @@ def ingest_stream(source: DataFrame, spec: FlattenSpec, root: str, checkpoint: s
 
 
 def assign_ordinal(batch: DataFrame, order: list[str], after: int) -> DataFrame:
-    """Strictly increasing stream_ordinal in delivery order, from ``after`` + 1 on. Ranges are sorted apart, their sizes are added up."""
-    ranged = batch.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_p", F.spark_partition_id())
-    sizes = ranged.groupBy("_p").agg(F.count("*").alias("_n"))
-    before = sizes.select("_p", (F.sum("_n").over(Window.orderBy("_p")) - F.col("_n")).alias("_before"))  # one row a partition
-    return ranged.withColumn("_i", F.row_number().over(Window.partitionBy("_p").orderBy(*order))).join(F.broadcast(before), "_p").withColumn("stream_ordinal", F.col("_before") + F.col("_i") + after).drop("_p", "_i", "_before")
+    """Strictly increasing stream_ordinal in delivery order, from ``after`` + 1 on.
+
+    Sorted ranges are stored with each row's range and place in it, so that a replayed task can't number them differently; then their sizes are added up.
+    """
+    ranged = batch.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_id", F.monotonically_increasing_id())
+    fixed = stored_table(ranged.select(*batch.columns, F.shiftright("_id", 33).alias("_p"), F.col("_id").bitwiseAND((1 << 33) - 1).alias("_i")), "ordinals")
+    sizes = fixed.groupBy("_p").agg(F.count("*").alias("_n"))
+    before = sizes.select("_p", (F.sum("_n").over(Window.orderBy("_p")) - F.col("_n")).alias("_before"))  # one row a range
+    return fixed.join(F.broadcast(before), "_p").withColumn("stream_ordinal", F.col("_before") + F.col("_i") + 1 + after).drop("_p", "_i", "_before")
 
 
 def live_head_stream(events: DataFrame) -> DataFrame:
@@ -49,11 +54,16 @@ def live_head_stream(events: DataFrame) -> DataFrame:
 
 
 def changelog_writer(root: str, key: list[str], append: Callable[[DataFrame, DataFrame], DataFrame], schema) -> Callable[[DataFrame, int], None]:
-    """For foreachBatch over snapshots: only changes against the log so far are written, in the batch's own folder."""
+    """For foreachBatch over snapshots: only changes against the log so far are written, in the batch's own folder (``log/batch=K``).
+
+    Beside it ``newest/batch=K`` keeps each entity's newest row, which is all that the next batch reads, so a batch costs the same however long the log is.
+    """
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        log = spark.createDataFrame([], schema) if batch_id == 0 else spark.read.schema(schema).parquet(*[f"{root}/batch={k}" for k in range(batch_id)])
-        append(log, batch).write.mode("overwrite").parquet(f"{root}/batch={batch_id}")
+        before = spark.createDataFrame([], schema) if batch_id == 0 else spark.read.schema(schema).parquet(f"{root}/newest/batch={batch_id - 1}")
+        append(before, batch).write.mode("overwrite").parquet(f"{root}/log/batch={batch_id}")
+        added = spark.read.schema(schema).parquet(f"{root}/log/batch={batch_id}")
+        newest(before.unionByName(added), key).write.mode("overwrite").parquet(f"{root}/newest/batch={batch_id}")
 
     return write
 

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from blockwright.functions import labels as L
 from blockwright.functions import parse as P
 from blockwright.functions import schema as S
+from blockwright.operators import aggregates
 from blockwright.operators import changelog as G
 from blockwright.operators import flatten as FL
 from blockwright.operators import forks, joins, layout, outcome, quality
@@ -80,11 +81,31 @@ def test_failed_transaction_keeps(spark):
 
 def test_flatten_and_nesting(spark):
     blocks = spark.createDataFrame([(1, [("a", [1, 2]), ("b", [])]), (2, None), (3, [("bad", [3])])], "block_num long, txs array<struct<h: string, v: array<int>>>")
-    spec = FL.FlattenSpec("t", (FL.TableSpec("txs", (FL.Level("txs", "i"),), {"h": "e0.h"}), FL.TableSpec("vals", (FL.Level("txs", "i"), FL.Level("v", "j", outer=True)), {"v": "e1"})), errors="transform(filter(txs, t -> t.h = 'bad'), t -> 'bad')")
-    out = FL.flatten(blocks.withColumn("txs", F.coalesce("txs", F.expr("array()").cast("array<struct<h: string, v: array<int>>>"))), spec)
+    spec = FL.FlattenSpec("t", (FL.TableSpec("blocks"), FL.TableSpec("txs", (FL.Level("txs", "i"),), {"h": "e0.h"}), FL.TableSpec("vals", (FL.Level("txs", "i"), FL.Level("v", "j", outer=True)), {"v": "e1"})), errors="transform(filter(txs, t -> t.h = 'bad'), t -> 'bad')")
+    out = FL.flatten(blocks, spec)  # block 2 has no list, so no list of errors either, and isn't lost
     assert rows(out["txs"]) == [(1, 0, "a"), (1, 1, "b")]
     assert rows(out["vals"]) == [(1, 0, 0, 1), (1, 0, 1, 2), (1, 1, None, None)]
     assert rows(out["quarantine"]) == [(3, "bad")]
+    assert rows(out["blocks"].select("block_num")) == [(1,), (2,)]
+
+
+@pytest.mark.parametrize("width", [None, 2, 1000])
+def test_last_known_in_ranges(spark, width):
+    data = [("k", 0, None), ("k", 1, "a"), ("k", 5, None), ("k", 9, None), ("k", 10, "b"), ("k", 11, None), (None, 3, "n"), (None, 8, None), ("l", 4, None)]
+    df = spark.createDataFrame(data, "k string, t long, v string")
+    got = {(r["k"], r["t"]): r["v"] for r in aggregates.filled_forward(df, ["k"], "t", ["v"], width).collect()}
+    assert got == {("k", 0): None, ("k", 1): "a", ("k", 5): "a", ("k", 9): "a", ("k", 10): "b", ("k", 11): "b", (None, 3): "n", (None, 8): "n", ("l", 4): None}
+    facts = spark.createDataFrame([("k", 5), ("k", 1), ("other", 9), ("k", 3)], "k string, t long")
+    hist = spark.createDataFrame([("k", 3, "x"), ("k", 5, "y"), ("k", 4, None)], "k string, v long, name string")
+    assert rows(joins.asof_join(facts, hist, ["k"], "t", "v", ["name"], width)) == [("k", 1, None), ("k", 3, "x"), ("k", 5, "y"), ("other", 9, None)]
+
+
+def test_long_chains_and_cycles(spark):
+    links = [(k, k + 1) for k in range(100)] + [(100, None), (200, 201), (201, 202), (202, 200), (203, 200)]
+    got = {r[0]: (r[1], r[2]) for r in joins.last_in_chain(spark.createDataFrame(links, "node long, next long")).collect()}
+    assert got == {k: (100, 100 - k) for k in range(101)}
+    edges = spark.createDataFrame([(k, k + 1) for k in range(70)], "parent long, child long")
+    assert joins.descendants(edges, spark.createDataFrame([(0,)], "node long")).agg(F.max("depth"), F.count("*")).first() == (70, 71)
 
 
 def test_asof_and_chains(spark):
@@ -104,7 +125,9 @@ def test_change_log(spark):
     out = G.append(log, snap, ["entity"], 2)
     assert rows(out.select("entity", "kind", "listed")) == [(3, "b", True), (38, "a", False), (39, "a", False), (99, "n", True)]
     few = snap.where("entity < 5")
-    assert rows(G.append(log, few, ["entity"], 2).select("entity")) == [(3,)]  # a mass removal is refused
+    with pytest.raises(G.MassRemoval, match="40 listed"):
+        G.append(log, few, ["entity"], 2)
+    assert G.append(log, few, ["entity"], 2, allow_removals=True).where("not listed").count() == 35
     with pytest.raises(ValueError, match="only columns at the end"):
         G.evolve(log, {"x": "string"})
     assert G.evolve(log, {**{x: "string" for x in log.columns}, "more": "long"}).where("more is not null").count() == 0
@@ -125,12 +148,14 @@ def test_write_read_and_compact(spark, tmp_path):
     assert ST.read_metadata(spark, str(tmp_path)) == {"chain": "x"}
     back = ST.table(spark, str(tmp_path), "fills")
     assert back.count() == 1000
-    days = [r[0] for r in ST.closed_dates(back).collect()]
-    assert sorted(days) == [dt.date(2026, 1, 1), dt.date(2026, 1, 2)]
-    done = layout.compact_closed_dates(spark, str(tmp_path), "fills", f"{tmp_path}/c", days)
-    assert done == {dt.date(2026, 1, 1): 400, dt.date(2026, 1, 2): 400}
-    again = spark.read.parquet(f"{tmp_path}/c/fills/_day=2026-01-01")
+    days = ST.closed_dates(back)
+    assert rows(days) == [(dt.date(2026, 1, 1),), (dt.date(2026, 1, 2),)]
+    assert rows(layout.compact_closed_dates(spark, str(tmp_path), "fills", f"{tmp_path}/c", days)) == [(dt.date(2026, 1, 1), 400), (dt.date(2026, 1, 2), 400)]
+    again = spark.read.parquet(f"{tmp_path}/c/fills")
     assert layout.order_breaks(again, ["block_num", "fill_index"]).count() == 0
+    assert sum(f.stat().st_size for f in tmp_path.glob("fills/**/*.parquet")) < 100_000  # the lookup filters stay small
+    with pytest.raises(KeyError):
+        layout.row_order_key("votes")
 
 
 def test_stream_equals_batch_and_restarts(spark, tmp_path):
@@ -164,3 +189,17 @@ def test_ordinals_and_days(spark):
     b = spark.createDataFrame([(1, None), (2, t(3)), (3, None), (9, None), (10, t(5))], "block_num long, ts timestamp")
     for width in (2, 1000):
         assert [r["date"].day for r in ingest.routing_day(b, width=width).orderBy("block_num").collect()] == [3, 3, 3, 3, 5]
+
+
+def test_change_log_stream_reads_only_the_newest_rows(spark, tmp_path):
+    c = "entity long, observed_at long, kind string"
+    shape = lambda data: G.shaped(spark.createDataFrame(data, c), ["entity"], "s")
+    batches = [shape([(1, 1, "a"), (2, 1, "b")]), shape([(1, 2, "a"), (2, 2, "c")]), shape([(1, 3, "z"), (2, 3, "c")])]
+    write = ingest.changelog_writer(str(tmp_path), ["entity"], lambda log, snap: G.append(log, snap, ["entity"], 9), batches[0].schema)
+    for k, b in enumerate(batches):
+        write(b, k)
+    log = spark.read.schema(batches[0].schema).parquet(f"{tmp_path}/log")
+    assert rows(log.select("entity", "observed_at", "kind")) == [(1, 1, "a"), (1, 3, "z"), (2, 1, "b"), (2, 2, "c")]
+    assert G.verify(log, ["entity"], ["kind"]).count() == 0
+    bad = log.where("entity = 1").withColumn("kind", F.lit("q")).unionByName(log.where("entity = 2").limit(1).withColumns({"listed": F.lit(False), "entity": F.lit(7).cast("long")}))
+    assert {r["kind"] for r in G.verify(bad, ["entity"], ["kind"]).collect()} == {"hash_mismatch", "orphan_removal"}
