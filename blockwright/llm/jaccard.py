@@ -245,9 +245,9 @@ def jaccard_components(docs: DataFrame, words: int = 5, num: int = 80, den: int
     sets = written(texts.mapInArrow(_sets(words), "key long, s array<long>").dropDuplicates(["key"]), "sets")
     joined = written(components(block_links(blocks, sets, num, den)), "joined")
     named = classes.select("key", "class_id").join(joined.hint("merge"), F.col("key") == F.col("node"), "left").select("key", "class_id", "component")
-    least = named.where("component is not null").groupBy("component").agg(F.min("class_id").alias("component_id"))
-    # a table of one row a class, so that the join with a hot class's documents can be split
+    least = written(named.where("component is not null").groupBy("component").agg(F.min("class_id").alias("component_id")), "least")
+    # tables of their own, so that the joins with a large component's classes and a hot class's documents can be split
     names = written(named.join(least.hint("merge"), "component", "left").select("key", "class_id", F.coalesce("component_id", "class_id").alias("component_id")), "names")
-    forget(classes, met, blocks, sets, joined)
+    forget(classes, met, blocks, sets, joined, least)
     alone = all_.where("n = 0").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("class_id"), F.col("doc_id").alias("component_id"))
     return full.join(names.hint("merge"), "key").select("doc_id", F.col("n").alias("n_shingles"), "class_id", "component_id").union(alone)

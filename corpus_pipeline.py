@@ -17,7 +17,7 @@ from blockwright.llm.jaccard import jaccard_components
 from blockwright.llm.langid import fit, predict_languages
 from blockwright.llm.queries import tokenizer_path
 from blockwright.llm.secrets import redacted
-from blockwright.llm.shared import ship, written
+from blockwright.llm.shared import forget, ship, written
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
@@ -84,7 +84,10 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs, last = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
     for name, stage in STAGES:
         docs = written(stage(spark, docs, sf_dir), f"stage-{name}")
+        if last is not None:
+            forget(last)
+        last = docs
     return docs
