@@ -3,10 +3,12 @@
 Documents with equal sets become one class. A class of n shingles that has a partner at ratio 0.9 differs from it in at
 most n // 9 shingles; the hash space is cut into more parts than that (as many as its size class needs), so a partner
 shares at least one part whole, and one that isn't empty but for a chance below MISS. Sets so small that only one shingle can differ
-are found through the hashes of the set and of all but one of its shingles, without any chance. Classes that share a part, by whatever
-chain, form a block. The product of the class by n-gram incidence with its transpose is computed block by block: small blocks
-share a tile, large ones are cut into tiles of about TILE_ROWS classes, and a pair of a tile is kept when its overlap count reaches
-the bound that follows from the two sizes. In a large block each tile also holds the block's first class; classes linked with it by
+are found through the hashes of the set and of all but one of its shingles, without any chance.
+
+All links come from the product of the class by n-gram incidence with its transpose, computed tile by tile: a pair of a tile is kept when
+its overlap count reaches the bound that follows from the two sizes. A part that few classes share gives its pairs of fitting sizes, dealt to tiles of
+about TILE_ROWS pairs. Classes of the other parts, by whatever chain, form blocks: small ones share a tile, large ones are cut into tiles of
+about TILE_ROWS classes. In a large block each tile also holds the block's first class; classes linked with it by
 their own tile need no more products with each other, and only the others (with all classes) go through the tiles off the diagonal.
 """
 
@@ -23,10 +25,12 @@ from pyspark.sql import functions as F
 
 from blockwright.llm.arrays import mix, slices, text_bytes, word_hashes
 from blockwright.llm.graph import components
-from blockwright.llm.shared import forget, with_text, written
+from blockwright.llm.shared import forget, sweep, with_text, written
 
 CLASS_WIDTH = 1.5
 MISS = 1e-8
+SURE = 1000
+FEW = 12
 TILE_ROWS = 256
 LIGHT = 8
 COLUMNS = 4096
@@ -73,54 +77,62 @@ def parts_of(level: int, num: int, den: int) -> int:
     """Into how many parts sets meet whose larger one is of this level; 0: through all but one of their shingles.
 
     With s shared shingles and d others, at most d parts have one of the others, so no part of only shared ones is left with a chance of
-    at most (d / parts)^s.
+    at most (d / parts)^s. Beyond SURE shingles that is far below MISS anyway.
     """
     top = math.ceil(CLASS_WIDTH ** (level + 1))
     need = _most_apart(top, num, den) + 1
-    parts, apart = need + 5 + need // 48, 0
-    for n in range(max(1, math.floor(CLASS_WIDTH**level)), top + 1):
+    parts, apart = need + 5 + need // 16, 0
+    for n in range(max(1, math.floor(CLASS_WIDTH**level)), top + 1) if top <= SURE else ():
         for shared in range(-(-num * n // den), n + 1):
             d = shared * den // num - shared  # the union is at most shared * den / num
             apart = max(apart, d)
             parts = max(parts, math.ceil(d / MISS ** (1 / shared)))
-    return 0 if apart <= 1 and parts > top else parts
+    return 0 if top <= SURE and apart <= 1 and parts > top else parts
 
 
-def part_signatures(s: np.ndarray, num: int, den: int) -> np.ndarray:
-    """One hash for each part of the set that isn't empty, at its size class and, near the border, the next one."""
+def signed_parts(s: np.ndarray, num: int, den: int) -> tuple[np.ndarray, np.ndarray]:
+    """One hash for each part of the set that isn't empty, at its size class and, near the border, the next one; and how many of that size class's
+    parts the set shares with any partner, at least: all but those that a difference can touch and the empty ones."""
     n = len(s)
     if not n or not _most_apart(n, num, den):
-        return np.zeros(0, np.uint64)
-    out, inner = [], mix(s)
+        return np.zeros(0, np.uint64), np.zeros(0, np.int32)
+    out, asks, inner = [], [], mix(s)
     for level in sorted({_level(n), _level(n * den // num)}):
-        parts, tag = np.uint64(parts_of(level, num, den)), np.uint64(level << 32)
+        parts, tag = parts_of(level, num, den), np.uint64(level << 32)
         if not parts:
             out.append(mix(inner.sum(dtype=np.uint64) - np.append(inner, np.uint64(0)) + mix(np.full(1, tag))))
+            asks.append(1)
             continue
-        part = ((s >> np.uint64(32)) * parts) >> np.uint64(32)
+        part = ((s >> np.uint64(32)) * np.uint64(parts)) >> np.uint64(32)
         first = np.flatnonzero(np.concatenate([[True], part[1:] != part[:-1]]))
         out.append(mix(np.add.reduceat(inner, first) + mix(part[first] + tag)))
-    return np.concatenate(out)
+        asks.append(max(1, len(first) - _most_apart(n, num, den)))
+    return np.concatenate(out), np.repeat(np.array(asks, np.int32), [len(x) for x in out])
 
 
-def _lists(values: list[np.ndarray]) -> pa.Array:
-    flat = np.concatenate(values).view(np.int64) if values else np.zeros(0, np.int64)
+def part_signatures(s: np.ndarray, num: int, den: int) -> np.ndarray:
+    return signed_parts(s, num, den)[0]
+
+
+def _lists(values: list[np.ndarray], kind: type = np.int64) -> pa.Array:
+    flat = np.concatenate(values).view(kind) if values else np.zeros(0, kind)
     return pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum([len(x) for x in values])]).astype(np.int32)), pa.array(flat))
 
 
 def _profile(words: int, num: int, den: int):
-    """Rows (doc_id, place, n, key, parts) of texts (doc_id, place, text)."""
+    """Rows (doc_id, place, n, key, parts, asks) of texts (doc_id, place, text)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             data, offsets = text_bytes(batch.column("text"))
             for i, j in slices(offsets, BATCH_BYTES):
-                n, key, parts = [], [], []
+                n, key, parts, asks = [], [], [], []
                 for s in shingle_sets(data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i], words):
                     n.append(len(s))
                     key.append(set_key(s))
-                    parts.append(part_signatures(s, num, den))
-                yield pa.RecordBatch.from_pydict({"doc_id": batch.column("doc_id").slice(i, j - i), "place": batch.column("place").slice(i, j - i), "n": pa.array(n, pa.int64()), "key": pa.array(key, pa.int64()), "parts": _lists(parts)})
+                    for found, into in zip(signed_parts(s, num, den), (parts, asks), strict=True):
+                        into.append(found)
+                yield pa.RecordBatch.from_pydict({"doc_id": batch.column("doc_id").slice(i, j - i), "place": batch.column("place").slice(i, j - i), "n": pa.array(n, pa.int64()), "key": pa.array(key, pa.int64()), "parts": _lists(parts), "asks": _lists(asks, np.int32)})
 
     return run
 
@@ -201,6 +213,32 @@ def _products(tiles: DataFrame, sets: DataFrame, num: int, den: int) -> DataFram
     return tiles.join(sets, "key").groupBy("t", "i", "j").applyInArrow(_tile(num, den), "u long, v long")
 
 
+def _met(parts: DataFrame) -> DataFrame:
+    """(part, hub, m) of the parts that several classes have: the smallest key, and the number of rows."""
+    return parts.groupBy("part").agg(F.min("key").alias("hub"), F.max("key").alias("top"), F.count("*").alias("m")).where("hub < top").select("part", "hub", "m")
+
+
+def _pruned(near: DataFrame) -> DataFrame:
+    """Written rows (part, key, n, ask) without classes that share fewer parts than they would with any partner, and the parts left with one class; hub and m added.
+
+    Partners' shared parts all stay, so no link is lost; what goes is classes that share a passage or two.
+    """
+    enough = near.groupBy("key", "ask").agg(F.count("*").alias("c")).where("c >= ask").select("key", "ask")
+    live = written(near.select("part", "key", "n", "ask").join(enough.hint("merge"), ["key", "ask"], "left_semi"), "live")
+    met = written(_met(live), "met")
+    out = written(live.join(met.hint("merge"), "part"), "near")
+    forget(near, live, met)
+    return out
+
+
+def pair_links(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
+    """Links (u, v) among written candidate pairs (u, v): all pairs of one u in one tile, which has each class once."""
+    tiles = max(1, pairs.count() // TILE_ROWS)
+    t, none = _dealt("u", tiles).alias("t"), F.lit(-2).cast("long")
+    rows = pairs.select(t, F.col("u").alias("key")).union(pairs.select(t, F.col("v").alias("key"))).distinct()
+    return _products(rows.select("t", none.alias("i"), none.alias("j"), "key", F.lit(2).alias("side")), sets, num, den)
+
+
 def block_links(blocks: DataFrame, sets: DataFrame, num: int, den: int, tile: int = TILE_ROWS) -> DataFrame:
     """Links (u, v) between the classes of each block, enough to connect all that linked pairs connect.
 
@@ -231,23 +269,39 @@ def jaccard_components(docs: DataFrame, words: int = 5, num: int = 80, den: int
     Repeated rows keep their rows; rows that share a doc_id but not their texts are linked by their texts alone.
     Nothing is capped: a block of many classes goes through tiles of bounded size.
     """
-    src = with_text(docs).withColumn("place", F.xxhash64("text"))
-    all_ = written(src.mapInArrow(_profile(words, num, den), "doc_id long, place long, n long, key long, parts array<long>"), "profile")
-    full = all_.where("n > 0")
+    spark, src = docs.sparkSession, with_text(docs).withColumn("place", F.xxhash64("text"))
+    signed = written(src.mapInArrow(_profile(words, num, den), "doc_id long, place long, n long, key long, parts array<long>, asks array<int>"), "signed")
+    rows = written(signed.select("doc_id", "place", "n", "key"), "profile")
+    full = rows.where("n > 0")
     classes = written(full.groupBy("key").agg(F.min("doc_id").alias("class_id"), F.min(F.struct("place", F.coalesce("doc_id", F.lit(0)).alias("id"))).alias("rep")), "classes")
-    parts = full.select(F.explode("parts").alias("part"), "key")
-    met = written(parts.groupBy("part").agg(F.min("key").alias("hub"), F.max("key").alias("top")).where("hub < top").select("part", "hub"), "met")
+    parts = signed.select(F.explode("parts").alias("part"), "key")
+    met = written(_met(parts).select("part"), "met")
+    sweep(spark)
     # merge joins at every size: the keys grow with the documents, so no size of theirs is a bound for a broadcast
-    edges = parts.join(met.hint("merge"), "part").where("key > hub").select(F.col("key").alias("u"), F.col("hub").alias("v")).distinct()
-    blocks = written(components(edges), "blocks")
-    one = classes.join(blocks.hint("merge"), F.col("key") == F.col("node")).select(F.col("rep.place").alias("place"), F.col("rep.id").alias("_id"), "key")
-    texts = src.withColumn("_id", F.coalesce("doc_id", F.lit(0))).join(one.select("place", "_id").hint("merge"), ["place", "_id"], "left_semi").select("text")
-    sets = written(texts.mapInArrow(_sets(words), "key long, s array<long>").dropDuplicates(["key"]), "sets")
-    joined = written(components(block_links(blocks, sets, num, den)), "joined")
+    rows_ = signed.select(F.explode(F.arrays_zip("parts", "asks")).alias("x"), "key", "n").select(F.col("x.parts").alias("part"), F.col("x.asks").alias("ask"), "key", "n")
+    near = written(rows_.join(met.hint("merge"), "part").dropDuplicates(["part", "key"]), "near")
+    forget(signed, met)
+    near = _pruned(near)
+    sweep(spark)
+    few = near.where(F.col("m") <= FEW).select("part", "key", "n")
+    other = few.select("part", F.col("key").alias("v"), F.col("n").alias("y"))
+    fits = (F.col("key") < F.col("v")) & (den * F.least("n", "y") >= num * F.greatest("n", "y"))
+    pairs = written(few.join(other.hint("merge"), "part").where(fits).select(F.col("key").alias("u"), "v").distinct(), "pairs")
+    blocks = written(components(near.where((F.col("m") > FEW) & (F.col("key") > F.col("hub"))).select(F.col("key").alias("u"), F.col("hub").alias("v"))), "blocks")
+    forget(near)
+    sweep(spark)
+    needed = pairs.select(F.col("u").alias("node")).union(pairs.select("v")).union(blocks.select("node")).distinct()
+    one = classes.join(needed.hint("merge"), F.col("key") == F.col("node")).select(F.col("rep.place").alias("place"), F.col("rep.id").alias("_id"), "key")
+    texts = src.withColumn("_id", F.coalesce("doc_id", F.lit(0))).join(one.select("place", "_id").hint("merge"), ["place", "_id"], "left_semi")
+    # rows repeated whole go here, where they lie together already; a class's other rows aren't its representative
+    sets = written(texts.dropDuplicates(["place", "_id"]).select("text").mapInArrow(_sets(words), "key long, s array<long>"), "sets")
+    sweep(spark)
+    joined = written(components(pair_links(pairs, sets, num, den).union(block_links(blocks, sets, num, den))), "joined")
+    sweep(spark)
     named = classes.select("key", "class_id").join(joined.hint("merge"), F.col("key") == F.col("node"), "left").select("key", "class_id", "component")
     least = written(named.where("component is not null").groupBy("component").agg(F.min("class_id").alias("component_id")), "least")
     # tables of their own, so that the joins with a large component's classes and a hot class's documents can be split
     names = written(named.join(least.hint("merge"), "component", "left").select("key", "class_id", F.coalesce("component_id", "class_id").alias("component_id")), "names")
-    forget(classes, met, blocks, sets, joined, least)
-    alone = all_.where("n = 0").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("class_id"), F.col("doc_id").alias("component_id"))
+    forget(classes, pairs, blocks, sets, joined, least)
+    alone = rows.where("n = 0").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("class_id"), F.col("doc_id").alias("component_id"))
     return full.join(names.hint("merge"), "key").select("doc_id", F.col("n").alias("n_shingles"), "class_id", "component_id").union(alone)

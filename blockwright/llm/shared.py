@@ -44,6 +44,11 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return back
 
 
+def sweep(spark: SparkSession) -> None:
+    """Let Spark's cleaner delete the shuffle files of finished steps now: it does so only for objects that the driver's JVM has collected."""
+    spark.sparkContext._jvm.System.gc()
+
+
 def forget(*tables: DataFrame) -> None:
     """Delete the files of tables from ``written`` that no result still to be computed reads."""
     for df in tables:
