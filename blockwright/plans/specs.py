@@ -9,10 +9,13 @@ lists of messages left out, as those have tables of their own.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from blockwright.functions.labels import BODY_TABLES, LEDGER_TABLES, event_table
 from blockwright.functions.schema import IDENTITY
-from blockwright.operators.flatten import FlattenSpec, Level, TableSpec, flatten
+from blockwright.operators.flatten import FlattenSpec, Level, TableSpec, flatten, routed, union_by_name
+from blockwright.plans.market import liquidations, outcome_fills, with_counterparty, with_market
 
 _TX = "e0.hash AS tx_hash"
 _CALL = "e0.hash AS tx_hash, e1.index AS call_index"
@@ -37,7 +40,8 @@ FAMILIES: dict[str, dict[str, str]] = {
         "execution_logs": "receipts@receipt_index logs@log_index | e0.receipt_id AS receipt_id, e1 AS log", "state_changes": "state_changes@change_index",
     },
     "antelope": {"blocks": "", "transactions": "transaction_traces@index", "actions": "transaction_traces@tx_index action_traces@action_index | e0.id AS tx_hash", "db_ops": "transaction_traces@tx_index db_ops@db_op_index | e0.id AS tx_hash"},
-    "cosmos": {"blocks": "", "transactions": "txs@index", "events": "events@event_index attributes?@attribute_index | e0.type AS type", "messages": "txs@tx_index messages@message_index"},
+    "cosmos": {"blocks": "", "transactions": "txs@index", "events": "events@event_index attributes?@attribute_index | e0.type AS type", "messages": "txs@tx_index messages@message_index",
+               "tx_events": "txs@tx_index events@event_index attributes?@attribute_index | e0.hash AS tx_hash, e1.type AS type"},
     "tron": {
         "blocks": "", "transactions": "transactions@transaction_index", "logs": "transactions@transaction_index log@log_index | e0.txid AS tx_hash", "internal_transactions": "transactions@transaction_index internal_transactions@internal_index | e0.txid AS tx_hash",
         "contracts": "transactions@transaction_index contracts@contract_index | e0.txid AS tx_hash", "internal_call_values": "transactions@transaction_index internal_transactions@internal_index call_value_info@value_index | e0.txid AS tx_hash",
@@ -118,5 +122,35 @@ def family_spec(family: str, schema: T.StructType, errors: str | None = None, on
     return FlattenSpec(family, tuple(x for x in found if x is not None), errors)
 
 
+def _hypercore(tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    """Events go to the one table of their kind (unknown labels to ``other_events``); fills get their market and counterparty, and two tables derive from them."""
+    events, fills = tables.get("events"), tables.get("fills")
+    if events is not None and {"event_type", "ledger_type"} <= set(events.columns):
+        names = [*LEDGER_TABLES, *[t for t in BODY_TABLES if t not in LEDGER_TABLES]]
+        tables = {k: v for k, v in tables.items() if k != "events"} | routed(events, event_table(F.col("event_type"), F.col("ledger_type")), [*dict.fromkeys([*names, "other_events"])], other="other_events")
+    if fills is not None and {"coin", "transaction_id", "side", "user", "direction"} <= set(fills.columns):
+        paired = with_counterparty(with_market(fills))
+        tables |= {"fills": paired.drop("counterparty_direction", "counterparty_fill_index"), "outcome_fills": outcome_fills(paired)}
+        if {"liquidation_method", "liquidated_user"} <= set(fills.columns):
+            tables["liquidations"] = liquidations(paired)
+    return tables
+
+
+def _cosmos(tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    """Events of the block and of its transactions in one table, told apart by ``source``."""
+    parts = {"block": tables.pop("events", None), "transaction": tables.pop("tx_events", None)}
+    found = [df.withColumn("source", F.lit(source)) for source, df in parts.items() if df is not None]
+    if found:
+        order = dict.fromkeys(c for df in found for c in df.columns)
+        tables["events"] = union_by_name(found, [*order])
+    return tables
+
+
+#: What a family's tables need beyond one explode a list.
+DERIVED = {"hypercore": _hypercore, "cosmos": _cosmos}
+
+
 def flatten_family(blocks: DataFrame, family: str, errors: str | None = None, only: set[str] | None = None) -> dict[str, DataFrame]:
-    return flatten(blocks, family_spec(family, blocks.schema, errors, only))
+    """All tables that blocks of this schema can fill, derived ones included."""
+    out = flatten(blocks, family_spec(family, blocks.schema, errors, only))
+    return DERIVED[family](out) if family in DERIVED else out

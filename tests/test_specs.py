@@ -1,3 +1,4 @@
+from blockwright.functions.labels import BODY_TABLES, LEDGER_TABLES
 from blockwright.plans.specs import FAMILIES, flatten_family
 
 EVM = """block_num long, block_id string, transactions array<struct<hash: string, status: string, receipt: struct<logs: array<struct<address: string, topics: array<string>>>>,
@@ -33,3 +34,27 @@ def test_nested_messages_are_joined_by_name(spark):
 def test_every_family_has_its_tables():
     assert {f: len(t) for f, t in FAMILIES.items()}.keys() == {"evm", "bitcoin", "solana", "near", "antelope", "cosmos", "tron", "beacon", "hypercore", "sec"}
     assert len(FAMILIES["evm"]) == 20 and sum(map(len, FAMILIES.values())) > 100
+
+
+def test_cosmos_unites_block_and_transaction_events(spark):
+    shape = "block_num long, events array<struct<type: string, attributes: array<struct<key: string, value: string>>>>, txs array<struct<hash: string, events: array<struct<type: string, attributes: array<struct<key: string, value: string>>>>>>"
+    b = spark.createDataFrame([(1, [("x", [("k", "v")])], [("h0", []), ("h1", [("y", []), ("z", [("a", "b"), ("c", "d")])])]), (2, None, None)], shape)
+    out = flatten_family(b, "cosmos")
+    assert "tx_events" not in out
+    assert rows(out["events"], "source", "tx_hash", "tx_index", "event_index", "type", "attribute_index", "key") == sorted([("block", None, None, 0, "x", 0, "k"), ("transaction", "h1", 1, 0, "y", None, None), ("transaction", "h1", 1, 1, "z", 0, "a"), ("transaction", "h1", 1, 1, "z", 1, "c")], key=str)
+
+
+def test_hypercore_routes_events_and_derives_from_fills(spark):
+    shape = """block_num long, events array<struct<event_type: string, ledger_type: string, amount: long>>,
+      fills array<struct<coin: string, side: string, user: string, transaction_id: long, direction: string, size: long, liquidation_method: string, liquidated_user: string, liquidation_mark_px: long, fill_time: long>>"""
+    kinds = [(t, None) for types in BODY_TABLES.values() for t in types] + [("ledger_update", t) for types in LEDGER_TABLES.values() for t in types] + [("news", None), ("ledger_update", "odd")]
+    fills = [("BTC", "BUY", "a", 7, "BUY", 1, "market", "a", 5, 0), ("BTC", "ASK", "b", 7, "SELL", 1, None, None, None, 0), ("#120", "BUY", "c", 0, "BUY", 1, None, None, None, 0)]
+    out = flatten_family(spark.createDataFrame([(1, [(e, l, k) for k, (e, l) in enumerate(kinds)], fills)], shape), "hypercore")
+    assert "events" not in out
+    tables = {*LEDGER_TABLES, *BODY_TABLES, "other_events"}
+    got = {t: {r["amount"] for r in out[t].collect()} for t in tables}
+    assert sum(map(len, got.values())) == len(kinds) and set.union(*got.values()) == set(range(len(kinds)))
+    assert {len(kinds) - 1, len(kinds) - 2} <= got["other_events"]
+    assert rows(out["fills"], "fill_index", "market_type", "counterparty") == [(0, "perp", "b"), (1, "perp", "a"), (2, "outcome", None)]
+    assert rows(out["outcome_fills"], "fill_index", "outcome_id", "side_index") == [(2, 12, 0)]
+    assert rows(out["liquidations"], "fill_index", "mark_price", "counterparty") == [(0, 5, "b")]
