@@ -54,12 +54,14 @@ def writer_options(lookup_columns: Iterable[str] = (), codec: str = "zstd", rows
 def write_tables(tables: dict[str, DataFrame], root: str, mode: str = "append", lookups: dict[str, list[str]] | None = None) -> None:
     """Every table by day; ``blocks`` last, so that what it holds is complete in all others.
 
-    Rows of a day are gathered by range of block within the day before they are written: few files, in block order.
+    Rows of a day are gathered by range of block within the day before they are written: few files, in block order. The number of ranges is
+    Spark's number of shuffle partitions, stated, as adaptive execution would join small ranges to one task that opens all days' files in turn.
     """
     for name in sorted(tables, key=lambda n: (n == LAST_TABLE, n)):
         df = tables[name]
         options = writer_options((lookups or {}).get(name, ()))
-        rows = df.repartitionByRange("date", "block_num").sortWithinPartitions("date", "block_num") if "block_num" in df.columns else df
+        ranges = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        rows = df.repartitionByRange(ranges, "date", "block_num").sortWithinPartitions("date", "block_num") if "block_num" in df.columns else df
         rows.write.mode(mode).options(**options).partitionBy("date").parquet(f"{root}/{name}")
 
 
