@@ -584,10 +584,11 @@ def k3(spark, d):
 
 
 def monitors(spark, d):
-    f = fills(spark, d)
+    # each source is computed once, not once a monitor
+    f = ST.stored_table(fills(spark, d), "monitored-fills")
     e = M.fills_enriched(f)
-    t = adapted(spark, d, "ledger")
-    r = rates(spark, d)
+    t = ST.stored_table(adapted(spark, d, "ledger"), "monitored-ledger")
+    r = ST.stored_table(rates(spark, d), "monitored-rates")
     legs = f.where("transaction_id <> 0 AND NOT market_type <=> 'outcome'").groupBy("block_num", "transaction_id").agg(F.count("*").alias("n"), F.count_if("crossed").alias("c"), F.min_by("side", "fill_index").alias("s"), (F.max("fill_index") - F.min("fill_index")).alias("w"))
     both = f.where("counterparty is not null").select("block_num", "fill_index", "coin", "transaction_id", "price", "size", "hash", "crossed")
     other = both.select("block_num", F.col("fill_index").alias("o"), "coin", "transaction_id", *[F.col(c).alias(f"o_{c}") for c in ("price", "size", "hash", "crossed")])
