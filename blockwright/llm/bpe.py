@@ -15,15 +15,21 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 
+from blockwright.llm.arrays import slices
 from blockwright.llm.shared import with_text
 
 SHORT = 96
 MEMO = 250_000  # pieces of a generation
 PIECES_AT_ONCE = 4096
 MEMO_LETTERS = 48  # longer pieces are rare and aren't kept, which bounds the memo in bytes
+COLUMN_BYTES = 4 << 20
+OLD_LETTERS = r"A-Za-z\x{c0}-\x{d6}\x{d8}-\x{f6}\x{f8}-\x{24f}\x{400}-\x{481}"  # letters in every version of Unicode that a library may hold
+#: White space other than one blank or line feed between two other characters, and the mark that cuts pieces.
+ODD_SPACE = r"[\x00\t\x0b-\r\x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]|[ \n][ \n]|\A[ \n]|[ \n]\z"
 PATTERN = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
 
 
@@ -153,8 +159,19 @@ class BytePairs:
         return self.flat[where].tobytes().decode("utf-8", "replace")
 
 
-class LibraryPieces(BytePairs):
-    """The same pieces, each encoded by the tokenizers library; only the memo and the cutting at blanks are ours."""
+def _ranges(begin: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """begin, begin + 1, ... of each range, end to end."""
+    ends = np.cumsum(sizes)
+    return np.repeat(begin - ends + sizes, sizes) + np.arange(ends[-1] if len(ends) else 0)
+
+
+class LibraryPieces:
+    """Whole columns of texts encoded by the tokenizers library, each distinct piece of a few megabytes once, with a memo across them.
+
+    Texts are cut before blanks and around line feeds, where no token of a byte-level vocabulary crosses; texts with other white space
+    or a special token's string go to the library whole. Words of long-known letters go to the library's model, which is what its
+    splitting would hand it; all other pieces take the library's own way.
+    """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
@@ -162,40 +179,95 @@ class LibraryPieces(BytePairs):
         self.library = Tokenizer.from_file(path)
         self.library.no_truncation()
         self.library.no_padding()
-        self.special = {t.content: i for i, t in self.library.get_added_tokens_decoder().items()}
-        self.cut = regex.compile("(" + "|".join(map(regex.escape, sorted(self.special, key=len, reverse=True))) + ")") if self.special else None
-        self.stops = {c: self._library(c) for c in ".,"}
+        self.model = self.library.model
+        self.special = [t.content for t in self.library.get_added_tokens_decoder().values()]
+        self.letters = {b: c for c, b in byte_letters().items()}
+        self.stops = {c: int.from_bytes(self._library(c), "little") for c in ".,"}
         self.line = self._library("\n")
-        self.pieces = Memo(self._piece)
+        self.pieces = Memo(self._library)
 
     def _library(self, text: str) -> bytes:
         return np.array(self.library.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4").tobytes()
 
-    def _library_many(self, pieces: list[str]) -> Iterator[bytes]:
+    def _lines(self, pieces: list[str]) -> Iterator[bytes]:
         """Of pieces without white space but for one blank in front: all as lines of one text, cut at the line feed's token."""
         for k in range(0, len(pieces), PIECES_AT_ONCE):
             found = self._library("\n".join(pieces[k : k + PIECES_AT_ONCE]))
             ends = (4 * np.flatnonzero(np.frombuffer(found, "<u4") == int.from_bytes(self.line, "little"))).tolist()
             yield from (found[a:b] for a, b in zip([0, *(e + 4 for e in ends)], [*ends, len(found)], strict=True))
 
-    def _piece(self, piece: str) -> bytes:
-        if piece[-1:] in self.stops and piece[-2:-1].isalpha():
-            return self.pieces[piece[:-1]] + self.stops[piece[-1]]
-        return self._library(piece)
-
-    def encode_many(self, texts: list[str]) -> list[bytes]:
-        """All texts, the pieces that the memo lacks in one call of the library."""
+    def _words(self, pieces: list[str]) -> Iterator[bytes]:
+        """Of words of OLD_LETTERS, a blank in front or none: the library's model, as its own splitting keeps each whole."""
+        tokenize, blank, ids, sizes = self.model.tokenize, self.letters[32], [], []
+        for p in pieces:
+            before = len(ids)
+            ids += [t.id for t in tokenize(p.replace(" ", blank) if p.isascii() else p.encode().decode("latin-1").translate(self.letters))]
+            sizes.append(len(ids) - before)
+        raw, ends = np.array(ids, "<u4").tobytes(), (4 * np.cumsum(sizes, dtype=np.int64)).tolist()
+        return (raw[a:b] for a, b in zip([0, *ends], ends))
+
+    def _bare(self, pieces: pa.Array) -> list[bytes]:
+        """Ids of distinct pieces, from the memo or the library."""
         self.pieces.make_room()
-        cut = [t.replace(" ", "\0 ").replace("\n", "\0\n\0").split("\0") if t and evenly_spaced(t) and not (self.cut and self.cut.search(t)) else None for t in texts]
-        lacking = set().union(*[c for c in cut if c]).difference(self.pieces)
-        bare = {p[:-1] if p[-1:] in self.stops and p[-2:-1].isalpha() else p for p in lacking}
-        bare = [p for p in bare if 0 < len(p) <= MEMO_LETTERS and p != "\n" and p not in self.pieces.old and p not in self.pieces]
-        self.pieces.update(zip(bare, self._library_many(bare), strict=True))
-        return [b"".join(map(self.pieces.__getitem__, c)) if c else self.encode(t) for t, c in zip(texts, cut, strict=True)]
+        names, word = pieces.to_numpy(zero_copy_only=False).tolist(), pc.match_substring_regex(pieces, f"^ ?[{OLD_LETTERS}]+$").to_numpy(zero_copy_only=False).tolist()
+        found, old, words, lines = list(map(self.pieces.get, names)), self.pieces.old, [], []
+        for k in [k for k, v in enumerate(found) if v is None]:
+            p = names[k]
+            if (v := old.get(p)) is not None:
+                self.pieces[p] = found[k] = v
+            elif word[k]:
+                words.append(k)
+            elif p in ("", "\n"):
+                found[k] = self._library(p)
+            else:
+                lines.append(k)
+        for places, make in ((words, self._words), (lines, self._lines)):
+            for k, v in zip(places, make([names[k] for k in places]), strict=True):
+                found[k] = v
+                if len(names[k]) <= MEMO_LETTERS:
+                    self.pieces[names[k]] = v
+        return found
+
+    def _all(self, pieces: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ids of distinct pieces end to end, where each starts, and how many it has. A full stop or comma after a letter is a token by itself."""
+        stop = pc.match_substring_regex(pieces, f"[{OLD_LETTERS}][.,]$")
+        bare = pc.if_else(stop, pc.utf8_slice_codeunits(pieces, 0, -1), pieces).dictionary_encode()
+        stop, comma, which = (x.to_numpy(zero_copy_only=False) for x in (stop, pc.ends_with(pieces, ","), bare.indices))
+        found = self._bare(bare.dictionary)
+        sizes = np.fromiter(map(len, found), np.int64, len(found)) // 4
+        flat, sizes_each = np.frombuffer(b"".join(found), "<u4"), sizes[which] + stop
+        ends = np.cumsum(sizes_each)
+        ids = np.append(flat, np.uint32(0))[_ranges((np.cumsum(sizes) - sizes)[which], sizes_each)]  # where a stop goes stands any id until the next line
+        ids[ends[stop] - 1] = np.where(comma[stop], self.stops[","], self.stops["."])
+        return ids, ends - sizes_each, sizes_each
+
+    def encode_column(self, texts: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+        """For runs of rows of about COLUMN_BYTES: first row, row after the last, all their ids, and each row's offsets in them. Null is empty."""
+        texts = texts.fill_null("")
+        lengths = pc.cast(pc.binary_length(texts), pa.int64()).to_numpy(zero_copy_only=False)
+        for i, j in slices(np.concatenate([[0], np.cumsum(lengths)]), COLUMN_BYTES):
+            some = texts.slice(i, j - i)
+            odd = pc.match_substring_regex(some, ODD_SPACE)
+            for s in self.special:
+                odd = pc.or_(odd, pc.match_substring(some, s))
+            odd = odd.to_numpy(zero_copy_only=False)
+            marked = pc.replace_substring(pc.replace_substring(pc.if_else(pa.array(odd), "", some), " ", "\0 "), "\n", "\0\n\0")
+            cut = pc.split_pattern(marked, "\0")
+            coded = cut.flatten().dictionary_encode()
+            which, at = coded.indices.to_numpy(), cut.offsets.to_numpy().astype(np.int64)
+            flat, begin, sizes = self._all(coded.dictionary)
+            each = sizes[which]
+            ids, offsets = flat[_ranges(begin[which], each)], np.concatenate([[0], np.cumsum(each)])[at - at[0]]
+            if odd.any():
+                rows = [ids[a:b] for a, b in zip(offsets[:-1], offsets[1:])]
+                for k in np.flatnonzero(odd):
+                    rows[k] = np.frombuffer(self._library(some[int(k)].as_py()), "<u4")
+                ids, offsets = np.concatenate(rows), np.concatenate([[0], np.cumsum([len(r) for r in rows])])
+            yield i, j, ids, offsets
 
 
 @lru_cache(4)
-def encoder(path: str, kind: type = BytePairs) -> BytePairs:
+def encoder(path: str, kind: type = BytePairs) -> BytePairs | LibraryPieces:
     """One encoder a Python worker and file."""
     return kind(path)
 

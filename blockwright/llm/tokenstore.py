@@ -26,7 +26,6 @@ CHUNK_BITS = 8
 BLOCK_IDS = 1 << 19
 RANGE_BYTES = 16 << 20
 MOST_RANGES = 20_000  # beyond that ranges grow; a range is sorted with spilling and written block by block
-ROWS_AT_ONCE = 256
 NO_ID = -(1 << 63)
 BROADCAST_BLOCKS = 200_000
 _HEAD = struct.Struct("<4sBBIQ")
@@ -109,15 +108,15 @@ class Block:
 def _encoded(path: str, end_id: int, cuts: np.ndarray):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         library = encoder(path, LibraryPieces)
-        end = np.array([end_id], "<u4").tobytes()
-        for whole in batches:
-            for low in range(0, whole.num_rows, ROWS_AT_ONCE):
-                batch = whole.slice(low, ROWS_AT_ONCE)
-                ids, h = batch.column("doc_id").fill_null(NO_ID).to_numpy(), batch.column("h").to_numpy()
+        end = np.array([end_id], "<u4")
+        for batch in batches:
+            for i, j, flat, at in library.encode_column(batch.column("text")):
+                part = batch.slice(i, j - i)
+                ids, h = part.column("doc_id").fill_null(NO_ID).to_numpy(), part.column("h").to_numpy()
                 first = np.searchsorted(cuts, ids, "left")
                 spans = np.maximum(np.searchsorted(cuts, ids, "right") - first, 1)  # a doc_id that fills several ranges is dealt to them by its texts' hash
-                found = [_narrow(np.frombuffer(x + end, "<u4")) for x in library.encode_many([x.as_py() or "" for x in batch.column("text")])]
-                yield pa.RecordBatch.from_pydict({"doc_id": batch.column("doc_id"), "h": batch.column("h"), "range": pa.array(first + (h * spans >> 31), pa.int32()), "ids": pa.array(found, pa.binary())})
+                found = [_narrow(np.append(flat[a:b], end)) for a, b in zip(at[:-1], at[1:])]
+                yield pa.RecordBatch.from_pydict({"doc_id": part.column("doc_id"), "h": part.column("h"), "range": pa.array(first + (h * spans >> 31), pa.int32()), "ids": pa.array(found, pa.binary())})
 
     return run
 
