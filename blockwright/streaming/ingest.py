@@ -54,16 +54,16 @@ def live_head_stream(events: DataFrame) -> DataFrame:
 
 
 def changelog_writer(root: str, key: list[str], append: Callable[[DataFrame, DataFrame], DataFrame], schema) -> Callable[[DataFrame, int], None]:
-    """For foreachBatch over snapshots: only changes against the log so far are written, in the batch's own folder (``log/batch=K``).
+    """For foreachBatch over snapshots: only changes against the log so far are written, in the batch's own folder (``batch=K``).
 
-    Beside it ``newest/batch=K`` keeps each entity's newest row, which is all that the next batch reads, so a batch costs the same however long the log is.
+    ``_newest/batch=K``, which readers of the log pass over, keeps each entity's newest row: all that the next batch reads, so a batch costs the same however long the log is.
     """
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        before = spark.createDataFrame([], schema) if batch_id == 0 else spark.read.schema(schema).parquet(f"{root}/newest/batch={batch_id - 1}")
-        append(before, batch).write.mode("overwrite").parquet(f"{root}/log/batch={batch_id}")
-        added = spark.read.schema(schema).parquet(f"{root}/log/batch={batch_id}")
-        newest(before.unionByName(added), key).write.mode("overwrite").parquet(f"{root}/newest/batch={batch_id}")
+        before = spark.createDataFrame([], schema) if batch_id == 0 else spark.read.schema(schema).parquet(f"{root}/_newest/batch={batch_id - 1}")
+        append(before, batch).write.mode("overwrite").parquet(f"{root}/batch={batch_id}")
+        added = spark.read.schema(schema).parquet(f"{root}/batch={batch_id}")
+        newest(before.unionByName(added), key).write.mode("overwrite").parquet(f"{root}/_newest/batch={batch_id}")
 
     return write
 
