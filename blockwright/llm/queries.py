@@ -107,6 +107,13 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *map(count, base), F.sha2(joined(own), 256).alias("base_sha256"), joined(F.col("secret_spans")).alias("spans"))
 
 
+def op11_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts and verdict of every document by its repetition coverage."""
+    from blockwright.llm.quality import repetition
+
+    return repetition(_docs(spark, sf_dir))
+
+
 def _shipped(query: Query) -> Query:
     @wraps(query)
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -127,6 +134,7 @@ QUERIES: dict[str, Query] = {
     "op8_lm_scoring": op8_lm_scoring,
     "op9_decontamination": op9_decontamination,
     "op10_secrets": op10_secrets,
+    "op11_quality_rules": op11_quality_rules,
 }
 
 QUERIES = {name: _shipped(query) for name, query in QUERIES.items()}
@@ -144,4 +152,35 @@ SELECT conv_id, count(*) AS n_turns,
   sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
   sum(chars)::BIGINT AS formatted_chars
 FROM shown GROUP BY conv_id""",
+    "op11_quality_rules": r"""
+WITH docs AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text FROM documents),
+words AS (SELECT r, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS w FROM docs),
+word AS (SELECT r, generate_subscripts(w, 1) AS i, unnest(w) AS x FROM words),
+counts AS (SELECT r, count(*) AS n_words, sum(length(x))::BIGINT AS word_chars FROM word GROUP BY r),
+ahead AS (SELECT r, i, x, lead(x, 1) OVER w AS x1, lead(x, 2) OVER w AS x2, lead(x, 3) OVER w AS x3, lead(x, 4) OVER w AS x4, lead(x, 5) OVER w AS x5, lead(x, 6) OVER w AS x6, lead(x, 7) OVER w AS x7, lead(x, 8) OVER w AS x8, lead(x, 9) OVER w AS x9
+  FROM word WINDOW w AS (PARTITION BY r ORDER BY i)),
+hashed AS (SELECT r, 5 AS n, i, concat_ws(' ', x, x1, x2, x3, x4) AS g FROM ahead WHERE x4 IS NOT NULL
+  UNION ALL SELECT r, 6 AS n, i, concat_ws(' ', x, x1, x2, x3, x4, x5) AS g FROM ahead WHERE x5 IS NOT NULL
+  UNION ALL SELECT r, 7 AS n, i, concat_ws(' ', x, x1, x2, x3, x4, x5, x6) AS g FROM ahead WHERE x6 IS NOT NULL
+  UNION ALL SELECT r, 8 AS n, i, concat_ws(' ', x, x1, x2, x3, x4, x5, x6, x7) AS g FROM ahead WHERE x7 IS NOT NULL
+  UNION ALL SELECT r, 9 AS n, i, concat_ws(' ', x, x1, x2, x3, x4, x5, x6, x7, x8) AS g FROM ahead WHERE x8 IS NOT NULL
+  UNION ALL SELECT r, 10 AS n, i, concat_ws(' ', x, x1, x2, x3, x4, x5, x6, x7, x8, x9) AS g FROM ahead WHERE x9 IS NOT NULL),
+ranked AS (SELECT r, n, i, count(*) OVER (PARTITION BY r, n, g) AS copies, row_number() OVER (PARTITION BY r, n, g ORDER BY i) AS copy FROM hashed),
+inside AS (SELECT DISTINCT r, n, copy > 1 AS later, unnest(range(i, i + n)) AS i FROM ranked WHERE copies > 1),
+dup AS (SELECT r, count(DISTINCT i) FILTER (WHERE n = 5) AS n_repeat_words,
+  coalesce(sum(length(x)) FILTER (WHERE later AND n = 5), 0)::BIGINT AS dup5_chars, coalesce(sum(length(x)) FILTER (WHERE later AND n = 6), 0)::BIGINT AS dup6_chars,
+  coalesce(sum(length(x)) FILTER (WHERE later AND n = 7), 0)::BIGINT AS dup7_chars, coalesce(sum(length(x)) FILTER (WHERE later AND n = 8), 0)::BIGINT AS dup8_chars,
+  coalesce(sum(length(x)) FILTER (WHERE later AND n = 9), 0)::BIGINT AS dup9_chars, coalesce(sum(length(x)) FILTER (WHERE later AND n = 10), 0)::BIGINT AS dup10_chars
+  FROM inside JOIN word USING (r, i) GROUP BY r),
+line AS (SELECT r, generate_subscripts(l, 1) AS k, unnest(l) AS x FROM (SELECT r, str_split(text, chr(10)) AS l FROM docs)),
+lines AS (SELECT r, x, row_number() OVER (PARTITION BY r, x ORDER BY k) AS copy FROM line WHERE regexp_matches(x, '[^\x20\x09-\x0D]')),
+by_line AS (SELECT r, count(*) FILTER (WHERE copy > 1) AS n_dup_lines, sum(length(x))::BIGINT AS line_chars, coalesce(sum(length(x)) FILTER (WHERE copy > 1), 0)::BIGINT AS dup_line_chars FROM lines GROUP BY r),
+found AS (SELECT doc_id, coalesce(n_words, 0) AS n_words, coalesce(word_chars, 0) AS word_chars, length(regexp_replace(text, '[^#*$%&|<>]', '', 'g'))::BIGINT AS n_symbols,
+  coalesce(n_dup_lines, 0) AS n_dup_lines, coalesce(n_repeat_words, 0) AS n_repeat_words, coalesce(line_chars, 0) AS line_chars, coalesce(dup_line_chars, 0) AS dup_line_chars,
+  coalesce(dup5_chars, 0) AS dup5_chars, coalesce(dup6_chars, 0) AS dup6_chars, coalesce(dup7_chars, 0) AS dup7_chars,
+  coalesce(dup8_chars, 0) AS dup8_chars, coalesce(dup9_chars, 0) AS dup9_chars, coalesce(dup10_chars, 0) AS dup10_chars
+  FROM docs LEFT JOIN counts USING (r) LEFT JOIN dup USING (r) LEFT JOIN by_line USING (r)),
+judged AS (SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed FROM found)
+SELECT *, NOT base_failed AND 100 * dup_line_chars <= 20 * line_chars AND 100 * dup5_chars <= 15 * word_chars AND 100 * dup6_chars <= 14 * word_chars
+  AND 100 * dup7_chars <= 13 * word_chars AND 100 * dup8_chars <= 12 * word_chars AND 100 * dup9_chars <= 11 * word_chars AND 100 * dup10_chars <= 10 * word_chars AS kept FROM judged""",
 }
