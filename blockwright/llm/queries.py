@@ -114,6 +114,15 @@ def op11_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repetition(_docs(spark, sf_dir))
 
 
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Negatives of every vector whose id is divisible by 50, against all vectors; every seventh label is moved on by one first."""
+    from blockwright.llm.negatives import hard_negatives
+
+    rows = spark.read.parquet(f"{sf_dir}/embeddings.parquet").select("vec_id", "embedding", F.col("label").cast("long").alias("label"))
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives(rows.withColumn("label", moved), F.col("vec_id") % 50 == 0)
+
+
 def _shipped(query: Query) -> Query:
     @wraps(query)
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -135,6 +144,7 @@ QUERIES: dict[str, Query] = {
     "op9_decontamination": op9_decontamination,
     "op10_secrets": op10_secrets,
     "op11_quality_rules": op11_quality_rules,
+    "op12_hard_negatives": op12_hard_negatives,
 }
 
 QUERIES = {name: _shipped(query) for name, query in QUERIES.items()}
@@ -183,4 +193,15 @@ found AS (SELECT doc_id, coalesce(n_words, 0) AS n_words, coalesce(word_chars, 0
 judged AS (SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed FROM found)
 SELECT *, NOT base_failed AND 100 * dup_line_chars <= 20 * line_chars AND 100 * dup5_chars <= 15 * word_chars AND 100 * dup6_chars <= 14 * word_chars
   AND 100 * dup7_chars <= 13 * word_chars AND 100 * dup8_chars <= 12 * word_chars AND 100 * dup9_chars <= 11 * word_chars AND 100 * dup10_chars <= 10 * word_chars AS kept FROM judged""",
+    "op12_hard_negatives": """
+WITH sound AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
+  FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (SELECT a.vec_id AS anchor_id, b.vec_id, a.label = b.label AS same, list_inner_product(a.v, b.v)::BIGINT AS score
+  FROM sound a JOIN sound b ON a.vec_id % 50 = 0 AND a.vec_id <> b.vec_id),
+positives AS (SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM scored WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5)
+SELECT anchor_id, positive_id, row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id)::INT AS rank,
+  vec_id AS negative_id, positive_score, score AS negative_score
+FROM positives JOIN scored USING (anchor_id) WHERE NOT same AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * positive_score
+QUALIFY rank <= 3""",
 }
