@@ -123,6 +123,15 @@ def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hard_negatives(rows.withColumn("label", moved), F.col("vec_id") % 50 == 0)
 
 
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The trie of all conversations, each rebuilt with the first crc32(conv_id) mod 9 turns of the one at the last multiple of five."""
+    from blockwright.llm.trie import numbered_turns, prefix_trie, sequences, with_lent_heads
+
+    turns = numbered_turns(spark.read.parquet(f"{sf_dir}/conversations.parquet").select("conv_id", "turn", "role", "text"))
+    conv = F.col("conv_id")
+    return prefix_trie(sequences(with_lent_heads(turns, conv - conv % 5, F.crc32(conv.cast("string").cast("binary")) % 9)))
+
+
 def _shipped(query: Query) -> Query:
     @wraps(query)
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -145,6 +154,7 @@ QUERIES: dict[str, Query] = {
     "op10_secrets": op10_secrets,
     "op11_quality_rules": op11_quality_rules,
     "op12_hard_negatives": op12_hard_negatives,
+    "op13_prefix_trie": op13_prefix_trie,
 }
 
 QUERIES = {name: _shipped(query) for name, query in QUERIES.items()}
@@ -204,4 +214,24 @@ SELECT anchor_id, positive_id, row_number() OVER (PARTITION BY anchor_id, positi
   vec_id AS negative_id, positive_score, score AS negative_score
 FROM positives JOIN scored USING (anchor_id) WHERE NOT same AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * positive_score
 QUALIFY rank <= 3""",
+    "op13_prefix_trie": """
+WITH said AS (SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+  row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS pos FROM conversations WHERE conv_id IS NOT NULL),
+talks AS (SELECT DISTINCT conv_id, conv_id - conv_id % 5 AS lender,
+  xor(list_reduce(list_prepend(4294967295, list_transform(str_split(conv_id::VARCHAR, ''), lambda c: ascii(c)::BIGINT)),
+    lambda crc, byte: list_reduce(list_prepend(xor(crc, byte), range(8)), lambda x, k: CASE WHEN x % 2 = 1 THEN xor(x // 2, 3988292384) ELSE x // 2 END)), 4294967295) % 9 AS heads FROM said),
+rebuilt AS (SELECT t.conv_id, 0 AS own, pos, role, text FROM talks t JOIN said s ON s.conv_id = t.lender AND pos <= heads
+  UNION ALL SELECT t.conv_id, 1, pos, role, text FROM talks t JOIN said s ON s.conv_id = t.conv_id AND pos > heads),
+placed AS (SELECT conv_id, row_number() OVER w AS depth, strlen(text) AS bytes,
+  string_agg(md5(strlen(role) || ':' || role || text), '') OVER (w ROWS UNBOUNDED PRECEDING) AS prefix FROM rebuilt WINDOW w AS (PARTITION BY conv_id ORDER BY own, pos)),
+members AS (SELECT conv_id, depth, bytes, prefix FROM placed UNION ALL SELECT conv_id, 0, 0, '' FROM talks),
+last AS (SELECT conv_id, max(depth) AS depth FROM members GROUP BY conv_id),
+ends AS (SELECT prefix, sha256(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id)) AS ends_sha256 FROM members JOIN last USING (conv_id, depth) GROUP BY prefix),
+node AS (SELECT prefix, depth, CASE WHEN depth > 0 THEN substr(prefix, 1, 32 * (depth - 1)) END AS parent, min(conv_id) AS conv_id, count(*) AS n_convs, max(bytes) AS bytes FROM members GROUP BY prefix, depth),
+kids AS (SELECT parent AS prefix, count(*) AS n_children FROM node WHERE parent IS NOT NULL GROUP BY parent),
+own AS (SELECT node.*, coalesce(n_children, 0) AS n_children FROM node LEFT JOIN kids USING (prefix)),
+upward AS (SELECT n_children, n_convs, bytes, substr(prefix, 1, 32 * unnest(range(0, depth + 1))) AS prefix FROM own),
+sums AS (SELECT prefix, count(*) FILTER (WHERE n_children = 0) AS n_leaves, sum((n_convs - 1) * bytes)::BIGINT AS saved_tokens FROM upward GROUP BY prefix)
+SELECT o.conv_id, o.depth, up.conv_id AS parent_conv_id, o.n_convs, o.n_children, n_leaves, saved_tokens, coalesce(ends_sha256, sha256('')) AS ends_sha256
+FROM own o JOIN sums USING (prefix) LEFT JOIN ends USING (prefix) LEFT JOIN own up ON up.prefix = o.parent""",
 }
