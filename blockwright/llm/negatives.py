@@ -21,11 +21,13 @@ from blockwright.llm.shared import forget, written
 
 #: Each takes a bit a component; what is left over shrinks to about 0.6 of itself with each.
 LEVELS = 8
-ROW_BYTES, ANCHOR_BYTES = 16 << 20, 2 << 20
+ROW_BYTES, ANCHOR_BYTES, LEAST_ROWS = 16 << 20, 2 << 20, 8192
 #: Components and lengths beyond these can't be scored in 64 bits.
 MOST_COMPONENT, MOST_SQUARE = float(1 << 27), float(1 << 55)
-_BITS = 8
-_SLACK = 1e-9
+_BITS, _FILTER_FROM = 8, 2
+_PLACES = np.float32(2) ** np.arange(_BITS, dtype=np.float32)
+#: Covers the rounding of single precision, as a share of the two lengths.
+_SLACK = 1e-5
 
 CODED = "row long, vec_id long, label long, anchor boolean, v array<int>, codes array<long>, alignments array<double>"
 FOUND = "anchor_row long, place int, row long, vec_id long, score long"
@@ -73,59 +75,70 @@ class Rows:
         self.codes = np.ascontiguousarray(column("codes").flatten().to_numpy().view(np.uint64).reshape(n, LEVELS, -1).transpose(1, 2, 0))
         self.alignments = np.ascontiguousarray(column("alignments").flatten().to_numpy().reshape(n, LEVELS).T)
         square = (self.v.astype(np.float64) ** 2).sum(axis=1)
-        self.length = np.sqrt(square)
         left = square - np.cumsum(self.alignments**2, axis=0)
-        self.rest = np.sqrt(np.maximum(left, 0) + _SLACK * square)  # of each level; never less than the true remainder
+        self.length, self.reach = np.sqrt(square).astype(np.float32), np.cumsum(self.alignments, axis=0).astype(np.float32)
+        self.rest = np.sqrt(np.maximum(left, 0) + 1e-9 * square).astype(np.float32)  # of each level; at least the true remainder, up to rounding
+        self.alignments = self.alignments.astype(np.float32)
         order = np.argsort(self.label, kind="stable")
         values, starts = np.unique(self.label[order], return_index=True)
         self.by_label = dict(zip(values.tolist(), np.split(order, starts[1:]), strict=True))
 
 
-class Query:
-    """An anchor's rotations as bit planes."""
+class Queries:
+    """A block of anchors: their rotations as bit planes, (anchor, level, plane, word)."""
 
     def __init__(self, v: np.ndarray):
-        self.v, self.length, self.levels = v.astype(np.int64), float(np.sqrt((v.astype(np.float64) ** 2).sum())), []
-        now, half = v.astype(np.float64)[None], 1 << (_BITS - 1)
+        n, d = v.shape
+        self.v, self.length = v.astype(np.int64), np.sqrt((v.astype(np.float64) ** 2).sum(axis=1))
+        now, half = v.astype(np.float64), 1 << (_BITS - 1)
+        planes, steps, totals, offs = [], [], [], []
         for level in range(LEVELS):
             now = rotated(now, level)
-            step = max(float(np.abs(now).max()) / (half - 1), 1e-300)
-            z = np.rint(now[0] / step)
-            off = np.abs(now[0] - step * z).sum() / math.sqrt(len(v))
-            planes = [_packed(((z.astype(np.int64) + half) >> j & 1).astype(bool)) for j in range(_BITS)]
-            self.levels.append((planes, step / math.sqrt(len(v)), float(z.sum()), float(off)))
-
-    def products(self, rows: Rows, level: int, at: np.ndarray) -> tuple[np.ndarray, float]:
-        """Estimated products with the unit code vectors of rows ``at``, and how far off they can be."""
-        planes, step, total, off = self.levels[level]
-        inside = np.zeros(len(at), np.int64)
+            step = np.maximum(np.abs(now).max(axis=1) / (half - 1), 1e-300)
+            z = np.rint(now / step[:, None])
+            offs.append(np.abs(now - step[:, None] * z).sum(axis=1) / math.sqrt(d))
+            planes.append(np.stack([_packed(((z.astype(np.int64) + half) >> j & 1).astype(bool)) for j in range(_BITS)], axis=1))
+            steps.append(step / math.sqrt(d))
+            totals.append(z.sum(axis=1))
+        self.planes, self.steps, self.totals, self.offs = (np.stack(x, axis=1) for x in (planes, steps, totals, offs))
+
+    def products(self, k: int, rows: Rows, level: int, at: np.ndarray) -> np.ndarray:
+        """Estimated products of anchor k with the unit code vectors of rows ``at``, right to ``offs``."""
+        inside = np.zeros(len(at), np.float32)
         for w, words in enumerate(rows.codes[level]):
             code = words[at]
-            for j in range(_BITS):
-                inside += np.bitwise_count(code & planes[j][w]).astype(np.int64) << j
-            inside -= np.bitwise_count(code).astype(np.int64) << (_BITS - 1)
-        return step * (2.0 * inside - total), off
-
-
-def survivors(q: Query, rows: Rows, at: np.ndarray, low: np.ndarray, high: np.ndarray, best: int) -> np.ndarray:
-    """Rows of ``at`` that may be among the ``best`` of one of the windows [low, high]."""
-    floor = low.astype(np.float64).copy()
-    middle = np.zeros(len(at))
-    wide = _SLACK * (q.length * rows.length[at] + 1)
+            inside += _PLACES @ np.bitwise_count(code & self.planes[k, level, :, w, None]).astype(np.float32)
+            inside -= np.bitwise_count(code) * np.float32(1 << (_BITS - 1))
+        inside += inside  # whole numbers below 2^24, so exact
+        inside -= np.float32(self.totals[k, level])
+        inside *= np.float32(self.steps[k, level])
+        return inside
+
+
+def survivors(q: Queries, k: int, rows: Rows, at: np.ndarray, low: np.ndarray, high: np.ndarray, best: int) -> np.ndarray:
+    """Rows of ``at`` that may be among the ``best`` of one of anchor k's windows [low, high]."""
+    floor, top, length = low.astype(np.float64), high.max(), float(q.length[k])
+    middle, off = np.zeros(len(at), np.float32), 0.0
     for level in range(LEVELS):
-        estimate, off = q.products(rows, level, at)
-        along = rows.alignments[level][at]
-        middle, wide = middle + along * estimate, wide + along * off
-        beside = np.sqrt(np.maximum(q.length**2 * (1 + _SLACK) - np.maximum(np.abs(estimate) - off, 0) ** 2, 0))
-        error = wide + rows.rest[level][at] * beside
+        estimate, off = q.products(k, rows, level, at), max(off, float(q.offs[k, level]))
+        middle += rows.alignments[level][at] * estimate
+        if level < _FILTER_FROM:  # intervals are too wide to leave anything out
+            continue
+        np.abs(estimate, out=estimate)
+        estimate -= off
+        beside = np.sqrt(np.maximum(length * length - np.square(np.maximum(estimate, 0)), 0))
+        error = rows.rest[level][at] * beside + rows.reach[level][at] * off + rows.length[at] * (_SLACK * length) + _SLACK
         least, most = middle - error, middle + error
-        stay = np.zeros(len(at), bool)
-        for j in range(len(low)):
-            sure = least[(least >= low[j]) & (most <= high[j])]
-            if len(sure) >= best:  # the best-th of these scores at least that much
-                floor[j] = max(floor[j], np.partition(sure, len(sure) - best)[len(sure) - best])
-            stay |= (most >= floor[j]) & (least <= high[j])
-        at, middle, wide = at[stay], middle[stay], wide[stay]
+        stay = (most >= floor.min()) & (least <= top)
+        if (level - _FILTER_FROM) % 2:  # every other level tells the windows apart
+            at, middle, least, most = (x[stay] for x in (at, middle, least, most))
+            stay = np.zeros(len(at), bool)
+            for j in range(len(low)):
+                sure = least[(least >= low[j]) & (most <= high[j])]
+                if len(sure) >= best:  # the best-th of these scores at least that much
+                    floor[j] = max(floor[j], np.partition(sure, len(sure) - best)[len(sure) - best])
+                stay |= (most >= floor[j]) & (least <= high[j])
+        at, middle = at[stay], middle[stay]
     return at
 
 
@@ -137,15 +150,15 @@ def _cell(same: bool, best: int):
         if left.num_rows and right.num_rows:
             rows = Rows(left)
             everyone = np.arange(len(rows.row))
-            vectors = right.column("v").combine_chunks().flatten().to_numpy().reshape(right.num_rows, -1)
+            q = Queries(right.column("v").combine_chunks().flatten().to_numpy().reshape(right.num_rows, -1))
             for k, (a, label, low, high) in enumerate(zip(*(right.column(c).to_pylist() for c in ("row", "label", "low", "high")), strict=True)):
                 at = rows.by_label.get(label, everyone[:0]) if same else everyone[rows.label != label]
                 at = at[rows.row[at] != a]
                 if not len(at):
                     continue
-                low, high, q = np.array(low, np.int64), np.array(high, np.int64), Query(vectors[k])
-                at = survivors(q, rows, at, low, high, best)
-                score = rows.v[at].astype(np.int64) @ q.v
+                low, high = np.array(low, np.int64), np.array(high, np.int64)
+                at = survivors(q, k, rows, at, low, high, best)
+                score = rows.v[at].astype(np.int64) @ q.v[k]
                 for j in range(len(low)):
                     inside = np.flatnonzero((score >= low[j]) & (score <= high[j]))
                     first = inside[np.lexsort((rows.vec_id[at[inside]], rows.no_id[at[inside]], -score[inside]))[:best]]
@@ -187,8 +200,8 @@ def _met(rows: DataFrame, anchors: DataFrame, n_rows: int, n_anchors: int, same:
     """Every anchor (row, label, v, low, high) against every row, cell by cell: the best of each cell, then the best of all."""
     spark = rows.sparkSession
     each = len(rows.select("v").first()[0]) * 8  # bytes of a vector, its codes and alignments
-    # at least one block of rows a task, so that small tables use all cores; more where 16 MB hold fewer rows
-    down = max(math.ceil(n_rows * each / ROW_BYTES), int(spark.conf.get("spark.sql.shuffle.partitions")))
+    # a block of rows a task, so that small tables use all cores, but none of under LEAST_ROWS; more where ROW_BYTES hold fewer rows
+    down = max(math.ceil(n_rows * each / ROW_BYTES), min(int(spark.conf.get("spark.sql.shuffle.partitions")), math.ceil(n_rows / LEAST_ROWS)))
     across = max(1, math.ceil(n_anchors * each / ANCHOR_BYTES))
     dealt = lambda df, n: F.pmod(F.xxhash64(df["row"]), F.lit(n)).cast("int")
     left = rows.withColumn("down", dealt(rows, down)).withColumn("across", F.explode(F.sequence(F.lit(0), F.lit(across - 1))))
