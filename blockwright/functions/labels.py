@@ -7,9 +7,16 @@ from pyspark.sql import functions as F
 
 ZERO_HASH = "0x" + "0" * 64
 
-# Directions that are no trade, forced directions, and the table of each ledger type.
+# Directions that are no trade, forced directions, enum labels in the order of their numbers from 1, and the table of each ledger type.
 NON_TRADE = ["SPOT_DUST_CONVERSION", "SETTLEMENT", "NET_CHILD_VAULTS", "SPLIT_OUTCOME", "MERGE_OUTCOME", "MERGE_QUESTION", "NEGATE_OUTCOME"]
 FORCED = ["AUTO_DELEVERAGING", "LIQUIDATED_CROSS_LONG", "LIQUIDATED_CROSS_SHORT", "LIQUIDATED_ISOLATED_LONG", "LIQUIDATED_ISOLATED_SHORT", "BACKSTOP_BORROW_LIQUIDATION", "PARTIAL_BORROW_LIQUIDATION"]
+SIDES = ["ASK", "BUY"]
+DIRECTIONS = [
+    "BUY", "SELL", "OPEN_LONG", "CLOSE_LONG", "OPEN_SHORT", "CLOSE_SHORT", "LONG_TO_SHORT", "SHORT_TO_LONG", "SPOT_DUST_CONVERSION",
+    "LIQUIDATED_CROSS_LONG", "LIQUIDATED_CROSS_SHORT", "LIQUIDATED_ISOLATED_LONG", "LIQUIDATED_ISOLATED_SHORT", "AUTO_DELEVERAGING", "SETTLEMENT",
+    "NET_CHILD_VAULTS", "BACKSTOP_BORROW_LIQUIDATION", "PARTIAL_BORROW_LIQUIDATION", "SPLIT_OUTCOME", "MERGE_OUTCOME", "MERGE_QUESTION", "NEGATE_OUTCOME",
+]
+LEVERAGE_TYPES = ["CROSS", "ISOLATED"]
 LEDGER_TABLES = {
     "transfers": ["send", "spot_transfer", "internal_transfer", "sub_account_transfer", "account_class_transfer"],
     "bridge_transfers": ["deposit", "withdraw"],

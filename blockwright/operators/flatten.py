@@ -10,6 +10,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from blockwright.functions.schema import IDENTITY, partition_date
 
@@ -38,8 +39,8 @@ class TableSpec:
 class FlattenSpec:
     family: str
     tables: tuple[TableSpec, ...]
-    #: SQL over the block that lists what is wrong with it; a block with an entry gives no row in any table
-    errors: str | None = None
+    #: what lists the errors of a block (SQL, or a column): a block with an entry gives no row in any table
+    errors: str | Column | None = None
 
 
 def _identity(blocks: DataFrame) -> list[Column]:
@@ -63,10 +64,15 @@ def flatten_table(blocks: DataFrame, spec: TableSpec) -> DataFrame:
 
 
 def flatten(blocks: DataFrame, spec: FlattenSpec) -> dict[str, DataFrame]:
-    """All tables of a family; blocks with errors go to ``quarantine`` as a whole; no list of errors (null) is no error."""
+    """All tables of a family; blocks with errors go to ``quarantine`` as a whole; no list of errors (null) is no error.
+
+    Blocks that already have ``_errors`` keep them: check them once and persist or write them, as every table is a job of its own.
+    """
     out = {}
-    if spec.errors:
-        checked = blocks.withColumn("_errors", F.expr(spec.errors))
+    checked = blocks
+    if "_errors" not in blocks.columns and spec.errors is not None:
+        checked = blocks.withColumn("_errors", spec.errors if isinstance(spec.errors, Column) else F.expr(spec.errors))
+    if "_errors" in checked.columns:
         out["quarantine"] = checked.where(F.coalesce(F.size("_errors"), F.lit(0)) > 0).select("block_num", F.explode("_errors").alias("error"))
         blocks = checked.where(F.coalesce(F.size("_errors"), F.lit(0)) <= 0).drop("_errors")
     return out | {t.name: flatten_table(blocks, t) for t in spec.tables}
@@ -111,6 +117,16 @@ def unrolled(df: DataFrame, message: str, nested: str, depth: int, level: str =
     return df.select("*", F.posexplode(F.array(*plain)).alias("_l", "_m")).where("_m is not null").select(*[c for c in df.columns if c != message], F.col("_l").cast("long").alias(level), "_m.*")
 
 
+def cases(message: Column, kind: T.StructType) -> tuple[Column, dict[str, Column]]:
+    """A message of which one field is there: that field's name, and every field of any case by name, null where the case lacks it."""
+    label = F.coalesce(*[F.when(message[f.name].isNotNull(), F.lit(f.name)) for f in kind.fields])
+    values: dict[str, list[Column]] = {}
+    for f in kind.fields:
+        for g in f.dataType.fields if isinstance(f.dataType, T.StructType) else []:
+            values.setdefault(g.name, []).append(message[f.name][g.name])
+    return label, {name: F.coalesce(*found) for name, found in values.items()}
+
+
 def with_child_counts(blocks: DataFrame, lists: dict[str, str]) -> DataFrame:
     """Stored counts: output column -> list field; a missing list counts 0."""
     return blocks.withColumns({c: F.coalesce(F.size(F.expr(p)), F.lit(0)).cast("long") for c, p in lists.items()})

@@ -8,14 +8,15 @@ lists of messages left out, as those have tables of their own.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from blockwright.functions.labels import BODY_TABLES, LEDGER_TABLES, event_table
-from blockwright.functions.schema import IDENTITY
-from blockwright.operators.flatten import FlattenSpec, Level, TableSpec, flatten, routed, union_by_name
-from blockwright.plans.market import liquidations, outcome_fills, with_counterparty, with_market
+from blockwright.functions.labels import BODY_TABLES, DIRECTIONS, LEDGER_TABLES, LEVERAGE_TYPES, SIDES, event_table
+from blockwright.functions.schema import AMOUNT, IDENTITY
+from blockwright.operators.flatten import FlattenSpec, Level, TableSpec, cases, flatten, routed, union_by_name
+from blockwright.operators.validate import Checks, with_errors
+from blockwright.plans.market import funding_rates, liquidations, outcome_fills, with_counterparty, with_market
 
 _TX = "e0.hash AS tx_hash"
 _CALL = "e0.hash AS tx_hash, e1.index AS call_index"
@@ -122,9 +123,72 @@ def family_spec(family: str, schema: T.StructType, errors: str | None = None, on
     return FlattenSpec(family, tuple(x for x in found if x is not None), errors)
 
 
+# What a field of an order-book block must hold.
+CHECKS = {
+    "hypercore": Checks({
+        "block_header": "present", "block_header.block_number": "same:block_num", "block_header.block_time": "nanoseconds and same:timestamp",
+        "user": "bytes", "destination": "bytes", "vault": "bytes", "validator": "bytes", "sub_account": "bytes", "hash": "bytes", "users[]": "bytes",
+        "coin": "text", "token": "text", "dex": "text", "operation": "text", "ip": "text", "method": "text", "fills[].fee_token": "text",
+        "price": "decimal", "size": "decimal", "start_position": "decimal", "closed_pnl": "decimal", "fee": "decimal", "mark_px": "decimal", "amount": "decimal", "usdc": "decimal", "usdc_value": "decimal",
+        "native_token_fee": "decimal", "requested_usd": "decimal", "commission": "decimal", "closing_cost": "decimal", "basis": "decimal", "net_withdrawn_usd": "decimal", "interest_amount": "decimal",
+        "liquidated_ntl_pos": "decimal", "account_value": "decimal", "szi": "decimal", "funding_amount": "decimal", "funding_rate": "decimal", "reward": "decimal",
+        "deployer_fee": "decimal or empty", "builder_fee": "decimal or empty", "priority_gas": "decimal or empty", "end_gas": "decimal or null",
+        "order_id": "long", "transaction_id": "long", "twap_id": "long", "nonce": "long", "slot_id": "long",
+        "side": "enum:side", "direction": "enum:direction", "leverage_type": "enum:leverage type",
+        "fills[].time": "milliseconds", "events[].time": "nanoseconds", "events[].events": "one", "events[].events[]": "case", "events[].events[].ledger_update.delta": "case",
+    }, {"side": SIDES, "direction": DIRECTIONS, "leverage type": LEVERAGE_TYPES}),
+}
+
+
+def hypercore_blocks(blocks: DataFrame) -> DataFrame:
+    """Blocks whose events hold one body each in the flat form of the specs: event_type, ledger_type and the body's fields beside time and hash.
+
+    Enum numbers become labels. Blocks already flat stay as they are; check the errors before, as a body list of another length than one loses rows here.
+    """
+    kind = _type_at(blocks.schema, "events")
+    body = _type_at(kind.elementType, "events") if isinstance(kind, T.ArrayType) else None
+    if isinstance(body, T.ArrayType):
+        def flat(event: Column) -> Column:
+            one = F.get(event["events"], 0)
+            label, fields = cases(one, body.elementType)
+            ledger = fields.pop("delta", None)
+            extra: dict[str, Column] = {}
+            if ledger is not None:
+                names, extra = cases(ledger, _type_at(body.elementType, "ledger_update.delta"))
+                extra = {"ledger_type": names, **extra}
+            rewards = {"validator_rewards": F.when(one["validator_rewards"].isNotNull(), F.struct(one["validator_rewards"]["validator_to_reward"].alias("rewards")))} if "validator_rewards" in body.elementType.fieldNames() else {}
+            funding = {"funding": one["funding"]} if "funding" in body.elementType.fieldNames() else {}
+            skip = {"deltas", "validator_to_reward"}
+            renamed = {"name": "sub_account_name", "previous_winner": "previous_winner"}
+            for name, value in fields.items():
+                if name not in skip:
+                    extra[renamed.get(name, name)] = F.coalesce(extra[name], value) if name in extra else value
+            keep = {f.name: event[f.name] for f in kind.elementType.fields if f.name != "events"}
+            return F.struct(*[v.alias(k) for k, v in {**keep, "event_type": label, **extra, **funding, **rewards}.items()])
+
+        blocks = blocks.withColumn("events", F.transform("events", flat))
+    fills = _type_at(blocks.schema, "fills")
+    if isinstance(fills, T.ArrayType):
+        numbers = {"side": SIDES, "direction": DIRECTIONS}
+        again = [f.name for f in fills.elementType.fields if f.name in numbers and isinstance(f.dataType, (T.IntegerType, T.LongType))]
+        if again:
+            label = lambda c, x: F.get(F.array(*map(F.lit, numbers[c])), x[c].cast("int") - 1)
+            blocks = blocks.withColumn("fills", F.transform("fills", lambda x: x.withField(again[0], label(again[0], x)) if len(again) == 1 else x.withField(again[0], label(again[0], x)).withField(again[1], label(again[1], x))))
+    return blocks
+
+
+def amounts(df: DataFrame, checks: Checks) -> DataFrame:
+    """Text columns of a decimal kind as exact decimals; empty text is null."""
+    text = {f.name for f in df.schema if isinstance(f.dataType, T.StringType)}
+    return df.withColumns({c: F.nullif(F.col(c), F.lit("")).cast(AMOUNT) for c in df.columns if c in text and (checks.kind(c) or "").startswith("decimal")})
+
+
 def _hypercore(tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
-    """Events go to the one table of their kind (unknown labels to ``other_events``); fills get their market and counterparty, and two tables derive from them."""
-    events, fills = tables.get("events"), tables.get("fills")
+    """Events go to the one table of their kind (unknown labels to ``other_events``); fills get their market and counterparty, two tables derive from them and funding_rates from the deltas."""
+    tables = {name: df if name == "quarantine" else amounts(df, CHECKS["hypercore"]) for name, df in tables.items()}
+    events, fills, deltas = tables.get("events"), tables.get("fills"), tables.get("funding_deltas")
+    if events is not None and deltas is not None and {"coin", "szi", "funding_amount", "funding_rate"} <= set(deltas.columns):
+        tables["funding_rates"] = funding_rates(deltas, events.where("event_type = 'funding'"))
     if events is not None and {"event_type", "ledger_type"} <= set(events.columns):
         names = [*LEDGER_TABLES, *[t for t in BODY_TABLES if t not in LEDGER_TABLES]]
         tables = {k: v for k, v in tables.items() if k != "events"} | routed(events, event_table(F.col("event_type"), F.col("ledger_type")), [*dict.fromkeys([*names, "other_events"])], other="other_events")
@@ -146,11 +210,16 @@ def _cosmos(tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
     return tables
 
 
+#: What a family's blocks need before they are flattened.
+PREPARED = {"hypercore": hypercore_blocks}
 #: What a family's tables need beyond one explode a list.
 DERIVED = {"hypercore": _hypercore, "cosmos": _cosmos}
 
 
 def flatten_family(blocks: DataFrame, family: str, errors: str | None = None, only: set[str] | None = None) -> dict[str, DataFrame]:
-    """All tables that blocks of this schema can fill, derived ones included."""
-    out = flatten(blocks, family_spec(family, blocks.schema, errors, only))
+    """All tables that blocks of this schema can fill, derived ones included; a family's own checks hold unless ``errors`` names others."""
+    if errors is None and family in CHECKS and "_errors" not in blocks.columns:
+        blocks = with_errors(blocks, CHECKS[family])
+    blocks = PREPARED[family](blocks) if family in PREPARED else blocks
+    out = flatten(blocks, family_spec(family, T.StructType([f for f in blocks.schema if f.name != "_errors"]), errors, only))
     return DERIVED[family](out) if family in DERIVED else out

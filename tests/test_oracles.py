@@ -4,7 +4,7 @@ import duckdb
 import pandas as pd
 import pytest
 
-from blockwright.plans import queries_more  # noqa: F401
+from blockwright.plans import queries_families, queries_more  # noqa: F401
 from blockwright.plans.adapters import TABLES
 from blockwright.plans.queries import ORACLE, QUERIES
 
