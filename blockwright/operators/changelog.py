@@ -22,7 +22,11 @@ def newest(log: DataFrame, key: list[str], time: str = "observed_at") -> DataFra
 
 
 def changes(log: DataFrame, snapshot: DataFrame, key: list[str]) -> DataFrame:
-    """Snapshot rows whose payload differs from the entity's newest row, or whose entity is new or was unlisted."""
+    """Snapshot rows whose payload differs from the entity's newest row, or whose entity is new or was unlisted.
+
+    An entity that a snapshot lists twice counts once: its newest row, of several the one with the smallest hash.
+    """
+    snapshot = latest(snapshot, key, [F.desc("observed_at"), "payload_sha256"])
     now = newest(log, key).select(*key, F.col("payload_sha256").alias("_hash"), F.col("listed").alias("_listed"))
     both = snapshot.join(now, key, "left")
     return both.where(~F.col("_hash").eqNullSafe(F.col("payload_sha256")) | ~F.coalesce("_listed", F.lit(False))).drop("_hash", "_listed")

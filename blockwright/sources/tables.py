@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -24,13 +25,45 @@ def shared_path(spark: SparkSession, name: str) -> str:
     return f"{found.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+_SCOPES: list[list[str]] = []
+
+
 def stored_table(df: DataFrame, name: str) -> DataFrame:
-    """``df`` written once and read back: lineage ends there, and the sizes Spark plans with are real."""
+    """``df`` written once and read back: lineage ends there, and the sizes Spark plans with are real. Inside ``temporary_tables`` it goes when that ends."""
     path = shared_path(df.sparkSession, name)
+    if _SCOPES:
+        _SCOPES[-1].append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def temporary_tables(spark: SparkSession) -> Iterator[None]:
+    """Deletes the stored tables made inside, once what is computed from them has been written."""
+    _SCOPES.append([])
+    try:
+        yield
+    finally:
+        for path in _SCOPES.pop():
+            remove(spark, path)
+
+
+def _folder(spark: SparkSession, path: str):
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), where
+
+
+def children(spark: SparkSession, path: str) -> list[str]:
+    """Names in a folder of any file system Spark reads; none where it isn't there."""
+    files, where = _folder(spark, path)
+    return sorted(x.getPath().getName() for x in files.listStatus(where)) if files.exists(where) else []
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    files, where = _folder(spark, path)
+    files.delete(where, True)
+
+
 def read_blocks(spark: SparkSession, path: str, schema: T.StructType | str, form: str = "parquet") -> DataFrame:
     """Nested block envelopes under a declared schema; columns go by name, nothing is inferred."""
     return spark.read.schema(schema).format(form).load(path)

@@ -4,13 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 from blockwright.operators.changelog import newest
 from blockwright.operators.flatten import FlattenSpec, flatten
-from blockwright.sources.tables import LAST_TABLE, stored_table, writer_options
+from blockwright.sources.tables import LAST_TABLE, children, remove, stored_table, temporary_tables, writer_options
 
 
 def write_batch(tables: dict[str, DataFrame], root: str, batch_id: int) -> None:
@@ -24,12 +24,15 @@ def write_batch(tables: dict[str, DataFrame], root: str, batch_id: int) -> None:
 def ingest_stream(source: DataFrame, spec: FlattenSpec, root: str, checkpoint: str, before: Callable[[DataFrame, int], DataFrame] | None = None, available_now: bool = True) -> StreamingQuery:
     """Flatten every micro-batch into all tables of the family. The checkpoint replays an unfinished batch under its own id."""
     def write(batch: DataFrame, batch_id: int) -> None:
-        rows = before(batch, batch_id) if before else batch
-        rows = rows.persist()
-        try:
-            write_batch(flatten(rows, spec), root, batch_id)
-        finally:
-            rows.unpersist()
+        with temporary_tables(batch.sparkSession):
+            rows = before(batch, batch_id) if before else batch
+            if spec.errors is not None:  # checked once, not once a table
+                rows = rows.withColumn("_errors", spec.errors if isinstance(spec.errors, Column) else F.expr(spec.errors))
+            rows = rows.persist()
+            try:
+                write_batch(flatten(rows, spec), root, batch_id)
+            finally:
+                rows.unpersist()
 
     stream = source.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
     return (stream.trigger(availableNow=True) if available_now else stream).start()
@@ -53,17 +56,36 @@ def live_head_stream(events: DataFrame) -> DataFrame:
     return events.groupBy("block_num", "block_id").agg(F.max_by(F.struct(*rest), "stream_ordinal").alias("e")).select("block_num", "block_id", "e.*")
 
 
-def changelog_writer(root: str, key: list[str], append: Callable[[DataFrame, DataFrame], DataFrame], schema) -> Callable[[DataFrame, int], None]:
-    """For foreachBatch over snapshots: only changes against the log so far are written, in the batch's own folder (``batch=K``).
+def changelog_writer(root: str, key: list[str], append: Callable[[DataFrame, DataFrame], DataFrame], schema, run: str | None = None) -> Callable[[DataFrame, int], None]:
+    """For foreachBatch over snapshots: only changes against the log so far are written, to ``run=R/batch=K`` under ``root``.
 
-    ``_newest/batch=K``, which readers of the log pass over, keeps each entity's newest row: all that the next batch reads, so a batch costs the same however long the log is.
+    R is the streaming query's id, which its checkpoint keeps: a replayed batch overwrites its own rows, and a query with a new checkpoint goes
+    on after the log it finds. The state, each entity's newest row, is all that a batch reads: ``_newest/N-R-K``, which readers of the log
+    pass over; N counts on from the newest whole state, and the last two are kept. Without any state the log itself gives it. One writer a root at a time.
     """
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        before = spark.createDataFrame([], schema) if batch_id == 0 else spark.read.schema(schema).parquet(f"{root}/_newest/batch={batch_id - 1}")
-        append(before, batch).write.mode("overwrite").parquet(f"{root}/batch={batch_id}")
-        added = spark.read.schema(schema).parquet(f"{root}/batch={batch_id}")
-        newest(before.unionByName(added), key).write.mode("overwrite").parquet(f"{root}/_newest/batch={batch_id}")
+        own = run or spark.sparkContext.getLocalProperty("sql.streaming.queryId") or "manual"
+        states = f"{root}/_newest"
+        whole = sorted((int(n.split("-", 1)[0]), n) for n in children(spark, states) if "_SUCCESS" in children(spark, f"{states}/{n}"))
+        mine = next((n for n, name in whole if name == f"{n}-{own}-{batch_id}"), None)
+        base = [(n, name) for n, name in whole if mine is None or n < mine]
+        if base:
+            before = spark.read.schema(schema).parquet(f"{states}/{base[-1][1]}")
+        elif mine is None and children(spark, root):
+            log = spark.read.schema(schema).parquet(root)  # its states are gone; what an unfinished write of this batch left doesn't count
+            others = ~((F.col("run").cast("string") == own) & (F.col("batch").cast("long") == batch_id)) if "run" in log.columns else F.lit(True)
+            before = newest(log.where(others).select(*schema.fieldNames()), key)
+        else:
+            before = spark.createDataFrame([], schema)
+        place = f"{root}/run={own}/batch={batch_id}"
+        append(before, batch).write.mode("overwrite").parquet(place)
+        added = spark.read.schema(schema).parquet(place)
+        number = base[-1][0] + 1 if base else 0
+        newest(before.unionByName(added), key).write.mode("overwrite").parquet(f"{states}/{number}-{own}-{batch_id}")
+        for n, name in whole:
+            if n < number - 1:
+                remove(spark, f"{states}/{name}")
 
     return write
 

@@ -191,15 +191,85 @@ def test_ordinals_and_days(spark):
         assert [r["date"].day for r in ingest.routing_day(b, width=width).orderBy("block_num").collect()] == [3, 3, 3, 3, 5]
 
 
+CHANGES = "entity long, observed_at long, kind string"
+
+
+def snapshots(spark, *batches):
+    return [G.shaped(spark.createDataFrame(b, CHANGES), ["entity"], "s") for b in batches]
+
+
+def change_writer(root, schema, run=None):
+    return ingest.changelog_writer(str(root), ["entity"], lambda log, snap: G.append(log, snap, ["entity"], 9), schema, run)
+
+
+def logged(spark, root, schema):
+    return spark.read.schema(schema).parquet(str(root)).select("entity", "observed_at", "kind")
+
+
 def test_change_log_stream_reads_only_the_newest_rows(spark, tmp_path):
-    c = "entity long, observed_at long, kind string"
-    shape = lambda data: G.shaped(spark.createDataFrame(data, c), ["entity"], "s")
-    batches = [shape([(1, 1, "a"), (2, 1, "b")]), shape([(1, 2, "a"), (2, 2, "c")]), shape([(1, 3, "z"), (2, 3, "c")])]
-    write = ingest.changelog_writer(str(tmp_path), ["entity"], lambda log, snap: G.append(log, snap, ["entity"], 9), batches[0].schema)
+    batches = snapshots(spark, [(1, 1, "a"), (2, 1, "b")], [(1, 2, "a"), (2, 2, "c")], [(1, 3, "z"), (2, 3, "c")], [(1, 4, "z"), (2, 4, "c")])
+    schema = batches[0].schema
+    write = change_writer(tmp_path, schema)
     for k, b in enumerate(batches):
         write(b, k)
-    log = spark.read.schema(batches[0].schema).parquet(f"{tmp_path}/log")
-    assert rows(log.select("entity", "observed_at", "kind")) == [(1, 1, "a"), (1, 3, "z"), (2, 1, "b"), (2, 2, "c")]
+    assert rows(logged(spark, tmp_path, schema)) == [(1, 1, "a"), (1, 3, "z"), (2, 1, "b"), (2, 2, "c")]
+    assert len(ST.children(spark, f"{tmp_path}/_newest")) == 2
+    log = spark.read.schema(schema).parquet(str(tmp_path))
     assert G.verify(log, ["entity"], ["kind"]).count() == 0
     bad = log.where("entity = 1").withColumn("kind", F.lit("q")).unionByName(log.where("entity = 2").limit(1).withColumns({"listed": F.lit(False), "entity": F.lit(7).cast("long")}))
     assert {r["kind"] for r in G.verify(bad, ["entity"], ["kind"]).collect()} == {"hash_mismatch", "orphan_removal"}
+
+
+def test_change_log_writer_replays_and_resumes(spark, tmp_path):
+    one, two, three = snapshots(spark, [(1, 1, "a"), (2, 1, "b")], [(1, 2, "a"), (2, 2, "c")], [(1, 3, "a"), (2, 3, "c"), (3, 3, "n")])
+    write = change_writer(tmp_path, one.schema, "first")
+    write(one, 0)
+    write(two, 1)
+    write(two, 1)  # the same batch again
+    want = [(1, 1, "a"), (2, 1, "b"), (2, 2, "c")]
+    assert rows(logged(spark, tmp_path, one.schema)) == want
+    again = change_writer(tmp_path, one.schema, "second")  # a new checkpoint counts its batches from 0
+    again(two, 0)
+    assert rows(logged(spark, tmp_path, one.schema)) == want
+    again(three, 1)
+    assert rows(logged(spark, tmp_path, one.schema)) == [*want, (3, 3, "n")]
+    ST.remove(spark, f"{tmp_path}/_newest")
+    change_writer(tmp_path, one.schema, "third")(three, 0)
+    assert rows(logged(spark, tmp_path, one.schema)) == [*want, (3, 3, "n")]
+    half = next(iter(tmp_path.glob("_newest/*/_SUCCESS")))
+    half.unlink()  # a state whose write did not end
+    change_writer(tmp_path, one.schema, "third")(three, 0)
+    assert rows(logged(spark, tmp_path, one.schema)) == [*want, (3, 3, "n")]
+
+
+def test_change_log_stream_restarts_with_and_without_its_checkpoint(spark, tmp_path):
+    shape = snapshots(spark, [(1, 1, "a")])[0].schema
+
+    def run(checkpoint):
+        write = change_writer(f"{tmp_path}/log", shape)
+        source = spark.readStream.schema(CHANGES).option("maxFilesPerTrigger", 1).parquet(f"{tmp_path}/in")
+        source.writeStream.foreachBatch(lambda b, k: write(G.shaped(b, ["entity"], "s"), k)).option("checkpointLocation", f"{tmp_path}/{checkpoint}").trigger(availableNow=True).start().awaitTermination()
+
+    spark.createDataFrame([(1, 1, "a"), (2, 1, "b")], CHANGES).coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
+    run("cp1")
+    spark.createDataFrame([(1, 2, "a"), (2, 2, "c")], CHANGES).coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
+    run("cp1")
+    want = [(1, 1, "a"), (2, 1, "b"), (2, 2, "c")]
+    assert rows(logged(spark, f"{tmp_path}/log", shape)) == want
+    ST.remove(spark, f"{tmp_path}/in")
+    spark.createDataFrame([(1, 3, "a"), (2, 3, "c")], CHANGES).coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
+    run("cp2")
+    assert rows(logged(spark, f"{tmp_path}/log", shape)) == want
+
+
+def test_an_entity_twice_in_a_snapshot_counts_once(spark):
+    (snap,) = snapshots(spark, [(1, 5, "a"), (1, 7, "b"), (1, 7, "b"), (2, 1, "x")])
+    assert rows(G.changes(snap.limit(0), snap, ["entity"]).select("entity", "observed_at", "kind")) == [(1, 7, "b"), (2, 1, "x")]
+
+
+def test_temporary_tables_go(spark):
+    with ST.temporary_tables(spark):
+        held = ST.stored_table(spark.range(3).toDF("x"), "held")
+        path = held.inputFiles()[0].rsplit("/", 1)[0]
+        assert held.count() == 3 and ST.children(spark, path)
+    assert not ST.children(spark, path)
