@@ -47,9 +47,14 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def drop_benchmark_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold a passage of a benchmark item go."""
-    pairs = contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet").select("item_id", "text"))
-    return docs.select(*COLUMNS).join(written(pairs.select("doc_id").distinct(), "leaks"), "doc_id", "left_anti").select(*COLUMNS)
+    """Documents that hold a passage of a benchmark item go; all rows of such a text, and no others.
+
+    Texts are known by a 64-bit hash, not by doc_id: a row with a null doc_id is searched like all others, and a clean text
+    stays though it shares its doc_id with one that goes. A null text holds nothing.
+    """
+    rows = docs.select(*COLUMNS).withColumn("_text", F.xxhash64("text"))
+    pairs = contaminated(rows.select(F.col("_text").alias("doc_id"), "text"), spark.read.parquet(f"{sf_dir}/benchmark.parquet").select("item_id", "text"))
+    return rows.join(written(pairs.select(F.col("doc_id").alias("_text")).distinct(), "leaks"), "_text", "left_anti").select(*COLUMNS)
 
 
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
