@@ -1,13 +1,16 @@
 """Table specs of the chain families, as paths into the nested block.
 
 A table is written ``list@position list@position | carried columns``: one explode a list (``list?@position`` keeps a parent whose list is empty),
-positions count source items, and the carried SQL copies what children need from the elements above (``e0``, ``e1``, ...; ``block``).
+positions count source items, ``>message`` takes an optional message of the element above as the row, and the carried SQL copies what children need from the elements above (``e0``, ``e1``, ...; ``block``).
 Every other column follows one rule (``own_columns``): the deepest element's fields, structs flattened with their names joined by ``_``,
 lists of messages left out, as those have tables of their own.
 """
 
 from __future__ import annotations
 
+import re
+from dataclasses import replace
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -17,8 +20,10 @@ from blockwright.functions.schema import AMOUNT, IDENTITY
 from blockwright.operators.flatten import FlattenSpec, Level, TableSpec, cases, flatten, routed, union_by_name
 from blockwright.operators.validate import Checks, with_errors
 from blockwright.plans.market import funding_rates, liquidations, outcome_fills, with_counterparty, with_market
+from blockwright.plans.sec import parse_issues, sec_tables, typed_filings
 
 _TX = "e0.hash AS tx_hash"
+_FILING = "e0.accession_number AS accession_number, e0.form_type AS form_type, e0.filing_date AS filing_date, e0.acceptance_datetime AS acceptance_datetime"
 _CALL = "e0.hash AS tx_hash, e1.index AS call_index"
 
 # Table names and the lists of the nested blocks they come from.
@@ -51,15 +56,47 @@ FAMILIES: dict[str, dict[str, str]] = {
                                                                 ("bls_to_execution_changes", "change_index"), ("deposit_requests", "request_index"), ("withdrawal_requests", "request_index"), ("consolidation_requests", "request_index"))}},
     "hypercore": {"blocks": "", "fills": "fills@fill_index", "events": "events@event_index", "funding_deltas": "events@event_index funding.deltas@delta_index", "validator_rewards": "events@event_index validator_rewards.rewards@reward_index"},
     "sec": {
-        "blocks": "", "filings": "filings@filing_index", **{t: f"filings@filing_index {p}@position | e0.accession_number AS accession_number" for t, p in (("filing_parties", "parties"), ("filing_documents", "documents"), ("filing_series", "series"), ("filing_signatures", "signatures"),
-            ("ownership_reporting_owners", "ownership.reporting_owners"), ("ownership_transactions", "ownership.transactions"), ("ownership_holdings", "ownership.holdings"), ("ownership_footnotes", "ownership.footnotes"), ("form13f_other_managers", "form13f.other_managers"), ("form13f_holdings", "form13f.holdings"),
-            ("beneficial_reporting_persons", "beneficial.reporting_persons"), ("form144_securities_information", "form144.securities_information"), ("form144_securities_to_be_sold", "form144.securities_to_be_sold"), ("form144_sales_past_3_months", "form144.sales_past_3_months"),
-            ("nport_monthly_returns", "nport.monthly_returns"), ("nport_monthly_activity", "nport.monthly_activity"), ("nport_holdings", "nport.holdings"), ("form_d_co_issuers", "form_d.co_issuers"), ("form_d_related_persons", "form_d.related_persons"), ("form_d_sales_recipients", "form_d.sales_recipients"),
-            ("npx_votes", "npx.votes"), ("npx_other_managers", "npx.other_managers"), ("form_c_co_issuers", "form_c.co_issuers"))},
-        "filing_series_classes": "filings@filing_index series@series_index classes@class_index", "npx_vote_records": "filings@filing_index npx.votes@vote_index records@record_index",
-        "nport_debt_reference_instruments": "filings@filing_index nport.holdings@holding_index debt_reference_instruments@instrument_index", "nport_debt_conversion_currencies": "filings@filing_index nport.holdings@holding_index debt_conversion_currencies@currency_index",
-        "nport_derivative_swap_legs": "filings@filing_index nport.holdings@holding_index swap_legs@leg_index", "nport_derivative_index_components": "filings@filing_index nport.holdings@holding_index index_components@component_index",
-        **{t: f"filings@filing_index {m}@form_position" for t, m in (("ownership_documents", "ownership_documents"), ("form13f_reports", "form13f_reports"), ("beneficial_reports", "beneficial_reports"), ("form144_notices", "form144_notices"), ("nport_reports", "nport_reports"), ("form_d_notices", "form_d_notices"), ("npx_reports", "npx_reports"), ("ncen_reports", "ncen_reports"), ("form_c_notices", "form_c_notices"))},
+        "blocks": "",
+        "filings": "filings@filing_index",
+        "filing_parties": f"filings@filing_index parties@party_index | {_FILING}",
+        "filing_documents": f"filings@filing_index documents@document_index | {_FILING}",
+        "filing_series": f"filings@filing_index series@series_index | {_FILING}",
+        "filing_series_classes": f"filings@filing_index series@series_index classes@class_index | {_FILING}, e1.series_id AS series_id",
+        "filing_signatures": f"filings@filing_index signatures@signature_index | {_FILING}",
+        "ownership_documents": f"filings@filing_index >ownership | {_FILING}",
+        "ownership_reporting_owners": f"filings@filing_index ownership.reporting_owners@owner_index | {_FILING}",
+        "ownership_transactions": f"filings@filing_index ownership.transactions@transaction_index | {_FILING}",
+        "ownership_holdings": f"filings@filing_index ownership.holdings@holding_index | {_FILING}",
+        "ownership_footnotes": f"filings@filing_index ownership.footnotes@footnote_index | {_FILING}",
+        "form13f_reports": f"filings@filing_index >form13f | {_FILING}",
+        "form13f_other_managers": f"filings@filing_index form13f.other_managers@other_manager_index | {_FILING}",
+        "form13f_holdings": f"filings@filing_index form13f.holdings@holding_index | {_FILING}",
+        "beneficial_reports": f"filings@filing_index >beneficial | {_FILING}",
+        "beneficial_reporting_persons": f"filings@filing_index beneficial.reporting_persons@person_index | {_FILING}",
+        "form144_notices": f"filings@filing_index >form144 | {_FILING}",
+        "form144_securities_information": f"filings@filing_index form144.securities_information_entries@entry_index | {_FILING}",
+        "form144_securities_to_be_sold": f"filings@filing_index form144.securities_to_be_sold@lot_index | {_FILING}",
+        "form144_sales_past_3_months": f"filings@filing_index form144.securities_sold_past_3_months@sale_index | {_FILING}",
+        "nport_reports": f"filings@filing_index >nport | {_FILING}",
+        "nport_monthly_returns": f"filings@filing_index nport.fund_info.monthly_total_returns@return_index | {_FILING}",
+        "nport_monthly_activity": f"filings@filing_index nport.fund_info.monthly_activity@activity_index | {_FILING}",
+        "nport_holdings": f"filings@filing_index nport.holdings@holding_index | {_FILING}",
+        "nport_debt_reference_instruments": f"filings@filing_index nport.holdings@holding_index debt_security.reference_instruments@reference_index | {_FILING}",
+        "nport_debt_conversion_currencies": f"filings@filing_index nport.holdings@holding_index debt_security.conversion_currencies@conversion_index | {_FILING}",
+        "nport_derivatives": f"filings@filing_index nport.holdings@holding_index derivatives@nesting_level | {_FILING}",
+        "nport_derivative_swap_legs": f"filings@filing_index nport.holdings@holding_index derivatives@nesting_level legs@leg_index | {_FILING}",
+        "nport_derivative_index_components": f"filings@filing_index nport.holdings@holding_index derivatives@nesting_level ref_index_components@component_index | {_FILING}",
+        "form_d_notices": f"filings@filing_index >form_d | {_FILING}",
+        "form_d_co_issuers": f"filings@filing_index form_d.issuers@co_issuer_index | {_FILING}",
+        "form_d_related_persons": f"filings@filing_index form_d.related_persons@person_index | {_FILING}",
+        "form_d_sales_recipients": f"filings@filing_index form_d.sales_compensation_recipients@recipient_index | {_FILING}",
+        "npx_reports": f"filings@filing_index >npx | {_FILING}",
+        "npx_votes": f"filings@filing_index npx.votes@vote_index | {_FILING}",
+        "npx_vote_records": f"filings@filing_index npx.votes@vote_index records@record_index | {_FILING}, e1.cusip_norm AS cusip_norm",
+        "npx_other_managers": f"filings@filing_index npx.other_managers@other_manager_index | {_FILING}",
+        "ncen_reports": f"filings@filing_index >ncen | {_FILING}",
+        "form_c_notices": f"filings@filing_index >form_c | {_FILING}",
+        "form_c_co_issuers": f"filings@filing_index form_c.co_issuers@co_issuer_index | {_FILING}",
     },
 }
 
@@ -73,10 +110,12 @@ def _type_at(kind: T.DataType, path: str) -> T.DataType | None:
 
 
 def own_columns(kind: T.DataType, at: str, prefix: str = "") -> dict[str, str]:
-    """Output column -> SQL for each field of a message that is no list of messages."""
+    """Output column -> SQL for each field of a message that is no list of messages; messages with issues of their own are rows of another table."""
     out: dict[str, str] = {}
     for f in kind.fields if isinstance(kind, T.StructType) else []:
         if isinstance(f.dataType, T.StructType):
+            if prefix + f.name != "header" and "_issues" in f.dataType.fieldNames():
+                continue
             out |= own_columns(f.dataType, f"{at}.{f.name}", f"{prefix}{f.name}_")
         elif not (isinstance(f.dataType, T.ArrayType) and isinstance(f.dataType.elementType, T.StructType)):
             out[prefix + f.name] = f"{at}.{f.name}"
@@ -100,20 +139,33 @@ def table_spec(name: str, text: str, schema: T.StructType) -> TableSpec | None:
     """The spec of one table for blocks of this schema; None where the schema lacks one of its lists."""
     paths, _, carried = text.partition("|")
     kind: T.DataType | None = schema
-    levels = []
+    levels: list[Level] = []
+    message, kinds = "", {"block": schema}
     for part in paths.split():
+        if part.startswith(">"):
+            message, kind = part[1:], _type_at(kind, part[1:])
+            if kind is None:
+                return None
+            levels[-1] = replace(levels[-1], where=f"e{len(levels) - 1}.{message} IS NOT NULL")
+            continue
         path, position = part.split("@")
         found = _type_at(kind, path.removesuffix("?")) if kind is not None else None
         if not isinstance(found, T.ArrayType):
             return None
         kind = found.elementType
+        kinds[f"e{len(levels)}"] = kind
         levels.append(Level(path.removesuffix("?"), position, outer=path.endswith("?")))
-    at = f"e{len(levels) - 1}" if levels else "block"
+    at = (f"e{len(levels) - 1}" if levels else "block") + (f".{message}" if message else "")
     taken = {*IDENTITY, *(x.position for x in levels)}
     columns = {c: sql for c, sql in own_columns(kind, at).items() if c not in taken}
     for item in _split(carried):
         sql, _, alias = item.rpartition(" AS ")
+        above, _, field = sql.partition(".")
+        if re.fullmatch(r"\w+(\.\w+)+", sql) and _type_at(kinds.get(above), field) is None:
+            continue  # a plain field that blocks of this schema lack
         columns[alias] = sql
+    if _type_at(kind, "_issues") is not None:
+        columns["has_parse_issues"] = f"size({at}._issues) > 0"
     return TableSpec(name, tuple(levels), columns)
 
 
@@ -211,9 +263,11 @@ def _cosmos(tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
 
 
 #: What a family's blocks need before they are flattened.
-PREPARED = {"hypercore": hypercore_blocks}
+PREPARED = {"hypercore": hypercore_blocks, "sec": typed_filings}
 #: What a family's tables need beyond one explode a list.
-DERIVED = {"hypercore": _hypercore, "cosmos": _cosmos}
+DERIVED = {"hypercore": _hypercore, "cosmos": _cosmos, "sec": sec_tables}
+#: Tables a family makes of its prepared blocks themselves.
+OF_BLOCKS = {"sec": lambda blocks: {"parse_issues": parse_issues(blocks, FAMILIES["sec"])}}
 
 
 def flatten_family(blocks: DataFrame, family: str, errors: str | None = None, only: set[str] | None = None) -> dict[str, DataFrame]:
@@ -222,4 +276,6 @@ def flatten_family(blocks: DataFrame, family: str, errors: str | None = None, on
         blocks = with_errors(blocks, CHECKS[family])
     blocks = PREPARED[family](blocks) if family in PREPARED else blocks
     out = flatten(blocks, family_spec(family, T.StructType([f for f in blocks.schema if f.name != "_errors"]), errors, only))
-    return DERIVED[family](out) if family in DERIVED else out
+    out = DERIVED[family](out) if family in DERIVED else out
+    more = OF_BLOCKS[family](blocks) if family in OF_BLOCKS else {}
+    return out | {name: df for name, df in more.items() if only is None or name in only}
