@@ -61,3 +61,47 @@ def f5_sound(spark, d):
 def f_funding_rates(spark, d):
     rates = flatten_family(order_book_blocks(spark, d), "hypercore")["funding_rates"]
     return rates.select("block_num", "event_index", F.col("dex_index").cast("long").alias("dex_index"), "coin", "dex", "positions", F.col("open_interest").cast("double").alias("open_interest"), F.col("positive_funding").cast("double").alias("positive_funding"))
+
+
+# ---- filings ----
+#: One filing a row, its texts odd here and there.
+_FILED = """SELECT block_num, fill_index,
+  CASE l_partkey % 13 WHEN 0 THEN 'N/A' WHEN 1 THEN concat(CAST(l_suppkey AS STRING), '.1234567') WHEN 2 THEN '' WHEN 3 THEN '1,5' ELSE CAST(l_partkey AS STRING) END AS shares,
+  CASE l_suppkey % 11 WHEN 0 THEN '2020-01-02-05:00' WHEN 1 THEN '6/5/2026' WHEN 2 THEN '2020-13-01' WHEN 3 THEN 'soon' ELSE '2021-03-04' END AS day,
+  CASE l_partkey % 7 WHEN 0 THEN 'XXXX' WHEN 1 THEN '1.5' WHEN 2 THEN '12.000' ELSE CAST(l_linenumber AS STRING) END AS held
+FROM legs"""
+
+
+def filed_blocks(spark, d):
+    """Blocks of filings: ownership forms with two plain transactions and a derivative one, and a report of two holdings."""
+    from blockwright.sources.tables import stored_table
+
+    filed = spark.sql(_FILED.replace("FROM legs", "FROM {legs}"), legs=adapted(spark, d, "legs"))
+    owner = "named_struct('non_derivative_transactions', array(named_struct('shares', shares, 'transaction_date', day), named_struct('shares', '1', 'transaction_date', '')), 'derivative_transactions', array(named_struct('shares', '2', 'exercise_date', day)))"
+    report = "named_struct('holdings', array(named_struct('value', held, 'cusip', '37833100'), named_struct('value', '7', 'cusip', '0')))"
+    rows = filed.selectExpr("block_num", f"named_struct('i', fill_index, 'f', named_struct('accession_number', concat('a', CAST(fill_index AS STRING)), 'ownership', {owner}, 'form13f', {report})) AS x")
+    nested = rows.groupBy("block_num").agg(F.array_sort(F.collect_list("x"), lambda a, b: (a["i"] - b["i"]).cast("int")).alias("x"))
+    from blockwright.plans.sec import typed_filings
+
+    return stored_table(typed_filings(nested.selectExpr("block_num", "transform(x, y -> y.f) AS filings")), "typed-filings")
+
+
+_FILED_ISSUES = f"""filed AS ({_FILED}), found AS (
+SELECT block_num, fill_index, 'ownership_transactions' AS table_name, 'shares' AS column_name, 0 AS index_1, shares AS raw_value, CASE WHEN shares = 'N/A' THEN 'sentinel' WHEN shares = '1,5' THEN 'unparseable' ELSE 'rounded' END AS issue FROM filed WHERE shares IN ('N/A', '1,5') OR shares LIKE '%.1234567'
+UNION ALL SELECT block_num, fill_index, 'ownership_transactions', CASE i WHEN 0 THEN 'transaction_date' ELSE 'exercise_date' END, i, day, CASE day WHEN 'soon' THEN 'unparseable' WHEN '2020-13-01' THEN 'out_of_range' ELSE 'tz_dropped' END FROM filed, (VALUES (0), (2)) t(i) WHERE day IN ('soon', '2020-13-01', '2020-01-02-05:00')
+UNION ALL SELECT block_num, fill_index, 'form13f_holdings', 'value', 0, held, CASE held WHEN 'XXXX' THEN 'sentinel' ELSE 'unparseable' END FROM filed WHERE held IN ('XXXX', '1.5'))"""
+
+
+@query("t10_sec_parse_issues", f"WITH {_FILED_ISSUES} SELECT block_num, fill_index AS filing_index, 'a' || fill_index AS accession_number, table_name, column_name, index_1::BIGINT AS index_1, raw_value, issue FROM found")
+def t10_sec(spark, d):
+    return flatten_family(filed_blocks(spark, d), "sec", only={"parse_issues"})["parse_issues"].select("block_num", F.col("filing_index").cast("long").alias("filing_index"), "accession_number", "table_name", "column_name", "index_1", "raw_value", "issue")
+
+
+@query("f_sec_ownership_transactions", f"WITH {_FILED_ISSUES} SELECT block_num, fill_index AS filing_index, i AS transaction_index, CASE i WHEN 2 THEN 'derivative' ELSE 'non_derivative' END AS security_kind, CASE i WHEN 0 THEN CASE WHEN shares LIKE '%.1234567' THEN (split_part(shares, '.', 1) || '.123457')::DOUBLE WHEN shares NOT IN ('', 'N/A', '1,5') THEN shares::DOUBLE END ELSE i::DOUBLE END AS shares, CASE i WHEN 0 THEN CASE day WHEN '6/5/2026' THEN '2026-06-05' WHEN '2020-01-02-05:00' THEN '2020-01-02' WHEN '2021-03-04' THEN day END END AS transaction_date, EXISTS (SELECT 1 FROM found f WHERE f.block_num = filed.block_num AND f.fill_index = filed.fill_index AND f.table_name = 'ownership_transactions' AND f.index_1 = i) AS has_parse_issues FROM filed, range(0, 3) t(i)")
+def f_sec_transactions(spark, d):
+    return flatten_family(filed_blocks(spark, d), "sec", only={"ownership_transactions"})["ownership_transactions"].select("block_num", "filing_index", "transaction_index", "security_kind", "shares", "transaction_date", "has_parse_issues")
+
+
+@query("f_sec_form13f_holdings", f"WITH {_FILED_ISSUES} SELECT block_num, fill_index AS filing_index, i AS holding_index, CASE i WHEN 1 THEN 7 ELSE CASE WHEN held NOT IN ('XXXX', '1.5') THEN split_part(held, '.', 1)::BIGINT END END::BIGINT AS value, CASE i WHEN 0 THEN '037833100' END AS cusip_norm FROM filed, range(0, 2) t(i)")
+def f_sec_holdings(spark, d):
+    return flatten_family(filed_blocks(spark, d), "sec", only={"form13f_holdings"})["form13f_holdings"].select("block_num", "filing_index", "holding_index", "value", "cusip_norm")
