@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # What says that a transaction failed, by family, over the family's own columns.
 FAILED = {
@@ -66,6 +67,62 @@ def persistent_changes(changes: DataFrame, transactions: DataFrame, authorizatio
     return matched.withColumn("persisted", persisted).select(*changes.columns, "persisted")
 
 
+# Balance changes that a failed transaction keeps.
+KEPT_REASONS = ["GAS_BUY", "GAS_REFUND", "REWARD_TRANSACTION_FEE", "INCREASE_MINT"]
+
+
+def kept_in_order(changes: Column, authorities: Column, sender: bool) -> Column:
+    """Changes of a failed transaction's root call that stay: with ``sender`` the earliest of all, then for each address as many of the earliest
+    others as accepted authorizations name it. Earliest by ordinal, then by place; what stays keeps its place."""
+    order = F.array_sort(F.transform(changes, lambda c, i: F.struct(c["ordinal"].alias("o"), i.alias("i"), c["address"].alias("a"))))
+    rest = F.slice(order, 2, F.greatest(F.size(order) - 1, F.lit(0))) if sender else order
+    # bound once in a list of one, as the lists below look at it for every change
+    held = F.array(F.struct(order.alias("order"), rest.alias("rest")))
+
+    def places(x: Column) -> Column:
+        def stays(c: Column, k: Column) -> Column:
+            before = F.size(F.filter(F.slice(x["rest"], F.lit(1), k), lambda y: y["a"] == c["a"]))
+            return before < F.size(F.filter(authorities, lambda t: t == c["a"]))
+
+        more = F.transform(F.filter(x["rest"], stays), lambda y: y["i"])
+        return F.concat(F.transform(F.slice(x["order"], 1, 1), lambda y: y["i"]), more) if sender else more
+
+    kept = F.get(F.transform(held, places), 0)
+    return F.filter(changes, lambda c, i: F.array_contains(kept, i))
+
+
+def with_persisted_changes(transaction: Column, kind: T.StructType) -> Column:
+    """A nested transaction whose calls say ``persisted`` and whose changes are what the tables hold: all of one that succeeded, and of one that
+    failed what the chain keeps, which is marked persisted. Works inside the transaction's own lists, so nothing is joined or shuffled."""
+    have = set(kind.fieldNames())
+    call = kind["calls"].dataType.elementType
+    lists = {f.name for f in call.fields if isinstance(f.dataType, T.ArrayType)}
+    failed = F.coalesce(transaction["status"].isin("FAILED", "REVERTED", "UNKNOWN"), F.lit(False)) if "status" in have else F.lit(False)
+    accepted = F.array().cast("array<string>")
+    if "set_code_authorizations" in have:
+        authority = kind["set_code_authorizations"].dataType.elementType["authority"].dataType
+        named = F.filter(transaction["set_code_authorizations"], lambda a: ~F.coalesce(a["discarded"], F.lit(False)) & (F.length(a["authority"]) > 0))
+        accepted = F.coalesce(F.transform(named, lambda a: a["authority"]), F.array().cast(T.ArrayType(authority)))
+
+    def one(c: Column, i: Column) -> Column:
+        reverted = F.coalesce(c["state_reverted"], F.lit(False)) if "state_reverted" in call.fieldNames() else F.lit(False)
+        out = c.withField("persisted", failed | ~reverted)
+        root = i == 0
+        for name in ("balance_changes", "code_changes", "storage_changes", "nonce_changes", "account_creations"):
+            if name not in lists:
+                continue
+            changes, fields = c[name], set(call[name].dataType.elementType.fieldNames())
+            kept = F.slice(changes, 1, 0)
+            if name == "balance_changes" and "reason" in fields:
+                kept = F.when(root, F.filter(changes, lambda b: b["reason"].isin(KEPT_REASONS))).otherwise(kept)
+            elif name in ("nonce_changes", "code_changes") and {"ordinal", "address"} <= fields:
+                kept = F.when(root, kept_in_order(changes, accepted, sender=name == "nonce_changes")).otherwise(kept)
+            out = out.withField(name, F.when(failed, kept).otherwise(changes))
+        return out
+
+    return transaction.withField("calls", F.transform(transaction["calls"], one))
+
+
 def rpc_log_export(logs: DataFrame) -> DataFrame:
     """Log rows under the names and numbering of node interfaces: the index in the block, not in the transaction."""
     return logs.select("block_num", F.col("tx_index").alias("transactionIndex"), F.col("block_index").alias("logIndex"), F.col("log_index").alias("transactionLogIndex"), "address", "data")

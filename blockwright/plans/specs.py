@@ -18,6 +18,7 @@ from pyspark.sql import types as T
 from blockwright.functions.labels import BODY_TABLES, DIRECTIONS, LEDGER_TABLES, LEVERAGE_TYPES, SIDES, event_table
 from blockwright.functions.schema import AMOUNT, IDENTITY
 from blockwright.operators.flatten import FlattenSpec, Level, TableSpec, cases, flatten, routed, union_by_name
+from blockwright.operators.outcome import with_persisted_changes
 from blockwright.operators.validate import Checks, with_errors
 from blockwright.plans.market import funding_rates, liquidations, outcome_fills, with_counterparty, with_market
 from blockwright.plans.sec import parse_issues, sec_tables, typed_filings
@@ -30,11 +31,11 @@ _CALL = "e0.hash AS tx_hash, e1.index AS call_index"
 FAMILIES: dict[str, dict[str, str]] = {
     "evm": {
         "blocks": "", "transactions": "transactions@index", "logs": f"transactions@tx_index receipt.logs@log_index | {_TX}, get(e1.topics, 0) AS topic0, get(e1.topics, 1) AS topic1, get(e1.topics, 2) AS topic2, get(e1.topics, 3) AS topic3",
-        "withdrawals": "withdrawals@position", "access_lists": f"transactions@tx_index access_list@entry_index | {_TX}", "set_code_authorizations": f"transactions@tx_index set_code_authorizations@authorization_index | {_TX}",
-        "calls": f"transactions@tx_index calls@position | {_TX}",
-        **{t: f"transactions@tx_index calls@call_position {t}@change_position | {_CALL}" for t in ("balance_changes", "code_changes", "storage_changes", "nonce_changes", "gas_changes", "account_creations")},
+        "withdrawals": "withdrawals@position", "access_lists": f"transactions@tx_index access_list@access_index | {_TX}", "set_code_authorizations": f"transactions@tx_index set_code_authorizations@authorization_index | {_TX}",
+        "calls": f"transactions@tx_index calls@call_position | {_CALL}",
+        **{t: f"transactions@tx_index calls@call_position {t}@change_position | {_CALL}, e1.state_reverted AS state_reverted, e1.persisted AS persisted" for t in ("balance_changes", "code_changes", "storage_changes", "nonce_changes", "gas_changes", "account_creations")},
         "system_calls": "system_calls@position",
-        **{f"system_{t}": f"system_calls@call_position {t}@change_position | e0.index AS call_index" for t in ("balance_changes", "code_changes", "storage_changes", "nonce_changes", "gas_changes", "account_creations")},
+        **{f"system_{t}": f"system_{t}@change_position" for t in ("balance_changes", "code_changes", "storage_changes", "nonce_changes", "gas_changes", "account_creations")},
     },
     "bitcoin": {"blocks": "", "transactions": "tx@tx_index", "inputs": "tx@tx_index vin@input_index | e0.txid AS tx_hash", "outputs": "tx@tx_index vout@output_index | e0.txid AS tx_hash"},
     "solana": {
@@ -160,9 +161,8 @@ def table_spec(name: str, text: str, schema: T.StructType) -> TableSpec | None:
     columns = {c: sql for c, sql in own_columns(kind, at).items() if c not in taken}
     for item in _split(carried):
         sql, _, alias = item.rpartition(" AS ")
-        above, _, field = sql.partition(".")
-        if re.fullmatch(r"\w+(\.\w+)+", sql) and _type_at(kinds.get(above), field) is None:
-            continue  # a plain field that blocks of this schema lack
+        if any(_type_at(kinds.get(above), field) is None for above, field in re.findall(r"\b(e\d+|block)\.(\w+(?:\.\w+)*)", sql)):
+            continue  # blocks of this schema lack a field of it
         columns[alias] = sql
     if _type_at(kind, "_issues") is not None:
         columns["has_parse_issues"] = f"size({at}._issues) > 0"
@@ -192,6 +192,37 @@ CHECKS = {
 }
 
 
+def evm_blocks(blocks: DataFrame) -> DataFrame:
+    """Transactions with the changes that last, and a list ``system_X`` a block of each kind of change outside transactions: the block's own, whose
+    call_index is null, then those of its system calls."""
+    kind = _type_at(blocks.schema, "transactions")
+    if isinstance(kind, T.ArrayType) and _type_at(kind.elementType, "calls") is not None:
+        blocks = blocks.withColumn("transactions", F.transform("transactions", lambda t: with_persisted_changes(t, kind.elementType)))
+    calls = _type_at(blocks.schema, "system_calls")
+    for name in ("balance_changes", "code_changes", "storage_changes", "nonce_changes", "gas_changes", "account_creations"):
+        own = _type_at(blocks.schema, name)
+        inner = _type_at(calls.elementType, name) if isinstance(calls, T.ArrayType) else None
+        found = next((k for k in (own, inner) if isinstance(k, T.ArrayType)), None)
+        if found is None:
+            continue
+        fields = found.elementType.fieldNames()
+
+        def change(index: Column):
+            return lambda c: F.struct(index.cast("long").alias("call_index"), *[c[f].alias(f) for f in fields])  # noqa: B023
+
+        parts = [F.coalesce(F.transform(name, change(F.lit(None))), F.array())] if own is not None else []
+        if inner is not None:
+            parts.append(F.coalesce(F.flatten(F.transform("system_calls", lambda s: F.coalesce(F.transform(s[name], change(s["index"])), F.array()))), F.array()))  # noqa: B023
+        blocks = blocks.withColumn(f"system_{name}", F.concat(*parts) if len(parts) > 1 else parts[0])
+    return blocks
+
+
+def _evm(tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    """Calls under their own index alone; what marks their changes stands in the tables of changes."""
+    drop = {"calls": ["index", "call_position", "persisted"], "system_calls": ["position"]}
+    return {name: df.drop(*drop.get(name, [])) for name, df in tables.items()}
+
+
 def hypercore_blocks(blocks: DataFrame) -> DataFrame:
     """Blocks whose events hold one body each in the flat form of the specs: event_type, ledger_type and the body's fields beside time and hash.
 
@@ -263,9 +294,9 @@ def _cosmos(tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
 
 
 #: What a family's blocks need before they are flattened.
-PREPARED = {"hypercore": hypercore_blocks, "sec": typed_filings}
+PREPARED = {"evm": evm_blocks, "hypercore": hypercore_blocks, "sec": typed_filings}
 #: What a family's tables need beyond one explode a list.
-DERIVED = {"hypercore": _hypercore, "cosmos": _cosmos, "sec": sec_tables}
+DERIVED = {"evm": _evm, "hypercore": _hypercore, "cosmos": _cosmos, "sec": sec_tables}
 #: Tables a family makes of its prepared blocks themselves.
 OF_BLOCKS = {"sec": lambda blocks: {"parse_issues": parse_issues(blocks, FAMILIES["sec"])}}
 
