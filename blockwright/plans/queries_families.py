@@ -105,3 +105,48 @@ def f_sec_transactions(spark, d):
 @query("f_sec_form13f_holdings", f"WITH {_FILED_ISSUES} SELECT block_num, fill_index AS filing_index, i AS holding_index, CASE i WHEN 1 THEN 7 ELSE CASE WHEN held NOT IN ('XXXX', '1.5') THEN split_part(held, '.', 1)::BIGINT END END::BIGINT AS value, CASE i WHEN 0 THEN '037833100' END AS cusip_norm FROM filed, range(0, 2) t(i)")
 def f_sec_holdings(spark, d):
     return flatten_family(filed_blocks(spark, d), "sec", only={"form13f_holdings"})["form13f_holdings"].select("block_num", "filing_index", "holding_index", "value", "cusip_norm")
+
+
+# ---- EVM ----
+_TRADES = """SELECT block_num, fill_index, CASE (block_num + fill_index) % 3 WHEN 0 THEN 'SUCCEEDED' WHEN 1 THEN 'FAILED' ELSE 'REVERTED' END AS status,
+  l_partkey % 5 AS o0, l_suppkey % 5 AS o1, l_linenumber % 5 AS o2, (l_partkey + l_suppkey) % 5 AS o3, l_partkey % 2 = 0 AS gone_a, l_suppkey % 3 = 0 AS gone_b, l_suppkey % 4 = 0 AS undone
+FROM legs"""
+
+
+def trade_blocks(spark, d):
+    """Blocks of transactions that succeed, fail or revert, with two calls, authorizations and changes, and one block-level change."""
+    rows = spark.sql(_TRADES.replace("FROM legs", "FROM {legs}"), legs=adapted(spark, d, "legs"))
+
+    def changes(order):
+        return "array(" + ", ".join(f"named_struct('ordinal', CAST(o{o} AS BIGINT), 'address', '{a}')" for o, a in zip(order, "abab", strict=True)) + ")"
+
+    def balance(*reasons):
+        return "array(" + ", ".join(f"named_struct('ordinal', CAST({i} AS BIGINT), 'address', 'a', 'reason', '{r}')" for i, r in enumerate(reasons)) + ")"
+
+    none = "CAST(array() AS ARRAY<STRUCT<ordinal: BIGINT, address: STRING>>)"
+    calls = f"array(named_struct('index', 1L, 'state_reverted', status <> 'SUCCEEDED', 'balance_changes', {balance('GAS_BUY', 'TRANSFER')}, 'nonce_changes', {changes([0, 1, 2, 3])}, 'code_changes', {changes([3, 2, 1, 0])}), named_struct('index', 2L, 'state_reverted', undone, 'balance_changes', {balance('TRANSFER')}, 'nonce_changes', {none}, 'code_changes', {none}))"
+    auths = "array(named_struct('authority', 'a', 'discarded', gone_a), named_struct('authority', 'a', 'discarded', false), named_struct('authority', 'b', 'discarded', gone_b))"
+    tx = rows.selectExpr("block_num", f"named_struct('i', fill_index, 't', named_struct('status', status, 'set_code_authorizations', {auths}, 'calls', {calls})) AS x")
+    nested = tx.groupBy("block_num").agg(F.array_sort(F.collect_list("x"), lambda a, b: (a["i"] - b["i"]).cast("int")).alias("x"))
+    system = "array(named_struct('index', 9L, 'balance_changes', array(named_struct('ordinal', block_num % 7, 'address', 's'))))"
+    return nested.selectExpr("block_num", "transform(x, y -> y.t) AS transactions", "array(named_struct('ordinal', block_num % 5, 'address', 'r')) AS balance_changes", f"{system} AS system_calls")
+
+
+@query("f_evm_persisted_changes", f"""WITH trade AS ({_TRADES}),
+
+many AS (SELECT block_num, fill_index, status, gone_a, gone_b, kind, i, CASE i % 2 WHEN 0 THEN 'a' ELSE 'b' END AS addr, CASE CASE kind WHEN 'nonce' THEN i ELSE 3 - i END WHEN 0 THEN o0 WHEN 1 THEN o1 WHEN 2 THEN o2 ELSE o3 END AS ordinal FROM trade, (VALUES ('nonce'), ('code')) k(kind), range(0, 4) t(i)),
+placed AS (SELECT *, row_number() OVER (PARTITION BY block_num, fill_index, kind ORDER BY ordinal, i) AS n FROM many),
+others AS (SELECT *, CASE WHEN kind = 'nonce' AND n = 1 THEN 0 ELSE row_number() OVER (PARTITION BY block_num, fill_index, kind, addr, kind = 'nonce' AND n = 1 ORDER BY n) END AS k FROM placed),
+lasting AS (SELECT block_num, fill_index, kind, 1 AS call_index, ordinal, addr FROM others WHERE status = 'SUCCEEDED' OR k <= CASE addr WHEN 'a' THEN 1 + (NOT gone_a)::INT ELSE (NOT gone_b)::INT END)
+SELECT block_num, fill_index AS tx_index, kind, call_index::BIGINT AS call_index, ordinal::BIGINT AS ordinal, addr AS address, true AS persisted FROM lasting
+UNION ALL SELECT block_num, fill_index, 'balance', 1, 0, 'a', true FROM trade UNION ALL SELECT block_num, fill_index, 'balance', 1, 1, 'a', true FROM trade WHERE status = 'SUCCEEDED'
+UNION ALL SELECT block_num, fill_index, 'balance', 2, 0, 'a', NOT undone FROM trade WHERE status = 'SUCCEEDED'""")
+def f_evm_persisted(spark, d):
+    tables = flatten_family(trade_blocks(spark, d), "evm", only={"balance_changes", "nonce_changes", "code_changes"})
+    parts = [tables[f"{kind}_changes"].select("block_num", "tx_index", F.lit(kind).alias("kind"), "call_index", "ordinal", "address", "persisted") for kind in ("balance", "nonce", "code")]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+@query("f_evm_system_balance_changes", f"WITH trade AS ({_TRADES}) SELECT DISTINCT block_num, NULL::BIGINT AS call_index, 'r' AS address, block_num % 5 AS ordinal FROM trade UNION ALL SELECT DISTINCT block_num, 9, 's', block_num % 7 FROM trade")
+def f_evm_system(spark, d):
+    return flatten_family(trade_blocks(spark, d), "evm", only={"system_balance_changes"})["system_balance_changes"].select("block_num", "call_index", "address", "ordinal")
