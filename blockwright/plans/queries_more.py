@@ -10,6 +10,7 @@ from blockwright.functions import schema as S
 from blockwright.operators import aggregates as A
 from blockwright.operators import changelog as G
 from blockwright.operators import forks, joins, layout, outcome, quality
+from blockwright.operators.monitors import monitors
 from blockwright.plans import filings as SEC
 from blockwright.plans import market as M
 from blockwright.plans.adapters import adapted
@@ -583,55 +584,76 @@ def k3(spark, d):
     return quality.lane_progress(b, quality.plan_lanes(spark, 0, stop, 128), 0, 128).drop("newest")
 
 
-def monitors(spark, d):
-    # each source is computed once, not once a monitor
-    f = ST.stored_table(fills(spark, d), "monitored-fills")
-    e = M.fills_enriched(f)
-    t = ST.stored_table(adapted(spark, d, "ledger"), "monitored-ledger")
-    r = ST.stored_table(rates(spark, d), "monitored-rates")
-    legs = f.where("transaction_id <> 0 AND NOT market_type <=> 'outcome'").groupBy("block_num", "transaction_id").agg(F.count("*").alias("n"), F.count_if("crossed").alias("c"), F.min_by("side", "fill_index").alias("s"), (F.max("fill_index") - F.min("fill_index")).alias("w"))
-    both = f.where("counterparty is not null").select("block_num", "fill_index", "coin", "transaction_id", "price", "size", "hash", "crossed")
-    other = both.select("block_num", F.col("fill_index").alias("o"), "coin", "transaction_id", *[F.col(c).alias(f"o_{c}") for c in ("price", "size", "hash", "crossed")])
-    pairs = both.join(other, ["block_num", "coin", "transaction_id"]).where("o <> fill_index")
-    liq = f.where("liquidation_method is not null and transaction_id <> 0").groupBy("block_num", "coin", "transaction_id").agg(F.min("fill_index").alias("fill_index"), F.count_if(F.col("user") == F.col("liquidated_user")).alias("n"))
-    headers = adapted(spark, d, "funding_headers")
-    mon = quality.monitor
-    places = headers.groupBy("block_num").agg(F.max("event_index").alias("m"), F.count("*").alias("n"))
-    traded = f.where("market_type = 'perp'").select("coin", "block_num").distinct()
-    return quality.all_monitors([
-        mon(f, "M1", "ts <> 1767225600 + block_num * 60"), mon(t, "M2", "event_index < 0", "event_index"), mon(places, "M3", "m <> n - 1", "n"),
-        mon(f, "M4", F.expr(f"hash <> '{L.ZERO_HASH}' AND substr(hash, 23, 2) <> '04'")), mon(f, "M5", "length(user) <> 42 OR length(hash) <> 66 OR length(liquidated_user) <> 42"),
-        mon(t, "M6", "event_type = 'ledger_update' AND size(users) NOT IN (1, 2)", "event_index"), mon(f, "M7", "builder IS NOT NULL AND NOT builder RLIKE '^0x[0-9a-f]{40}$'"),
-        mon(legs, "M9", "n <> 2 OR c <> 1 OR s <> 'BUY' OR w <> 1", "transaction_id"), mon(f, "M10", "(builder IS NULL) <> (builder_fee IS NULL)"), mon(f, "M11", "liquidation_method IS NOT NULL AND liquidated_user IS NULL"),
-        mon(t, "M12", "ledger_type IN ('send', 'spot_transfer') AND (fee_token IS NULL) <> (fee = 0)", "event_index"),
-        mon(pairs, "M14", "price <> o_price OR size <> o_size OR hash <> o_hash OR crossed = o_crossed OR abs(fill_index - o) <> 1"),
-        mon(f, "M15", "transaction_id <> 0 AND counterparty IS NULL AND NOT market_type <=> 'outcome'"), mon(liq, "M16", "n <> 1"), mon(r, "M17", "funding_rate IS NULL", "coin"),
-        mon(r.groupBy("dex_index").agg(F.count_distinct("dex").alias("n"), F.min("block_num").alias("block_num")), "M18", "n > 1", "dex_index"),
-        mon(e, "M19", "market_type IS NULL"), mon(r, "M20", "abs(long_size - short_size) > open_interest * 0.5", "coin"),
-        mon(t.withColumn("tbl", L.event_table(F.col("event_type"), F.col("ledger_type"))), "M21", "tbl IS NULL", "event_index"),
-        mon(traded.join(r.select(F.regexp_replace("coin", "C0", "BTC").alias("coin"), "block_num").distinct(), ["coin", "block_num"], "left_anti"), "M22", F.lit(True), "coin"),
-        mon(t, "M23", "token RLIKE '^[+#][0-9]+$'", "event_index"),
-    ])
-
-
-_MON = """pairs AS (SELECT a.*, b.price AS op, b.size AS os, b.crossed AS oc, b.fill_index AS o FROM facts a JOIN facts b ON a.block_num = b.block_num AND a.coin = b.coin AND a.transaction_id = b.transaction_id AND a.fill_index <> b.fill_index AND a.counterparty IS NOT NULL AND b.counterparty IS NOT NULL),
-m AS (SELECT 'M3' AS monitor, block_num FROM funding_headers GROUP BY block_num HAVING max(event_index) <> count(*) - 1
-UNION ALL SELECT 'M4', block_num FROM facts WHERE hash <> '0x' || repeat('0', 64) AND substr(hash, 23, 2) <> '04'
-UNION ALL SELECT 'M5', block_num FROM facts WHERE length("user") <> 42 OR length(hash) <> 66 OR length(liquidated_user) <> 42
-UNION ALL SELECT 'M9', block_num FROM facts WHERE transaction_id <> 0 AND market_type IS DISTINCT FROM 'outcome' GROUP BY block_num, transaction_id HAVING count(*) <> 2 OR count(*) FILTER (WHERE crossed) <> 1 OR arg_min(side, fill_index) <> 'BUY' OR max(fill_index) - min(fill_index) <> 1
-UNION ALL SELECT 'M12', block_num FROM ledger WHERE ledger_type IN ('send', 'spot_transfer') AND (fee_token IS NULL) <> (fee = 0)
-UNION ALL SELECT 'M14', block_num FROM pairs WHERE price <> op OR size <> os OR crossed = oc OR abs(fill_index - o) <> 1
-UNION ALL SELECT 'M15', block_num FROM facts WHERE transaction_id <> 0 AND counterparty IS NULL AND market_type IS DISTINCT FROM 'outcome'
-UNION ALL SELECT 'M16', block_num FROM facts WHERE liquidation_method IS NOT NULL AND transaction_id <> 0 GROUP BY block_num, coin, transaction_id HAVING count(*) FILTER (WHERE "user" = liquidated_user) <> 1
-UNION ALL SELECT 'M17', block_num FROM rates WHERE funding_rate IS NULL
-UNION ALL SELECT 'M19', block_num FROM facts WHERE market_type IS NULL
-UNION ALL SELECT 'M20', block_num FROM rates WHERE abs(long_size - short_size) > open_interest * 0.5
-UNION ALL SELECT 'M22', block_num FROM (SELECT DISTINCT coin, block_num FROM facts WHERE market_type = 'perp') t WHERE NOT EXISTS (SELECT 1 FROM rates r WHERE r.block_num = t.block_num AND replace(r.coin, 'C0', 'BTC') = t.coin))"""
+# Odd values here and there beside what the adapters have, in SQL that both engines compute alike, so that every monitor finds some.
+_ODD_HASH = "CASE WHEN block_num % 3 = 0 THEN hash ELSE concat('0x', repeat('0', 20), '04', lpad(lower(hex({b})), 8, '0'), lpad(CAST({i} AS STRING), 34, '0')) END"
+_ODD_FILLS = f"""SELECT block_num, fill_index, coin, user, price, size, side, transaction_id, crossed, liquidated_user, liquidation_method, builder, ts AS block_ts,
+  CASE WHEN block_num % 101 = 0 AND fill_index = 0 THEN ts + 1 ELSE ts END AS filled, {_ODD_HASH.format(b="block_num", i="CAST(floor(fill_index / 2) AS BIGINT)")} AS hash,
+  CASE WHEN block_num % 103 = 0 THEN '0x12' WHEN fill_index = 1 THEN concat('0x', repeat('0', 32)) END AS client_order_id, CASE WHEN block_num % 997 = 0 THEN '{{}}' END AS extra_json FROM fills"""
+_ODD_EVENTS = f"""SELECT block_num, event_index, event_type, ledger_type, {_ODD_HASH.format(b="block_num", i="event_index")} AS hash, users, user, destination, vault, token, fee, fee_token, CAST(NULL AS BIGINT) AS item_count,
+  CASE WHEN event_type LIKE 'gossip%' AND event_index % 2 = 0 THEN 'ip' END AS previous_winner_ip, CASE WHEN event_type LIKE 'gossip%' AND event_index % 3 = 0 THEN 1 END AS end_gas, event_index = 3 AS astray FROM ledger
+UNION ALL SELECT block_num, event_index, 'funding', NULL, '{L.ZERO_HASH}', NULL, NULL, NULL, NULL, NULL, NULL, NULL, CASE WHEN block_num % 60 = 0 THEN item_count + 1 ELSE item_count END, NULL, NULL, false FROM funding_headers"""
+
+
+def monitored(spark, d):
+    """The tables that monitors read, stored once."""
+    start = 1767225600
+    f = spark.sql(_ODD_FILLS.replace("FROM fills", "FROM {fills}").replace("'{}'", "'{{}}'"), fills=adapted(spark, d, "fills"))
+    f = M.with_counterparty(M.with_market(f.withColumn("direction", F.lit("")))).withColumns({"timestamp": F.timestamp_seconds("block_ts"), "fill_time": F.timestamp_seconds("filled")})
+    f = ST.stored_table(f.withColumn("market_type", F.when(F.expr("block_num % 211 = 0 AND fill_index = 0"), "spot").otherwise(F.col("market_type"))), "monitored-fills")
+    e = spark.sql(_ODD_EVENTS.replace("FROM ledger", "FROM {ledger}").replace("FROM funding_headers", "FROM {headers}"), ledger=adapted(spark, d, "ledger"), headers=adapted(spark, d, "funding_headers"))
+    own = L.event_table(F.col("event_type"), F.col("ledger_type"))
+    e = e.withColumns({"table_name": F.when(F.col("astray"), F.lit("transfers")).otherwise(own), "validator": F.lit(None).cast("string"), "sub_account": F.lit(None).cast("string"), "extra_json": F.expr("CASE WHEN block_num % 499 = 0 THEN 'x' END"),
+                       "event_time_ns": (F.lit(start) + F.col("block_num") * 60) * 1_000_000_000 + F.expr("CASE WHEN block_num % 40 = 0 AND event_index = 0 THEN 1 ELSE 0 END")})
+    e = ST.stored_table(e, "monitored-events")
+    b = f.groupBy("block_num").agg(F.count("*").alias("fill_count"), F.lit(0).cast("long").alias("event_count")).unionByName(e.groupBy("block_num").agg(F.lit(0).cast("long").alias("fill_count"), F.count("*").alias("event_count")))
+    b = b.groupBy("block_num").agg(F.sum("fill_count").alias("fill_count"), F.sum("event_count").alias("event_count"))
+    b = b.withColumns({"fill_count": F.expr("fill_count + CASE WHEN block_num % 50 = 0 THEN 1 ELSE 0 END"), "event_count": F.expr("event_count + CASE WHEN block_num % 70 = 0 THEN 1 ELSE 0 END"), "block_time_ns": (F.lit(start) + F.col("block_num") * 60) * 1_000_000_000, "extra_json": F.lit(None).cast("string")})
+    r = rates(spark, d).withColumns({"coin": F.regexp_replace("coin", "C0", "BTC"), "timestamp": F.timestamp_seconds(F.lit(start) + F.col("block_num") * 60), "extra_json": F.lit(None).cast("string"), "dex": F.expr("CASE WHEN block_num % 2 = 0 THEN '' ELSE 'xyz' END")})
+    items = adapted(spark, d, "funding_deltas")
+    return {"blocks": b, "fills": f, "events": e, "funding_rates": ST.stored_table(r, "monitored-rates"), "items": items.select("block_num", "event_index"),
+            "links": e.where("ledger_type = 'liquidation' AND event_index % 2 = 0").select("block_num", F.col("event_index").alias("ledger_event_index")), "funding_deltas": (items.withColumn("extra_json", F.expr("CASE WHEN block_num % 1009 = 0 THEN 'x' END")), "event_index")}
+
+
+_MON = f"""odd AS ({_ODD_FILLS}), odd_events AS ({_ODD_EVENTS}),
+matches AS (SELECT block_num, coin, transaction_id FROM fills WHERE transaction_id <> 0 GROUP BY ALL HAVING count(*) = 2 AND count(DISTINCT side) = 2),
+f AS (SELECT o.*, x.user AS counterparty, x.fill_index AS other, x.price AS op, x.size AS os, x.hash AS oh, x.crossed AS oc, CASE WHEN o.block_num % 211 = 0 AND o.fill_index = 0 THEN 'spot' ELSE facts.market_type END AS market_type, facts.market_type AS true_type
+  FROM odd o JOIN (SELECT block_num, fill_index, market_type FROM facts) facts ON facts.block_num = o.block_num AND facts.fill_index = o.fill_index LEFT JOIN matches g ON g.block_num = o.block_num AND g.coin = o.coin AND g.transaction_id = o.transaction_id
+  LEFT JOIN odd x ON g.block_num IS NOT NULL AND x.block_num = o.block_num AND x.coin = o.coin AND x.transaction_id = o.transaction_id AND x.fill_index <> o.fill_index),
+r AS (SELECT * REPLACE (replace(coin, 'C0', 'BTC') AS coin), CASE WHEN block_num % 2 = 0 THEN '' ELSE 'xyz' END AS dex FROM rates),
+heads AS (SELECT block_num, count(*) AS n, max(event_index) AS top FROM odd_events WHERE event_type = 'funding' GROUP BY 1),
+m AS (SELECT 'M1' AS monitor, block_num FROM f WHERE filled <> block_ts
+UNION ALL SELECT 'M2', block_num FROM odd_events WHERE block_num % 40 = 0 AND event_index = 0
+UNION ALL SELECT 'M3', block_num FROM heads WHERE top <> n - 1
+UNION ALL SELECT 'M4', block_num FROM f WHERE hash <> '{L.ZERO_HASH}' AND (substr(hash, 23, 2) <> '04' OR substr(hash, 25, 8) <> lpad(lower(hex(block_num)), 8, '0'))
+UNION ALL SELECT 'M4e', block_num FROM odd_events WHERE hash <> '{L.ZERO_HASH}' AND coalesce(ledger_type, '') NOT IN ('deposit', 'withdraw') AND (substr(hash, 23, 2) <> '04' OR substr(hash, 25, 8) <> lpad(lower(hex(block_num)), 8, '0'))
+UNION ALL SELECT 'M5', block_num FROM f WHERE coalesce(length("user") <> 42, false) OR coalesce(length(hash) <> 66, false) OR coalesce(length(client_order_id) <> 34, false) OR coalesce(length(liquidated_user) <> 42, false) OR coalesce(length(counterparty) <> 42, false)
+UNION ALL SELECT 'M5e', block_num FROM odd_events WHERE coalesce(length(hash) <> 66, false) OR coalesce(length("user") <> 42, false) OR coalesce(length(destination) <> 42, false) OR coalesce(length(vault) <> 42, false) OR coalesce(len(list_filter(users, lambda u: length(u) <> 42)) > 0, false)
+UNION ALL SELECT 'M6', block_num FROM odd_events WHERE event_type = 'ledger_update' AND len(users) NOT IN (1, 2)
+UNION ALL SELECT 'M7', block_num FROM f WHERE builder IS NOT NULL AND NOT regexp_full_match(builder, '0x[0-9a-f]{{40}}')
+UNION ALL SELECT 'M8f', block_num FROM (SELECT block_num FROM odd UNION SELECT block_num FROM odd_events) WHERE block_num % 50 = 0
+UNION ALL SELECT 'M8e', block_num FROM (SELECT block_num FROM odd UNION SELECT block_num FROM odd_events) WHERE block_num % 70 = 0
+UNION ALL SELECT 'M8i', e.block_num FROM odd_events e LEFT JOIN (SELECT block_num, event_index, count(*) AS n FROM funding_deltas GROUP BY ALL) c USING (block_num, event_index) WHERE e.item_count <> coalesce(n, 0)
+UNION ALL SELECT 'M9', block_num FROM f WHERE transaction_id <> 0 AND market_type IS DISTINCT FROM 'outcome' GROUP BY block_num, transaction_id HAVING count(*) <> 2 OR count(*) FILTER (WHERE crossed) <> 1 OR arg_min(side, fill_index) <> 'BUY' OR max(fill_index) - min(fill_index) <> 1
+UNION ALL SELECT 'M10', block_num FROM odd_events WHERE event_type = 'gossip_priority_auction_restart' AND (previous_winner_ip IS NULL) <> (end_gas IS NULL)
+UNION ALL SELECT 'M11', block_num FROM f WHERE liquidation_method IS NOT NULL AND liquidated_user IS NULL
+UNION ALL SELECT 'M12', block_num FROM odd_events WHERE ledger_type IN ('send', 'spot_transfer') AND (fee_token IS NULL) <> (fee = 0)
+UNION ALL SELECT 'M13', block_num FROM f WHERE block_num % 997 = 0 UNION ALL SELECT 'M13', block_num FROM odd_events WHERE block_num % 499 = 0 UNION ALL SELECT 'M13', block_num FROM funding_deltas WHERE block_num % 1009 = 0
+UNION ALL SELECT 'M14', block_num FROM f WHERE counterparty IS NOT NULL AND (price <> op OR size <> os OR hash <> oh OR crossed = oc OR abs(fill_index - other) <> 1)
+UNION ALL SELECT 'M15', block_num FROM f WHERE transaction_id <> 0 AND counterparty IS NULL AND market_type IS DISTINCT FROM 'outcome'
+UNION ALL SELECT 'M16', block_num FROM f WHERE liquidation_method IS NOT NULL AND transaction_id <> 0 GROUP BY block_num, coin, transaction_id HAVING count(*) FILTER (WHERE "user" = liquidated_user) <> 1
+UNION ALL SELECT 'M16e', block_num FROM odd_events WHERE ledger_type = 'liquidation' AND event_index % 2 <> 0
+UNION ALL SELECT 'M17', block_num FROM r WHERE funding_rate IS NULL
+UNION ALL SELECT 'M18', min(block_num) FROM r GROUP BY dex_index HAVING count(DISTINCT dex) > 1
+UNION ALL SELECT 'M19', block_num FROM f WHERE market_type IS NULL OR market_type IS DISTINCT FROM true_type
+UNION ALL SELECT 'M20', block_num FROM r WHERE abs(long_size - short_size) > open_interest * 0.000001
+UNION ALL SELECT 'M21', block_num FROM odd_events WHERE astray AND NOT (event_type = 'ledger_update' AND ledger_type IN ('send', 'spot_transfer', 'internal_transfer', 'sub_account_transfer', 'account_class_transfer'))
+UNION ALL SELECT 'M22', block_num FROM (SELECT DISTINCT p.block_num, f.coin FROM (SELECT DISTINCT block_num FROM r) p JOIN (SELECT DISTINCT block_ts, coin FROM f WHERE market_type = 'perp') f ON f.block_ts >= 1767225600 + p.block_num * 60 - 3600 AND f.block_ts < 1767225600 + p.block_num * 60) t WHERE NOT EXISTS (SELECT 1 FROM r WHERE r.block_num = t.block_num AND r.coin = t.coin)
+UNION ALL SELECT 'M23', block_num FROM odd_events WHERE regexp_full_match(token, '[+#][0-9]+'))"""
 
 
 @query("k4_monitors", "WITH " + _FACTS + ", " + _RATES + ", " + _MON + " SELECT monitor, count(*) AS violations, min(block_num) AS first_block FROM m GROUP BY 1")
 def k4(spark, d):
-    return monitors(spark, d).groupBy("monitor").agg(F.count("*").alias("violations"), F.min("block_num").alias("first_block"))
+    return monitors(monitored(spark, d)).groupBy("monitor").agg(F.count("*").alias("violations"), F.min("block_num").alias("first_block"))
 
 
 @query("k5_cross_checks", "SELECT coin, array_to_string(list_sort(list(DISTINCT fee_token) FILTER (WHERE side = 'BUY')), ',') AS base, array_to_string(list_sort(list(DISTINCT fee_token) FILTER (WHERE side = 'ASK')), ',') AS quote FROM fills GROUP BY 1 HAVING list_contains(list(DISTINCT fee_token) FILTER (WHERE side = 'BUY'), 'USDC') IS DISTINCT FROM true")
