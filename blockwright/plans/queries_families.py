@@ -4,8 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from blockwright.operators import crosschecks as C
+from blockwright.operators import quality
+from blockwright.plans import market as M
 from blockwright.plans.adapters import adapted
-from blockwright.plans.queries import query
+from blockwright.plans.queries import _FACTS, _LEGS, _RATES, _SETTLED, outcome_legs, query, rates, read
+from blockwright.plans.queries_more import _PROBLEMS
 from blockwright.plans.specs import flatten_family
 
 #: One row a fill and event with odd values here and there, in SQL that both engines compute alike.
@@ -150,3 +154,38 @@ def f_evm_persisted(spark, d):
 @query("f_evm_system_balance_changes", f"WITH trade AS ({_TRADES}) SELECT DISTINCT block_num, NULL::BIGINT AS call_index, 'r' AS address, block_num % 5 AS ordinal FROM trade UNION ALL SELECT DISTINCT block_num, 9, 's', block_num % 7 FROM trade")
 def f_evm_system(spark, d):
     return flatten_family(trade_blocks(spark, d), "evm", only={"system_balance_changes"})["system_balance_changes"].select("block_num", "call_index", "address", "ordinal")
+
+
+# ---- cross-checks ----
+@query("k5_settlements", "WITH " + _FACTS + ", " + _LEGS + ", " + _SETTLED + ", told AS (SELECT outcome_id, CASE WHEN outcome_id % 3 = 0 THEN settle_fraction + 1 ELSE settle_fraction END AS settle_fraction FROM settled WHERE outcome_id % 5 <> 0) SELECT s.outcome_id, s.settle_fraction::DOUBLE AS lake_fraction, t.settle_fraction::DOUBLE AS settle_fraction FROM settled s LEFT JOIN told t USING (outcome_id) WHERE t.settle_fraction IS DISTINCT FROM s.settle_fraction")
+def k5_settlements(spark, d):
+    lake = M.outcome_settlements(outcome_legs(spark, d))
+    told = lake.where("outcome_id % 5 <> 0").withColumn("settle_fraction", F.when(F.col("outcome_id") % 3 == 0, F.col("settle_fraction") + 1).otherwise(F.col("settle_fraction")))
+    return C.settlement_differences(lake, told)
+
+
+@query("k5_dexes", "WITH " + _RATES + ", named AS (SELECT dex_index, CASE WHEN dex_index = 1 AND block_num % 3 = 0 THEN 'abc' ELSE '' END AS dex FROM rates), lake AS (SELECT dex_index, list_sort(list(DISTINCT dex)) AS names FROM named GROUP BY 1) SELECT dex_index, array_to_string(names, ',') AS lake_names, CASE WHEN r_regionkey % 2 = 0 THEN '' WHEN r_regionkey IS NOT NULL THEN 'x' END AS name FROM lake LEFT JOIN region ON r_regionkey = dex_index WHERE len(names) <> 1 OR names[1] IS DISTINCT FROM CASE WHEN r_regionkey % 2 = 0 THEN '' WHEN r_regionkey IS NOT NULL THEN 'x' END")
+def k5_dexes(spark, d):
+    named = rates(spark, d).withColumn("dex", F.expr("CASE WHEN dex_index = 1 AND block_num % 3 = 0 THEN 'abc' ELSE '' END"))
+    return C.dex_differences(named, read(spark, d, "region").select(F.col("r_regionkey").cast("long").alias("dex_index"), F.when(F.col("r_regionkey") % 2 == 0, "").otherwise("x").alias("name")))
+
+
+@query("k5_tokens", "SELECT 'T' || t AS token, min(i)::BIGINT AS lake_index FROM (SELECT o_custkey % 20 AS t, o_custkey % 20 + o_custkey % 2 AS i FROM orders WHERE o_orderkey % 3 <> 0) GROUP BY t HAVING NOT EXISTS (SELECT 1 FROM nation WHERE n_nationkey = t AND n_nationkey + CASE WHEN n_nationkey % 7 = 0 THEN 1 ELSE 0 END = min(i))")
+def k5_tokens(spark, d):
+    moved = read(spark, d, "orders").select(F.when(F.col("o_orderkey") % 3 == 0, "deposit").when(F.col("o_orderkey") % 3 == 1, "send").otherwise("spot_transfer").alias("ledger_type"), F.concat(F.lit("T"), F.col("o_custkey") % 20).alias("token"),
+                                            F.concat(F.lit("0x2"), F.lpad(F.lower(F.hex(F.col("o_custkey") % 20 + F.col("o_custkey") % 2)), 39, "0")).alias("user"), F.lit("d").alias("destination"))
+    told = read(spark, d, "nation").select(F.concat(F.lit("T"), "n_nationkey").alias("name"), (F.col("n_nationkey") + F.when(F.col("n_nationkey") % 7 == 0, 1).otherwise(0)).cast("long").alias("token_index"))
+    return C.token_differences(moved, told)
+
+
+@query("k6_uncovered_links", "WITH child AS (SELECT entity, level, listed, observed_at AS a, coalesce(lead(observed_at) OVER (PARTITION BY entity ORDER BY observed_at), 9223372036854775807) AS b FROM log), parent AS (SELECT user_id % 60 AS level, event_type <> 'signup' AS listed, event_id AS a, coalesce(lead(event_id) OVER (PARTITION BY user_id % 60 ORDER BY event_id), 9223372036854775807) AS b FROM events), both AS (SELECT c.entity, c.level, c.a, c.b, sum(CASE WHEN p.level IS NOT NULL THEN greatest(least(c.b, p.b)::HUGEINT - greatest(c.a, p.a), 0) ELSE 0 END) AS covered FROM child c LEFT JOIN parent p ON p.level = c.level AND p.listed WHERE c.listed AND c.level IS NOT NULL GROUP BY ALL) SELECT entity, level, a AS valid_from, CASE WHEN b < 9223372036854775807 THEN b END AS valid_to, covered::BIGINT AS covered FROM both WHERE covered < b::HUGEINT - a")
+def k6_links(spark, d):
+    parent = read(spark, d, "events").select((F.col("user_id") % 60).alias("name"), F.col("event_id").alias("observed_at"), (F.col("event_type") != "signup").alias("listed"))
+    return C.uncovered_links(adapted(spark, d, "log"), parent, ["entity"], "level", "name")
+
+
+@query("k1_validate_by_day", "WITH " + _PROBLEMS + " SELECT kind, block_num, previous, CASE kind WHEN 'time_reversal' THEN 'warning' ELSE 'error' END AS severity FROM problems")
+def k1_by_day(spark, d):
+    blocks = adapted(spark, d, "blocks").withColumn("day", F.floor(F.col("block_num") / 1440))
+    summaries = quality.part_summaries(blocks, "day")
+    return quality.part_problems(blocks, "day").unionByName(quality.joined_problems(summaries, "day")).drop("day")

@@ -24,6 +24,7 @@ from blockwright.plans.market import funding_rates, liquidations, outcome_fills,
 from blockwright.plans.sec import parse_issues, sec_tables, typed_filings
 
 _TX = "e0.hash AS tx_hash"
+_SOLANA = "e0.transaction_success AS transaction_success, e0.is_vote AS is_vote"
 _FILING = "e0.accession_number AS accession_number, e0.form_type AS form_type, e0.filing_date AS filing_date, e0.acceptance_datetime AS acceptance_datetime"
 _CALL = "e0.hash AS tx_hash, e1.index AS call_index"
 
@@ -39,8 +40,14 @@ FAMILIES: dict[str, dict[str, str]] = {
     },
     "bitcoin": {"blocks": "", "transactions": "tx@tx_index", "inputs": "tx@tx_index vin@input_index | e0.txid AS tx_hash", "outputs": "tx@tx_index vout@output_index | e0.txid AS tx_hash"},
     "solana": {
-        "blocks": "", "transactions": "transactions@transaction_index", "messages": "transactions@transaction_index messages@message_index", "token_balances": "transactions@transaction_index token_balances@balance_index",
-        "account_lookups": "transactions@transaction_index address_table_lookups@lookup_index", "instructions": "transactions@transaction_index instructions@instruction_index", "rewards": "rewards@reward_index",
+        "blocks": "",
+        "transactions": f"transactions@transaction_index | {_SOLANA}",
+        "vote_transactions": f"transactions@transaction_index | {_SOLANA}",
+        "messages": f"transactions@transaction_index messages@message_index | {_SOLANA}",
+        "token_balances": f"transactions@transaction_index token_balances@balance_index | {_SOLANA}",
+        "account_lookups": f"transactions@transaction_index address_table_lookups@lookup_index | {_SOLANA}",
+        "instructions": f"transactions@transaction_index instructions@instruction_index | {_SOLANA}",
+        "rewards": "rewards@reward_index",
     },
     "near": {
         "blocks": "", "chunks": "chunks@chunk_index", "transactions": "transactions@transaction_index", "receipts": "receipts@receipt_index", "receipt_actions": "receipts@receipt_index actions@action_index | e0.receipt_id AS receipt_id",
@@ -223,6 +230,77 @@ def _evm(tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
     return {name: df.drop(*drop.get(name, [])) for name, df in tables.items()}
 
 
+# Calls of the vote program that are votes.
+VOTES = ["Vote", "VoteSwitch", "UpdateVoteState", "UpdateVoteStateSwitch", "CompactUpdateVoteState", "CompactUpdateVoteStateSwitch", "TowerSync", "TowerSyncSwitch"]
+
+
+def solana_blocks(blocks: DataFrame) -> DataFrame:
+    """Transactions that say ``transaction_success`` and ``is_vote``, their instructions in one numbering (all of the top level, then the inner sets in
+    order), and the rewards of transactions and block in one list.
+
+    A top-level instruction has no parent; an inner one has its set's index as parent_instruction_index and inner_index, and its place in the set. A vote is a
+    transaction without lookups, with one or two signatures and one instruction, a vote of the vote program; where the schema can't tell, none is one.
+    """
+    kind = _type_at(blocks.schema, "transactions")
+    if not isinstance(kind, T.ArrayType):
+        return blocks
+    tx = kind.elementType
+    top, inner = _type_at(tx, "instructions"), _type_at(tx, "inner_instructions")
+    fields = top.elementType.fieldNames() if isinstance(top, T.ArrayType) else []
+    have = set(tx.fieldNames())
+
+    def placed(x: Column, parent: Column, place: Column) -> Column:
+        where = {"is_inner": parent.isNotNull(), "inner_index": parent.cast("long"), "parent_instruction_index": parent.cast("long"), "inner_instruction_index": place.cast("long")}
+        return F.struct(*[x[f].alias(f) for f in fields if f not in where], *[c.alias(n) for n, c in where.items()])
+
+    def more(t: Column) -> Column:
+        success = F.coalesce(F.length(t["err"]) == 0, F.lit(True)) if "err" in have else F.lit(True)
+        vote = F.lit(False)
+        if {"program", "instruction_kind"} <= set(fields) and "num_signatures" in have:
+            one = F.get(t["instructions"], 0)
+            plain = (F.coalesce(F.size(t["address_table_lookups"]), F.lit(0)) == 0) if "address_table_lookups" in have else F.lit(True)
+            legacy = ~F.coalesce(t["versioned"], F.lit(False)) if "versioned" in have else F.lit(True)
+            vote = F.coalesce((F.size(t["instructions"]) == 1) & (one["program"] == "vote") & one["instruction_kind"].isin(VOTES) & t["num_signatures"].between(1, 2) & plain & legacy, F.lit(False))
+        t2 = t.withField("transaction_success", success).withField("is_vote", vote)
+        if not fields:
+            return t2
+        none = F.lit(None).cast("long")
+        listed = F.coalesce(F.transform(t["instructions"], lambda x: placed(x, none, none)), F.array())
+        if inner is not None:
+            sets = F.transform(t["inner_instructions"], lambda s: F.coalesce(F.transform(s["instructions"], lambda x, i: placed(x, s["index"], i)), F.array()))
+            listed = F.concat(listed, F.coalesce(F.flatten(sets), F.array()))
+            t2 = t2.dropFields("inner_instructions")
+        return t2.withField("instructions", listed)
+
+    out = blocks.withColumn("transactions", F.transform("transactions", more))
+    own, block = _type_at(tx, "rewards"), _type_at(blocks.schema, "rewards")
+    found = next((k for k in (own, block) if isinstance(k, T.ArrayType)), None)
+    if found is None:
+        return out
+    names = found.elementType.fieldNames()
+
+    def reward(source: str, index: Column, success: Column):
+        return lambda r: F.struct(F.lit(source).alias("source"), index.cast("long").alias("transaction_index"), success.alias("transaction_success"), *[r[n].alias(n) for n in names])
+
+    parts = []
+    if own is not None:
+        of = lambda t, i: F.when(t["is_vote"], F.array()).otherwise(F.coalesce(F.transform(t["rewards"], reward("transaction", i, t["transaction_success"])), F.array()))
+        parts.append(F.coalesce(F.flatten(F.transform("transactions", of)), F.array()))
+    if block is not None:
+        parts.append(F.coalesce(F.transform("rewards", reward("block", F.lit(None), F.lit(None).cast("boolean"))), F.array()))
+    return out.withColumn("rewards", F.concat(*parts) if len(parts) > 1 else parts[0])
+
+
+def _solana(tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    """A vote's only row is the one in ``vote_transactions``."""
+    out = {}
+    for name, df in tables.items():
+        if "is_vote" in df.columns and name != "quarantine":
+            df = df.where("is_vote" if name == "vote_transactions" else "NOT is_vote").drop("is_vote")
+        out[name] = df
+    return out
+
+
 def hypercore_blocks(blocks: DataFrame) -> DataFrame:
     """Blocks whose events hold one body each in the flat form of the specs: event_type, ledger_type and the body's fields beside time and hash.
 
@@ -294,9 +372,9 @@ def _cosmos(tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
 
 
 #: What a family's blocks need before they are flattened.
-PREPARED = {"evm": evm_blocks, "hypercore": hypercore_blocks, "sec": typed_filings}
+PREPARED = {"evm": evm_blocks, "solana": solana_blocks, "hypercore": hypercore_blocks, "sec": typed_filings}
 #: What a family's tables need beyond one explode a list.
-DERIVED = {"evm": _evm, "hypercore": _hypercore, "cosmos": _cosmos, "sec": sec_tables}
+DERIVED = {"evm": _evm, "solana": _solana, "hypercore": _hypercore, "cosmos": _cosmos, "sec": sec_tables}
 #: Tables a family makes of its prepared blocks themselves.
 OF_BLOCKS = {"sec": lambda blocks: {"parse_issues": parse_issues(blocks, FAMILIES["sec"])}}
 

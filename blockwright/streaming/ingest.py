@@ -10,7 +10,8 @@ from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 from blockwright.operators.changelog import newest
 from blockwright.operators.flatten import FlattenSpec, flatten
-from blockwright.sources.tables import LAST_TABLE, children, remove, stored_table, temporary_tables, writer_options
+from blockwright.sources.tables import LAST_TABLE, children, stored_table, temporary_tables, writer_options
+from blockwright.streaming.state import States
 
 
 def write_batch(tables: dict[str, DataFrame], root: str, batch_id: int) -> None:
@@ -65,33 +66,53 @@ def changelog_writer(root: str, key: list[str], append: Callable[[DataFrame, Dat
     """
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        own = run or spark.sparkContext.getLocalProperty("sql.streaming.queryId") or "manual"
-        states = f"{root}/_newest"
-        whole = sorted((int(n.split("-", 1)[0]), n) for n in children(spark, states) if "_SUCCESS" in children(spark, f"{states}/{n}"))
-        mine = next((n for n, name in whole if name == f"{n}-{own}-{batch_id}"), None)
-        base = [(n, name) for n, name in whole if mine is None or n < mine]
-        if base:
-            before = spark.read.schema(schema).parquet(f"{states}/{base[-1][1]}")
-        elif mine is None and children(spark, root):
+        states = States(spark, f"{root}/_newest", batch_id, run)
+        if states.base:
+            before = spark.read.schema(schema).parquet(states.base)
+        elif not states.replayed and children(spark, root):
             log = spark.read.schema(schema).parquet(root)  # its states are gone; what an unfinished write of this batch left doesn't count
-            others = ~((F.col("run").cast("string") == own) & (F.col("batch").cast("long") == batch_id)) if "run" in log.columns else F.lit(True)
+            others = ~((F.col("run").cast("string") == states.run) & (F.col("batch").cast("long") == batch_id)) if "run" in log.columns else F.lit(True)
             before = newest(log.where(others).select(*schema.fieldNames()), key)
         else:
             before = spark.createDataFrame([], schema)
-        place = f"{root}/run={own}/batch={batch_id}"
+        place = f"{root}/run={states.run}/batch={batch_id}"
         append(before, batch).write.mode("overwrite").parquet(place)
         added = spark.read.schema(schema).parquet(place)
-        number = base[-1][0] + 1 if base else 0
-        newest(before.unionByName(added), key).write.mode("overwrite").parquet(f"{states}/{number}-{own}-{batch_id}")
-        for n, name in whole:
-            if n < number - 1:
-                remove(spark, f"{states}/{name}")
+        states.write(newest(before.unionByName(added), key))
 
     return write
 
 
-def routing_day(blocks: DataFrame, seed: str | None = None, width: int = 100_000) -> DataFrame:
-    """Each block's day from its own time, else the last known time before it, else the first known after it, else ``seed``.
+def day_router(root: str, write: Callable[[DataFrame, int], None], schema, run: str | None = None) -> Callable[[DataFrame, int], None]:
+    """For foreachBatch over blocks in order: each batch goes to ``write`` with the day ``routing_day`` gives its blocks in the whole stream.
+
+    The last known time is carried from batch to batch. Blocks before the first known time of all are held until it comes, and go out in that
+    batch. State (the last known time, held blocks) lies under ``root/_days``; a restart or a replay goes on as if nothing had happened.
+    """
+    def routed(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        states = States(spark, f"{root}/_days", batch_id, run)
+        shape = F.lit(None).cast("timestamp").alias("_anchor")
+        held, anchor = spark.createDataFrame([], schema), None
+        if states.base:
+            state = spark.read.schema(spark.createDataFrame([], schema).select("*", shape, F.lit(True).alias("_held")).schema).parquet(states.base)
+            held, anchor = state.where("_held").select(*held.columns), state.agg(F.max("_anchor")).first()[0]
+        rows = held.unionByName(batch.select(*held.columns))
+        last = rows.where("ts IS NOT NULL").agg(F.max_by("ts", "block_num")).first()[0]
+        known = last if last is not None else anchor
+        if known is not None:
+            write(routing_day(rows, anchor=anchor), batch_id)
+            blank = spark.createDataFrame([], schema)
+            mark = spark.range(1).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in blank.schema], F.lit(known).cast("timestamp").alias("_anchor"), F.lit(False).alias("_held"))
+            states.write(mark)
+        else:
+            states.write(rows.select("*", shape, F.lit(True).alias("_held")))
+
+    return routed
+
+
+def routing_day(blocks: DataFrame, seed: str | None = None, width: int = 100_000, anchor=None) -> DataFrame:
+    """Each block's day from its own time, else the last known time before it (``anchor``: one before all of them), else the first known after it, else ``seed``.
 
     Windows stay inside ranges of heights; between ranges only one row each is carried on.
     """
@@ -103,7 +124,7 @@ def routing_day(blocks: DataFrame, seed: str | None = None, width: int = 100_000
     over = Window.orderBy("_bucket")  # one row for each range of heights
     ends = ends.select("_bucket", F.last("_last", ignorenulls=True).over(over.rowsBetween(Window.unboundedPreceding, -1)).alias("_before"), F.first("_first", ignorenulls=True).over(over.rowsBetween(1, Window.unboundedFollowing)).alias("_after"))
     out = inside.join(ends, "_bucket", "left")
-    day = F.to_date(F.coalesce("_known", "_before", "_later", "_after", F.lit(seed).cast("timestamp")))
+    day = F.to_date(F.coalesce("_known", "_before", F.lit(anchor).cast("timestamp"), "_later", "_after", F.lit(seed).cast("timestamp")))
     return out.withColumn("date", day).drop("_bucket", "_known", "_later", "_before", "_after")
 
 

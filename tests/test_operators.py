@@ -273,3 +273,36 @@ def test_temporary_tables_go(spark):
         path = held.inputFiles()[0].rsplit("/", 1)[0]
         assert held.count() == 3 and ST.children(spark, path)
     assert not ST.children(spark, path)
+
+
+def test_days_of_a_stream_equal_the_batch(spark, tmp_path):
+    shape = "block_num long, ts timestamp"
+    t = lambda d, h=12: dt.datetime(2026, 1, d, h)
+    times = [None, None, None, None, t(3), None, None, None, t(5), None, t(4), None, None, None, None, None, t(9), t(9), None, None]
+    blocks = list(enumerate(times))
+    want = sorted((r["block_num"], r["date"]) for r in ingest.routing_day(spark.createDataFrame(blocks, shape)).collect())
+    parts = [blocks[:2], blocks[2:3], blocks[3:7], blocks[7:12], blocks[12:15], blocks[15:]]
+
+    def run(checkpoint):
+        def write(df, k):
+            df.select("block_num", "date").write.mode("overwrite").parquet(f"{tmp_path}/out/{checkpoint}-{k}")
+
+        source = spark.readStream.schema(shape).option("maxFilesPerTrigger", 1).parquet(f"{tmp_path}/in")
+        source.writeStream.foreachBatch(ingest.day_router(f"{tmp_path}/state", write, spark.createDataFrame([], shape).schema)).option("checkpointLocation", f"{tmp_path}/{checkpoint}").trigger(availableNow=True).start().awaitTermination()
+
+    for k, part in enumerate(parts):
+        if k == 4:
+            ST.remove(spark, f"{tmp_path}/in")  # a new checkpoint must not see old files again
+        spark.createDataFrame(part, shape).coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
+        run("a" if k < 4 else "b")
+    got = spark.read.parquet(*map(str, tmp_path.glob("out/*")))
+    assert sorted((r["block_num"], r["date"]) for r in got.collect()) == want
+    assert len(ST.children(spark, f"{tmp_path}/state/_days")) == 2
+    # a replay of a batch gives its rows again
+    seen = []
+    router = ingest.day_router(f"{tmp_path}/again", lambda df, k: seen.append(sorted((r["block_num"], r["date"]) for r in df.collect())), spark.createDataFrame([], shape).schema, "r")
+    one, two = spark.createDataFrame(blocks[:3], shape), spark.createDataFrame(blocks[3:7], shape)
+    router(one, 0)
+    router(two, 1)
+    router(two, 1)
+    assert len(seen) == 2 and seen[0] == seen[1] == want[:7]

@@ -58,3 +58,19 @@ def test_hypercore_routes_events_and_derives_from_fills(spark):
     assert rows(out["fills"], "fill_index", "market_type", "counterparty") == [(0, "perp", "b"), (1, "perp", "a"), (2, "outcome", None)]
     assert rows(out["outcome_fills"], "fill_index", "outcome_id", "side_index") == [(2, 12, 0)]
     assert rows(out["liquidations"], "fill_index", "mark_price", "counterparty") == [(0, 5, "b")]
+
+
+def test_solana_numbers_two_lists_and_sets_votes_apart(spark):
+    call = "program: string, instruction_kind: string"
+    shape = f"""block_num long, rewards array<struct<pubkey: string>>, transactions array<struct<sig: string, err: string, num_signatures: int, versioned: boolean, address_table_lookups: array<struct<key: string>>,
+      instructions: array<struct<{call}>>, inner_instructions: array<struct<index: int, instructions: array<struct<{call}>>>>, rewards: array<struct<pubkey: string>>, token_balances: array<struct<mint: string>>>>"""
+    vote = [("vote", "TowerSync")]
+    plain = ("a", None, 1, False, [("k",)], [("x", "A"), ("y", "B")], [(1, [("z", "C"), ("w", "D")]), (0, [("v", "E")])], [("p",)], [("m",)])
+    txs = [plain, ("b", "boom", 1, False, [], vote, None, [("q",)], [("n",)]), ("c", "", 3, False, None, vote, [], None, None), ("d", None, 1, True, None, vote, None, None, None), ("e", "", 2, None, None, [("vote", "Withdraw")], None, [("r",)], None)]
+    out = flatten_family(spark.createDataFrame([(1, [("s",), ("t",)], txs), (2, None, None)], shape), "solana")
+    assert rows(out["transactions"], "transaction_index", "sig", "transaction_success") == [(0, "a", True), (2, "c", True), (3, "d", True), (4, "e", True)]
+    assert rows(out["vote_transactions"], "transaction_index", "sig", "transaction_success") == [(1, "b", False)]
+    got = rows(out["instructions"].where("transaction_index = 0"), "instruction_index", "program", "is_inner", "parent_instruction_index", "inner_index", "inner_instruction_index")
+    assert got == [(0, "x", False, None, None, None), (1, "y", False, None, None, None), (2, "z", True, 1, 1, 0), (3, "w", True, 1, 1, 1), (4, "v", True, 0, 0, 0)]
+    assert rows(out["rewards"], "reward_index", "source", "transaction_index", "transaction_success", "pubkey") == sorted([(0, "transaction", 0, True, "p"), (1, "transaction", 4, True, "r"), (2, "block", None, None, "s"), (3, "block", None, None, "t")], key=str)
+    assert rows(out["token_balances"], "transaction_index", "mint") == [(0, "m")] and "is_vote" not in out["instructions"].columns
