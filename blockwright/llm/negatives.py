@@ -209,7 +209,9 @@ def _met(rows: DataFrame, anchors: DataFrame, n_rows: int, n_anchors: int, same:
     right = anchors.withColumn("across", dealt(anchors, across)).withColumn("down", F.explode(F.sequence(F.lit(0), F.lit(down - 1))))
     found = left.groupBy("down", "across").cogroup(right.groupBy("down", "across")).applyInArrow(_cell(same, best), FOUND)
     order = Window.partitionBy("anchor_row", "place").orderBy(F.desc("score"), F.asc_nulls_last("vec_id"), "row")
-    return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= best)
+    best_of_all = written(found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= best), "best")
+    forget(anchors)
+    return best_of_all
 
 
 def hard_negatives(vectors: DataFrame, anchor: Column, scale: int = 256, positives: int = 5, negatives: int = 3, low: int = 50, high: int = 95) -> DataFrame:
@@ -234,12 +236,12 @@ def hard_negatives(vectors: DataFrame, anchor: Column, scale: int = 256, positiv
         return rows.sparkSession.createDataFrame([], empty)
     anchors = rows.where("anchor").select("row", "label", "v")
     whole = F.array(F.lit(-(1 << 62))), F.array(F.lit(1 << 62))
-    best = written(_met(rows, anchors.withColumns({"low": whole[0], "high": whole[1]}), n, n_anchors, True, positives), "positives")
+    best = _met(rows, anchors.withColumns({"low": whole[0], "high": whole[1]}), n, n_anchors, True, positives)
     listed = best.groupBy(F.col("anchor_row").alias("row")).agg(F.array_sort(F.collect_list(F.struct("rank", "score"))).alias("p"))
     # exact in integers: the least score with 100 * score >= low * p, and the largest with 100 * score <= high * p
     windows = listed.select("row", F.transform("p", lambda p: -F.floor(-p["score"] * low / F.lit(100).cast("decimal(3,0)")).cast("long")).alias("low"),
                             F.transform("p", lambda p: F.floor(p["score"] * high / F.lit(100).cast("decimal(3,0)")).cast("long")).alias("high"))
-    wrong = written(_met(rows, anchors.join(windows, "row"), n, n_anchors, False, negatives), "negatives")
+    wrong = _met(rows, anchors.join(windows, "row"), n, n_anchors, False, negatives)
     names = rows.where("anchor").select(F.col("row").alias("anchor_row"), F.col("vec_id").alias("anchor_id"))
     chosen = best.select("anchor_row", (F.col("rank") - 1).cast("int").alias("place"), F.col("vec_id").alias("positive_id"), F.col("score").alias("positive_score"))
     out = wrong.select("anchor_row", "place", F.col("rank").cast("int").alias("rank"), F.col("vec_id").alias("negative_id"), F.col("score").alias("negative_score")).join(chosen, ["anchor_row", "place"]).join(names, "anchor_row")

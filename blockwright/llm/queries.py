@@ -9,7 +9,7 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from blockwright.llm.shared import ship
+from blockwright.llm.shared import forget, ship
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -28,6 +28,7 @@ def _docs(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
 
 
 def op1_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every conversation formatted and read back; null texts and roles are empty, repeated turns follow each other by role and text."""
     from blockwright.llm.chat import conversation_digest, conversation_messages, format_conversations
 
     talk = spark.read.parquet(f"{sf_dir}/conversations.parquet").select(F.col("conv_id").cast("long").alias("conv_id"), F.col("turn").cast("long").alias("turn"), "role", "text")
@@ -37,6 +38,7 @@ def op1_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of every whole text; null texts and texts without a letter are ``und``. Repeated rows and ids give a row each."""
     from blockwright.llm.langid import fit, is_training, predict_languages
 
     docs = _docs(spark, sf_dir, "lang")
@@ -45,18 +47,21 @@ def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Set size and component of every document; texts without a word are linked with nothing. A doc_id with several texts gives a row each."""
     from blockwright.llm.jaccard import jaccard_components
 
     return jaccard_components(_docs(spark, sf_dir), words=3, num=90, den=100).select("doc_id", "n_shingles", "component_id")
 
 
 def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digests of every text's ids and of the text decoded from them; null counts as empty, each row is encoded by itself."""
     from blockwright.llm.bpe import bpe_round_trip
 
     return bpe_round_trip(_docs(spark, sf_dir), tokenizer_path())
 
 
 def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A score for every whole text, empty ones included; labels train the model only where crc32(doc_id) mod 3 isn't 1."""
     from blockwright.llm.toxicity import fit, is_held_out, score_toxicity
 
     docs = _docs(spark, sf_dir, "lang")
@@ -65,18 +70,21 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents' ids written to the token store in ascending doc_id order and read back; null texts hold the end id alone."""
     from blockwright.llm.tokenstore import read_token_blocks, write_token_blocks
 
     return read_token_blocks(write_token_blocks(_docs(spark, sf_dir), tokenizer_path(), end_id=2))
 
 
 def op7_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of every text and of its edited text, the end replaced by the start of the next document in descending doc_id order."""
     from blockwright.llm.fingerprint import fingerprint_neighbours
 
     return fingerprint_neighbours(_docs(spark, sf_dir))
 
 
 def op8_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base and model score of every text under counts of the training documents; null counts as empty."""
     from blockwright.llm.lm import is_training, score, train
 
     docs = _docs(spark, sf_dir)
@@ -86,12 +94,14 @@ def op8_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pairs of a document and a benchmark item of which it holds a passage; clean documents give none."""
     from blockwright.llm.decontam import contaminated
 
     return contaminated(_docs(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet").select("item_id", "text"))
 
 
 def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Spans of secrets in every text, base rules and more; null counts as empty."""
     from blockwright.llm.secrets import BASE, find_secrets
 
     found = find_secrets(_docs(spark, sf_dir))
@@ -129,7 +139,10 @@ def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     turns = numbered_turns(spark.read.parquet(f"{sf_dir}/conversations.parquet").select("conv_id", "turn", "role", "text"))
     conv = F.col("conv_id")
-    return prefix_trie(sequences(with_lent_heads(turns, conv - conv % 5, F.crc32(conv.cast("string").cast("binary")) % 9)))
+    talks = sequences(with_lent_heads(turns, conv - conv % 5, F.crc32(conv.cast("string").cast("binary")) % 9))
+    found = prefix_trie(talks)
+    forget(turns, talks)  # the trie's own tables are written
+    return found
 
 
 def _shipped(query: Query) -> Query:
