@@ -4,11 +4,26 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def band_join(points: DataFrame, ranges: DataFrame, keys: list[str], point: str, begin: str, end: str) -> DataFrame:
-    """Points inside [begin, end] of the same key; the keys carry the shuffle, the range filters the matches."""
-    return points.join(ranges, keys).where(F.col(point).between(F.col(begin), F.col(end)))
+    """Points inside [begin, end] of the same key, both ends included; integers or times.
+
+    A range goes to the one or two buckets it touches, of the smallest power of two that holds it; a point looks into its bucket of every such width there is
+    (at most 64). So the equality key bounds the pairs by the matches, whatever a key's size.
+    """
+    def whole(df: DataFrame, c: str) -> Column:
+        kind = df.select(c).schema[0].dataType
+        return (F.col(c).cast("timestamp") if isinstance(kind, (T.DateType, T.TimestampNTZType)) else F.col(c) if isinstance(kind, (T.IntegralType, T.TimestampType)) else F.floor(c)).cast("long")
+
+    shifted = lambda x, by: F.call_function("shiftright", x, by)
+    bounded = ranges.where(F.col(begin) <= F.col(end)).withColumns({"_begin": whole(ranges, begin), "_end": whole(ranges, end)})
+    half = F.shiftright("_end", 1) - F.shiftright("_begin", 1)  # can't overflow
+    wide = bounded.withColumn("_width", F.least(F.length(F.bin(half)) + 1, F.lit(63)))
+    held = wide.withColumn("_bucket", F.explode(F.sequence(shifted(F.col("_begin"), F.col("_width")), shifted(F.col("_end"), F.col("_width"))))).drop("_begin", "_end")
+    seen = points.crossJoin(F.broadcast(wide.select("_width").distinct())).withColumn("_bucket", shifted(whole(points, point), F.col("_width")))
+    return seen.join(held, [*keys, "_width", "_bucket"]).where(F.col(point).between(F.col(begin), F.col(end))).drop("_width", "_bucket")
 
 
 def asof_join(facts: DataFrame, history: DataFrame, keys: list[str], time: str, valid_from: str, columns: list[str], width: int | None = None) -> DataFrame:
