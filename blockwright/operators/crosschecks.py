@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from blockwright.operators.changelog import history
+from blockwright.operators.joins import asof_join
 
 FOREVER = (1 << 63) - 1
 #: Addresses that move a token between ledgers are this prefix and the token's index in hex.
@@ -50,18 +51,23 @@ def unknown_links(child: DataFrame, parent: DataFrame, link: str, parent_key: st
     return named.join(parent.select(F.col(parent_key).alias(link)).distinct(), link, "left_anti")
 
 
-def uncovered_links(child: DataFrame, parent: DataFrame, key: list[str], link: str, parent_key: str, time: str = "observed_at") -> DataFrame:
+def uncovered_links(child: DataFrame, parent: DataFrame, key: list[str], link: str, parent_key: str, time: str = "observed_at", width: int | None = None) -> DataFrame:
     """Times at which a listed entity named a parent that wasn't listed: key, link, valid_from, valid_to, covered.
 
-    Each row of a change log holds until the entity's next. A parent's listed intervals don't overlap, so a child's interval is covered when its
-    overlaps with them add up to its length. One join by link; an interval that never ends has no valid_to.
+    Each row of a change log holds until the entity's next. A parent's listed intervals don't overlap, so what it was listed up to a time is the sum of
+    those before and the part of the last one up to there, and a child's interval is covered by the difference between its ends. So each end looks up one
+    interval, whatever the number of rows of a link; ``width`` (in units of time) as in ``asof_join``. An interval that never ends has no valid_to.
     """
     def spans(log: DataFrame, by: list[str]) -> DataFrame:
         return history(log, by, time).where("listed").withColumn("_to", F.coalesce(F.col("valid_to").cast("long"), F.lit(FOREVER))).withColumn("_from", F.col("valid_from").cast("long")).where("_from < _to")
 
+    exact = lambda c: F.col(c).cast("decimal(38,0)")
     own = spans(child, key).where(F.col(link).isNotNull()).select(*key, link, "valid_from", "valid_to", "_from", "_to")
     over = spans(parent, [parent_key]).select(F.col(parent_key).alias(link), F.col("_from").alias("_a"), F.col("_to").alias("_b"))
-    shared = F.greatest(F.least("_to", "_b") - F.greatest("_from", "_a"), F.lit(0))
-    covered = own.join(over, link).groupBy(*key, link, "_from").agg(F.sum(shared.cast("decimal(38,0)")).alias("_covered"))
-    both = own.join(covered, [*key, link, "_from"], "left").withColumn("covered", F.coalesce("_covered", F.lit(0).cast("decimal(38,0)")))
-    return both.where(F.col("covered") < (F.col("_to").cast("decimal(38,0)") - F.col("_from"))).select(*key, link, "valid_from", "valid_to", F.col("covered").cast("long").alias("covered"))
+    earlier = Window.partitionBy(link).orderBy("_a").rowsBetween(Window.unboundedPreceding, -1)
+    over = over.withColumn("_sum", F.coalesce(F.sum(exact("_b") - exact("_a")).over(earlier), F.lit(0)).cast("decimal(38,0)"))
+    ends = own.withColumn("_end", F.explode(F.array(F.struct(F.lit(-1).alias("sign"), F.col("_from").alias("at")), F.struct(F.lit(1).alias("sign"), F.col("_to").alias("at"))))).withColumn("_at", F.col("_end.at"))
+    seen = asof_join(ends, over, [link], "_at", "_a", ["_a", "_b", "_sum"], width)
+    listed = F.coalesce(F.col("_sum") + F.least(exact("_at"), exact("_b")) - exact("_a"), F.lit(0))
+    both = seen.groupBy(*key, link, "valid_from", "valid_to", "_from", "_to").agg(F.sum(F.col("_end.sign") * listed).alias("covered"))
+    return both.where(F.col("covered") < (exact("_to") - exact("_from"))).select(*key, link, "valid_from", "valid_to", F.col("covered").cast("long").alias("covered"))

@@ -181,7 +181,7 @@ def k5_tokens(spark, d):
 @query("k6_uncovered_links", "WITH child AS (SELECT entity, level, listed, observed_at AS a, coalesce(lead(observed_at) OVER (PARTITION BY entity ORDER BY observed_at), 9223372036854775807) AS b FROM log), parent AS (SELECT user_id % 60 AS level, event_type <> 'signup' AS listed, event_id AS a, coalesce(lead(event_id) OVER (PARTITION BY user_id % 60 ORDER BY event_id), 9223372036854775807) AS b FROM events), spans AS (SELECT c.entity, c.level, c.a, c.b, sum(CASE WHEN p.level IS NOT NULL THEN greatest(least(c.b, p.b)::HUGEINT - greatest(c.a, p.a), 0) ELSE 0 END) AS covered FROM child c LEFT JOIN parent p ON p.level = c.level AND p.listed WHERE c.listed AND c.level IS NOT NULL GROUP BY ALL) SELECT entity, level, a AS valid_from, CASE WHEN b < 9223372036854775807 THEN b END AS valid_to, covered::BIGINT AS covered FROM spans WHERE covered < b::HUGEINT - a")
 def k6_links(spark, d):
     parent = read(spark, d, "events").select((F.col("user_id") % 60).alias("name"), F.col("event_id").alias("observed_at"), (F.col("event_type") != "signup").alias("listed"))
-    return C.uncovered_links(adapted(spark, d, "log"), parent, ["entity"], "level", "name")
+    return C.uncovered_links(adapted(spark, d, "log"), parent, ["entity"], "level", "name", width=1 << 16)
 
 
 @query("k1_validate_by_day", "WITH " + _PROBLEMS + " SELECT kind, block_num, previous, CASE kind WHEN 'time_reversal' THEN 'warning' ELSE 'error' END AS severity FROM problems")

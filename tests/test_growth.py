@@ -2,6 +2,7 @@
 
 from pyspark.sql import functions as F
 
+from blockwright.operators import crosschecks as C
 from blockwright.operators import joins
 
 
@@ -44,3 +45,15 @@ def test_band_join_of_times(spark):
     points = spark.sql("SELECT 1 AS k, timestamp_seconds(id) AS x FROM range(-300, 300)")
     ranges = spark.sql("SELECT 1 AS k, timestamp_millis(id * 7500 + 250) AS a, timestamp_millis(id * 7500 + 3000) AS b FROM range(-20, 20)")
     assert joins.band_join(points, ranges, ["k"], "x", "a", "b").count() == points.join(ranges, "k").where("x BETWEEN a AND b").count()
+
+
+def test_uncovered_links_make_no_pairs_of_a_link(spark):
+    n = 1000
+    c = spark.range(n).select((F.col("id") % 7).alias("entity"), F.lit(1).alias("link"), (F.col("id") * 10).alias("observed_at"), F.lit(True).alias("listed"))
+    p = spark.range(n).select(F.lit(1).alias("name"), (F.col("id") * 10 + 5).alias("observed_at"), (F.col("id") % 2 == 0).alias("listed"))
+    plain = lambda a, b: sum(max(0, min(b, x + 10) - max(a, x)) for x in range(5, n * 10, 20))
+    want = {10 * i: plain(10 * i, 10 * i + 70) if i + 7 < n else plain(10 * i, 10 * n + 100) for i in range(n)}
+    for width in (None, 1 << 10):
+        got = C.uncovered_links(c, p, ["entity"], "link", "name", width=width)
+        assert {r["valid_from"]: r["covered"] for r in got.collect()} == want
+        assert max(join_rows(got), default=0) <= 4 * n
