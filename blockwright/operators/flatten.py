@@ -6,6 +6,7 @@ table starts with the canonical identity columns; positions are those in the sou
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
@@ -48,12 +49,31 @@ def _identity(blocks: DataFrame) -> list[Column]:
     return [F.col(f"block.{c}").alias(c) for c in have]
 
 
+def _narrowed(name: str, kind: T.DataType, later: list[str]) -> Column | None:
+    """Of the struct ``name`` the fields that SQL texts still ask for; None where they ask for none. A struct named by itself stays whole."""
+    text = "\n".join(later).replace("`", "")
+    if not re.search(rf"\b{name}\b", text):
+        return None
+    if not isinstance(kind, T.StructType) or re.search(rf"\b{name}\b(?!\s*\.)", text):
+        return F.col(name)
+    kept = [f.name for f in kind.fields if re.search(rf"\b{name}\s*\.\s*{re.escape(f.name)}(?!\w)", text, re.IGNORECASE)]
+    return F.struct(*[F.col(name)[f].alias(f) for f in kept]).alias(name) if kept else None
+
+
 def flatten_table(blocks: DataFrame, spec: TableSpec) -> DataFrame:
-    df = blocks.select(F.struct(*blocks.columns).alias("block"))
+    """One explode a level; what no later level and no column asks for is left behind, so that lists aren't copied to each of their elements."""
+    named = [f"block.{c}" for c in IDENTITY if c in blocks.columns] + list(spec.columns.values())
+    ahead = [[*named, *[level.where or "" for level in spec.levels[k:]], *[f"{'block' if j == 0 else f'e{j - 1}'}.{level.path}" for j, level in enumerate(spec.levels) if j >= k]] for k in range(len(spec.levels) + 1)]
+    whole = any(re.search(r"\bblock\b(?!\s*\.)", text) for text in ahead[0])
+    used = blocks.columns if whole else [c for c in blocks.columns if any(re.search(rf"\bblock\s*\.\s*{re.escape(c)}(?!\w)", text.replace("`", ""), re.IGNORECASE) for text in ahead[0])]
+    df = blocks.select(F.struct(*[F.col(f"`{c}`") for c in used or blocks.columns]).alias("block"))
     held, above = ["block"], "block"
     for k, level in enumerate(spec.levels):
         explode = F.posexplode_outer if level.outer else F.posexplode
-        df = df.select(*held, explode(F.expr(f"{above}.{level.path}")).alias(f"p{k}", f"e{k}"))
+        kinds = {f.name: f.dataType for f in df.schema.fields}
+        kept = {h: h if re.fullmatch(r"p\d+", h) else _narrowed(h, kinds[h], ahead[k + 1]) for h in held}
+        held = [h for h in held if kept[h] is not None]
+        df = df.select(*[kept[h] for h in held], explode(F.expr(f"{above}.{level.path}")).alias(f"p{k}", f"e{k}"))
         if level.where:
             df = df.where(F.expr(level.where))
         held += [f"p{k}", f"e{k}"]
