@@ -38,7 +38,11 @@ def parse_decimal(c: Column, scale: int, precision: int = 38) -> Column:
     good = t.rlike(shape)
     issue = (F.when(t.isNull(), None).when(F.upper(t).isin(SENTINELS), "sentinel").when(~good, "unparseable")
              .when(~room | rounded.isNull(), "out_of_range").when(F.substring(part, scale + 1, 1 << 30).rlike("[1-9]"), "rounded"))
-    return _result(F.when(good & room, signed).otherwise(number), issue)
+    # most texts are plain and fit: one pattern and one cast; the rest takes the whole road
+    plain = t.rlike(rf"^[+-]?[0-9]{{1,{min(18, precision - scale)}}}(\.[0-9]{{0,{scale}}})?$") if precision > scale else F.lit(False)
+    none = F.lit(None).cast("string")
+    return (F.when(t.isNull(), _result(number, none)).when(plain, _result(t.try_cast(f"decimal({precision},{scale})"), none))
+            .otherwise(_result(F.when(good & room, signed).otherwise(number), issue)))
 
 
 def parse_int(c: Column, bits: int = 64) -> Column:
@@ -63,7 +67,9 @@ def parse_date(c: Column) -> Column:
     value = F.when((is_iso | is_us) & (year >= 1000), value)
     issue = (F.when(t.isNull(), None).when(F.upper(t).isin(SENTINELS), "sentinel").when(~(is_iso | is_us), "unparseable")
              .when(value.isNull(), "out_of_range").when(is_iso & (F.regexp_extract(t, iso, 4) != ""), "tz_dropped"))
-    return _result(value, issue)
+    # most texts are full ISO days: one pattern and one cast; the rest takes the whole road
+    plain, none = F.when(t.rlike("^[1-9][0-9]{3}-[0-9]{2}-[0-9]{2}$"), t).try_cast("date"), F.lit(None).cast("string")
+    return F.when(t.isNull(), _result(F.lit(None).cast("date"), none)).when(plain.isNotNull(), _result(plain, none)).otherwise(_result(value, issue))
 
 
 def parse_yn(c: Column) -> Column:

@@ -33,7 +33,7 @@ def order_book_blocks(spark, d):
       'funding', CASE kind WHEN 0 THEN named_struct('deltas', array(named_struct('user', 'a', 'coin', 'BTC', 'funding_amount', '1', 'szi', '2', 'funding_rate', '0.5'), named_struct('user', 'b', 'coin', 'BTC', 'funding_amount', amount, 'szi', '-3', 'funding_rate', '0.5'))) ELSE {none} END)"""
     event = f"named_struct('time', named_struct('seconds', 1L, 'nanos', 0), 'hash', 'h', 'events', CASE WHEN bodies = 2 THEN array({body}, {body}) ELSE array({body}) END)"
     rows = rough.selectExpr("block_num", f"named_struct('i', fill_index, 'fill', {fill}, 'event', {event}) AS x")
-    nested = rows.groupBy("block_num").agg(F.array_sort(F.collect_list("x"), lambda a, b: (a["i"] - b["i"]).cast("int")).alias("x"))
+    nested = rows.groupBy("block_num").agg(F.sort_array(F.collect_list("x")).alias("x"))
     return nested.selectExpr("block_num", "transform(x, y -> y.fill) AS fills", "transform(x, y -> y.event) AS events")
 
 
@@ -78,16 +78,12 @@ FROM legs"""
 
 def filed_blocks(spark, d):
     """Blocks of filings: ownership forms with two plain transactions and a derivative one, and a report of two holdings."""
-    from blockwright.sources.tables import stored_table
-
     filed = spark.sql(_FILED.replace("FROM legs", "FROM {legs}"), legs=adapted(spark, d, "legs"))
     owner = "named_struct('non_derivative_transactions', array(named_struct('shares', shares, 'transaction_date', day), named_struct('shares', '1', 'transaction_date', '')), 'derivative_transactions', array(named_struct('shares', '2', 'exercise_date', day)))"
     report = "named_struct('holdings', array(named_struct('value', held, 'cusip', '37833100'), named_struct('value', '7', 'cusip', '0')))"
     rows = filed.selectExpr("block_num", f"named_struct('i', fill_index, 'f', named_struct('accession_number', concat('a', CAST(fill_index AS STRING)), 'ownership', {owner}, 'form13f', {report})) AS x")
-    nested = rows.groupBy("block_num").agg(F.array_sort(F.collect_list("x"), lambda a, b: (a["i"] - b["i"]).cast("int")).alias("x"))
-    from blockwright.plans.sec import typed_filings
-
-    return stored_table(typed_filings(nested.selectExpr("block_num", "transform(x, y -> y.f) AS filings")), "typed-filings")
+    nested = rows.groupBy("block_num").agg(F.sort_array(F.collect_list("x")).alias("x"))
+    return nested.selectExpr("block_num", "transform(x, y -> y.f) AS filings")
 
 
 _FILED_ISSUES = f"""filed AS ({_FILED}), found AS (
@@ -131,7 +127,7 @@ def trade_blocks(spark, d):
     calls = f"array(named_struct('index', 1L, 'state_reverted', status <> 'SUCCEEDED', 'balance_changes', {balance('GAS_BUY', 'TRANSFER')}, 'nonce_changes', {changes([0, 1, 2, 3])}, 'code_changes', {changes([3, 2, 1, 0])}), named_struct('index', 2L, 'state_reverted', undone, 'balance_changes', {balance('TRANSFER')}, 'nonce_changes', {none}, 'code_changes', {none}))"
     auths = "array(named_struct('authority', 'a', 'discarded', gone_a), named_struct('authority', 'a', 'discarded', false), named_struct('authority', 'b', 'discarded', gone_b))"
     tx = rows.selectExpr("block_num", f"named_struct('i', fill_index, 't', named_struct('status', status, 'set_code_authorizations', {auths}, 'calls', {calls})) AS x")
-    nested = tx.groupBy("block_num").agg(F.array_sort(F.collect_list("x"), lambda a, b: (a["i"] - b["i"]).cast("int")).alias("x"))
+    nested = tx.groupBy("block_num").agg(F.sort_array(F.collect_list("x")).alias("x"))
     system = "array(named_struct('index', 9L, 'balance_changes', array(named_struct('ordinal', block_num % 7, 'address', 's'))))"
     return nested.selectExpr("block_num", "transform(x, y -> y.t) AS transactions", "array(named_struct('ordinal', block_num % 5, 'address', 'r')) AS balance_changes", f"{system} AS system_calls")
 

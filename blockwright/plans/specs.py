@@ -21,7 +21,7 @@ from blockwright.operators.flatten import FlattenSpec, Level, TableSpec, cases,
 from blockwright.operators.outcome import with_persisted_changes
 from blockwright.operators.validate import Checks, with_errors
 from blockwright.plans.market import funding_rates, liquidations, outcome_fills, with_counterparty, with_market
-from blockwright.plans.sec import parse_issues, sec_tables, typed_filings
+from blockwright.plans.sec import BODIES, parse_issues, sec_tables, typed_filings
 
 _TX = "e0.hash AS tx_hash"
 _SOLANA = "e0.transaction_success AS transaction_success, e0.is_vote AS is_vote"
@@ -379,10 +379,24 @@ DERIVED = {"evm": _evm, "solana": _solana, "hypercore": _hypercore, "cosmos": _c
 OF_BLOCKS = {"sec": lambda blocks: {"parse_issues": parse_issues(blocks, FAMILIES["sec"])}}
 
 
+def needed_bodies(blocks: DataFrame, tables: list[str]) -> DataFrame:
+    """Filings without the forms' bodies that no list of these tables lies in, so that only what the tables hold is typed; all bodies where a table is made of
+    more than one body's lists."""
+    kind = _type_at(blocks.schema, "filings")
+    places = [text.partition("|")[0].split() for text in tables]
+    bodies = {p[1].lstrip(">").partition("@")[0].partition(".")[0] for p in places if len(p) > 1 and p[0].startswith("filings@")}
+    if not isinstance(kind, T.ArrayType) or len([p for p in places if len(p) > 1]) < len(places) or not bodies <= set(BODIES):
+        return blocks
+    spare = [b for b in BODIES if b in kind.elementType.fieldNames() and b not in bodies]
+    return blocks.withColumn("filings", F.transform("filings", lambda x: x.dropFields(*spare))) if spare else blocks
+
+
 def flatten_family(blocks: DataFrame, family: str, errors: str | None = None, only: set[str] | None = None) -> dict[str, DataFrame]:
     """All tables that blocks of this schema can fill, derived ones included; a family's own checks hold unless ``errors`` names others."""
     if errors is None and family in CHECKS and "_errors" not in blocks.columns:
         blocks = with_errors(blocks, CHECKS[family])
+    if family == "sec" and only is not None:
+        blocks = needed_bodies(blocks, [FAMILIES[family].get(name, "") for name in only])
     blocks = PREPARED[family](blocks) if family in PREPARED else blocks
     out = flatten(blocks, family_spec(family, T.StructType([f for f in blocks.schema if f.name != "_errors"]), errors, only))
     out = DERIVED[family](out) if family in DERIVED else out

@@ -57,3 +57,38 @@ def test_uncovered_links_make_no_pairs_of_a_link(spark):
         got = C.uncovered_links(c, p, ["entity"], "link", "name", width=width)
         assert {r["valid_from"]: r["covered"] for r in got.collect()} == want
         assert max(join_rows(got), default=0) <= 4 * n
+
+
+def test_flatten_leaves_unused_lists_behind(spark):
+    from blockwright.operators import flatten as FL
+
+    blocks = spark.sql("SELECT id AS block_num, array(named_struct('a', id, 'big', array(1, 2), 'low', array(named_struct('x', 1, 'y', 2)))) AS rows, array(named_struct('t', 'unused')) AS other FROM range(3)")
+    spec = FL.TableSpec("t", (FL.Level("rows", "i"), FL.Level("low", "j")), {"a": "e0.a", "x": "e1.x"})
+    got = FL.flatten_table(blocks, spec)
+    assert sorted(tuple(r) for r in got.collect()) == [(k, 0, 0, k, 1) for k in range(3)]
+    assert "unused" not in got._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_tables_of_one_form_type_that_form_alone(spark):
+    from blockwright.plans.queries_families import filed_blocks
+    from blockwright.plans.specs import flatten_family
+
+    from .conftest import DATA
+
+    one = flatten_family(filed_blocks(spark, DATA), "sec", only={"form13f_holdings"})["form13f_holdings"]
+    assert "tz_dropped" not in one._jdf.queryExecution().optimizedPlan().toString()
+    assert "tz_dropped" in flatten_family(filed_blocks(spark, DATA), "sec", only={"parse_issues"})["parse_issues"]._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_plain_texts_are_read_as_by_the_whole_road(spark):
+    import datetime as dt
+    from decimal import Decimal
+
+    from blockwright.functions import parse as P
+
+    texts = spark.createDataFrame([(t,) for t in ("5.", "+007.50", "-0", " 12.3 ", ".5", "1.2345678", "1" * 33, "N/A", "", None)], "t string")
+    got = [tuple(r["p"]) for r in texts.select(P.parse_decimal(F.col("t"), 6).alias("p")).collect()]
+    assert got == [(Decimal("5.000000"), None), (Decimal("7.500000"), None), (Decimal("0.000000"), None), (Decimal("12.300000"), None), (Decimal("0.500000"), None), (Decimal("1.234568"), "rounded"), (None, "out_of_range"), (None, "sentinel"), (None, None), (None, None)]
+    days = spark.createDataFrame([(t,) for t in ("2021-03-04", " 2021-03-04 ", "2021-02-30", "0999-01-01", "2021-3-4", "2021-03-04Z", "")], "t string")
+    day = dt.date(2021, 3, 4)
+    assert [tuple(r["p"]) for r in days.select(P.parse_date(F.col("t")).alias("p")).collect()] == [(day, None), (day, None), (None, "out_of_range"), (None, "out_of_range"), (day, None), (day, "tz_dropped"), (None, None)]
