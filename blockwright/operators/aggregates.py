@@ -35,8 +35,27 @@ def ordinal_in_block(df: DataFrame, index: str, name: str, keys: list[str] | Non
     return df.withColumn(name, (F.row_number().over(w) - 1).cast("long"))
 
 
-def change_within(df: DataFrame, keys: list[str], order: str, seconds: str, value: str, gap: int, name: str) -> DataFrame:
-    """Change of a value from the row before, null across a gap of more than ``gap`` seconds."""
+def row_before(df: DataFrame, keys: list[str], order: str, columns: list[str], name: str, width: int) -> DataFrame:
+    """``name``: struct of the columns of the key's row before by ``order`` (a number), null for its first. Windows stay inside ranges of ``width`` units;
+    between them the last row of each is carried on, so that no key is a single task."""
+    row = F.struct(*columns)
+    ranged = df.withColumn("_range", F.floor(F.col(order) / width))
+    inside = Window.partitionBy(*keys, "_range").orderBy(order)
+    ends = ranged.groupBy(*keys, "_range").agg(F.max_by(row, order).alias("_end"))
+    carried = ends.select(*[F.col(k).alias(f"_key{i}") for i, k in enumerate(keys)], F.col("_range").alias("_at"), F.lag("_end").over(Window.partitionBy(*keys).orderBy("_range")).alias("_from"))
+    same = F.col("_range").eqNullSafe(F.col("_at"))
+    for i, k in enumerate(keys):
+        same = same & F.col(k).eqNullSafe(F.col(f"_key{i}"))
+    seen = ranged.withColumn("_in", F.lag(row).over(inside)).join(carried, same, "left")
+    return seen.select(*df.columns, F.coalesce("_in", "_from").alias(name))
+
+
+def change_within(df: DataFrame, keys: list[str], order: str, seconds: str, value: str, gap: int, name: str, width: int | None = None) -> DataFrame:
+    """Change of a value from the row before, null across a gap of more than ``gap`` seconds; ``width`` as in ``row_before``."""
+    if width is not None:
+        seen = row_before(df, keys, order, [seconds, value], "_before", width)
+        near = F.col(f"_before.{seconds}") >= F.col(seconds) - gap
+        return seen.withColumn(name, F.when(near, F.col(value) - F.col(f"_before.{value}"))).drop("_before")
     w = Window.partitionBy(*keys).orderBy(order)
     near = F.lag(seconds).over(w) >= F.col(seconds) - gap
     return df.withColumn(name, F.when(near, F.col(value) - F.lag(value).over(w)))

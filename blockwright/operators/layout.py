@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from blockwright.operators.aggregates import row_before
+
 # In-block order of the tables whose writer has one. A name with "?" stands for whether that column is set.
 ROW_ORDER = {
     "blocks": [],
@@ -48,13 +50,12 @@ def order_ties(df: DataFrame, key: list[str]) -> DataFrame:
     return df.groupBy(*key).agg(F.count("*").alias("rows")).where("rows > 1")
 
 
-def order_breaks(df: DataFrame, key: list[str | Column], file: str = "_metadata.file_path", row: str = "_metadata.row_index") -> DataFrame:
-    """Rows that don't come after the row before them in their file."""
+def order_breaks(df: DataFrame, key: list[str | Column], file: str = "_metadata.file_path", row: str = "_metadata.row_index", width: int = 1 << 16) -> DataFrame:
+    """Rows that don't come after the row before them in their file; ``width`` rows are looked through together, so that a large file is no single task."""
     names = [f"k{i}" if isinstance(c, Column) else c for i, c in enumerate(key)]
     k = F.struct(*[(c if isinstance(c, Column) else F.col(c)).alias(n) for c, n in zip(key, names, strict=True)])
-    w = Window.partitionBy("_f").orderBy("_r")
     rows = df.select(k.alias("_k"), F.col(file).alias("_f"), F.col(row).alias("_r"))
-    return rows.withColumn("_before", F.lag("_k").over(w)).where("_before >= _k").select("_k.*")
+    return row_before(rows, ["_f"], "_r", ["_k"], "_before", width).where("_before._k >= _k").select("_k.*")
 
 
 def in_order(df: DataFrame, key: list[str | Column], files: int) -> DataFrame:

@@ -92,3 +92,19 @@ def test_plain_texts_are_read_as_by_the_whole_road(spark):
     days = spark.createDataFrame([(t,) for t in ("2021-03-04", " 2021-03-04 ", "2021-02-30", "0999-01-01", "2021-3-4", "2021-03-04Z", "")], "t string")
     day = dt.date(2021, 3, 4)
     assert [tuple(r["p"]) for r in days.select(P.parse_date(F.col("t")).alias("p")).collect()] == [(day, None), (day, None), (None, "out_of_range"), (None, "out_of_range"), (day, None), (day, "tz_dropped"), (None, None)]
+
+
+def test_rows_before_in_small_ranges(spark, tmp_path):
+    from pyspark.sql import Window
+
+    from blockwright.operators import aggregates as A
+    from blockwright.operators import layout
+
+    rows = spark.range(400).where("id % 7 <> 0 AND NOT id BETWEEN 100 AND 230").select(F.when(F.col("id") % 3 > 0, F.col("id") % 3).alias("k"), F.col("id").alias("t"), F.when(F.col("id") % 5 > 0, F.col("id") * 11 % 13).alias("v"))
+    want = rows.withColumn("b", F.lag(F.struct("t", "v")).over(Window.partitionBy("k").orderBy("t")))
+    got = A.row_before(rows, ["k"], "t", ["t", "v"], "b", 8)
+    assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+    rows.coalesce(1).write.parquet(str(tmp_path / "x"))
+    files = spark.read.parquet(str(tmp_path / "x"))
+    assert layout.order_breaks(files, ["v"], width=8).count() == layout.order_breaks(files, ["v"], width=1 << 20).count() > 0
+    assert "_range" in layout.order_breaks(files, ["v"])._jdf.queryExecution().optimizedPlan().toString()
