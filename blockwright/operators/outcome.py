@@ -37,10 +37,12 @@ def propagate_outcome(child: DataFrame, parent: DataFrame, keys: list[str], outc
 def split_votes(transactions: DataFrame, instructions: DataFrame, keys: list[str]) -> tuple[DataFrame, DataFrame]:
     """(other, vote) transactions. A vote has one instruction of the vote program, of a vote kind, one or two signatures and no lookups;
     anything uncertain stays with the others."""
-    one = instructions.groupBy(*keys).agg(F.count("*").alias("_n"), F.max("program").alias("_program"), F.max("instruction_kind").alias("_kind"))
+    # counts alone, as a largest text would have every task sort its instructions
+    voting = (F.col("program") == "vote") & F.col("instruction_kind").isin("vote", "vote_switch", "update_vote_state", "compact_update_vote_state", "tower_sync")
+    one = instructions.groupBy(*keys).agg(F.count("*").alias("_n"), F.count_if(voting).alias("_voting"))
     marked = transactions.join(one, keys, "left")
-    vote = F.coalesce((F.col("_n") == 1) & (F.col("_program") == "vote") & F.col("_kind").isin("vote", "vote_switch", "update_vote_state", "compact_update_vote_state", "tower_sync") & F.col("num_signatures").between(1, 2) & (F.col("num_lookups") == 0), F.lit(False))
-    drop = ["_n", "_program", "_kind", "_vote"]
+    vote = F.coalesce((F.col("_n") == 1) & (F.col("_voting") == 1) & F.col("num_signatures").between(1, 2) & (F.col("num_lookups") == 0), F.lit(False))
+    drop = ["_n", "_voting", "_vote"]
     marked = marked.withColumn("_vote", vote)
     return marked.where(~F.col("_vote")).drop(*drop), marked.where("_vote").drop(*drop)
 

@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from blockwright.operators import crosschecks as C
-from blockwright.operators import joins
+from blockwright.operators import joins, outcome
 
 
 def join_rows(df):
@@ -108,3 +108,22 @@ def test_rows_before_in_small_ranges(spark, tmp_path):
     files = spark.read.parquet(str(tmp_path / "x"))
     assert layout.order_breaks(files, ["v"], width=8).count() == layout.order_breaks(files, ["v"], width=1 << 20).count() > 0
     assert "_range" in layout.order_breaks(files, ["v"])._jdf.queryExecution().optimizedPlan().toString()
+
+
+def nodes(df):
+    """The plan before execution, as text."""
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_split_votes_sorts_no_instructions_to_count_them(spark):
+    tx = spark.createDataFrame([(1, 1, 0), (2, 2, 0), (3, 1, 0), (4, 1, 0), (5, 1, 1), (6, 1, 0), (7, 3, 0)], "k int, num_signatures int, num_lookups int")
+    ins = spark.createDataFrame([(1, "vote", "tower_sync"), (2, "vote", "vote"), (3, "vote", "vote"), (3, None, None), (4, None, "vote"), (5, "vote", "vote"), (7, "vote", "vote")], "k int, program string, instruction_kind string")
+    rest, votes = outcome.split_votes(tx, ins, ["k"])
+    assert [r["k"] for r in votes.orderBy("k").collect()] == [1, 2] and [r["k"] for r in rest.orderBy("k").collect()] == [3, 4, 5, 6, 7]
+    assert votes.columns == rest.columns == tx.columns and "SortAggregate" not in nodes(votes)
+
+
+def test_shuffles_follow_bytes(spark):
+    assert int(spark.conf.get("spark.sql.adaptive.coalescePartitions.initialPartitionNum")) >= 200
+    wide = spark.range(5_000_000).select(F.xxhash64("id").alias("k"), F.xxhash64(F.col("id") + 1).alias("v"))
+    assert wide.groupBy("k").agg(F.max("v")).rdd.getNumPartitions() > 8  # the tests' number of shuffle partitions
