@@ -57,14 +57,18 @@ def persistent_changes(changes: DataFrame, transactions: DataFrame, authorizatio
     tx = ["block_num", "tx_index"]
     root = F.col("parent_index") == 0
     paid = (F.col("kind") == "balance") & F.col("reason").isin("GAS_BUY", "GAS_REFUND", "REWARD_TRANSACTION_FEE", "INCREASE_MINT")
-    ranked = changes.join(transactions.select(*tx, "transaction_success"), tx).withColumn(
-        "_first", F.row_number().over(Window.partitionBy(*tx, "kind", root).orderBy("ordinal")))
-    sender_nonce = (F.col("kind") == "nonce") & root & (F.col("_first") == 1)
-    ranked = ranked.withColumn("_other", F.col("kind").isin("nonce", "code") & root & ~sender_nonce)
-    ranked = ranked.withColumn("_k", F.row_number().over(Window.partitionBy(*tx, "kind", "address", "_other").orderBy("ordinal")))
+    # dealt by transaction and sorted once: an address's changes are numbered, the earliest of all addresses is found on the same order, and so is the transaction
+    own, place = Window.partitionBy(*tx, "kind", "_root", "address").orderBy("ordinal"), F.struct("ordinal", "address")
+    ranked = changes.repartition(*tx).withColumn("_root", root).withColumn("_k", F.row_number().over(own))
+    ranked = ranked.withColumn("_earliest", F.min(F.when(F.col("_k") == 1, place)).over(Window.partitionBy(*tx, "kind", "_root")))
+    ranked = ranked.join(transactions.select(*tx, "transaction_success"), tx)
+    nonce = F.col("kind") == "nonce"
+    sender_nonce = nonce & root & (F.col("_k") == 1) & place.eqNullSafe(F.col("_earliest"))
+    other = F.col("kind").isin("nonce", "code") & root & ~sender_nonce
+    after_sender = F.when(nonce & F.col("address").eqNullSafe(F.col("_earliest.address")), 1).otherwise(0)
     accepted = authorizations.where(~F.col("discarded")).groupBy(*tx, "authority").agg(F.count("*").alias("_accepted"))
     matched = ranked.join(accepted.withColumnRenamed("authority", "address"), [*tx, "address"], "left")
-    kept = (root & paid) | sender_nonce | (F.col("_other") & (F.col("_k") <= F.coalesce("_accepted", F.lit(0))))
+    kept = (root & paid) | sender_nonce | (other & (F.col("_k") - after_sender <= F.coalesce("_accepted", F.lit(0))))
     persisted = F.when(F.col("transaction_success"), ~F.col("state_reverted")).otherwise(F.coalesce(kept, F.lit(False)))
     return matched.withColumn("persisted", persisted).select(*changes.columns, "persisted")
 

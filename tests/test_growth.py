@@ -127,3 +127,23 @@ def test_shuffles_follow_bytes(spark):
     assert int(spark.conf.get("spark.sql.adaptive.coalescePartitions.initialPartitionNum")) >= 200
     wide = spark.range(5_000_000).select(F.xxhash64("id").alias("k"), F.xxhash64(F.col("id") + 1).alias("v"))
     assert wide.groupBy("k").agg(F.max("v")).rdd.getNumPartitions() > 8  # the tests' number of shuffle partitions
+
+
+def test_persistent_changes_deal_and_sort_changes_once(spark):
+    names = "block_num long, tx_index int, call_index int, parent_index int, ordinal long, kind string, reason string, address string, state_reverted boolean"
+    rows = [(1, 0, 1, 0, 5, "nonce", None, "a", True), (1, 0, 1, 0, 3, "nonce", None, "b", True), (1, 0, 1, 0, 7, "nonce", None, "b", True), (1, 0, 1, 0, 8, "nonce", None, "b", True), (1, 0, 1, 0, 9, "nonce", None, "a", True),
+            (1, 0, 1, 0, 4, "code", None, "b", True), (1, 0, 1, 0, 6, "code", None, "b", True), (1, 0, 1, 0, 1, "balance", "GAS_BUY", "a", True), (1, 0, 2, 1, 2, "nonce", None, "a", True), (1, 1, 1, 0, 1, "nonce", None, None, False)]
+    tx = spark.createDataFrame([(1, 0, False), (1, 1, True)], "block_num long, tx_index int, transaction_success boolean")
+    auth = spark.createDataFrame([(1, 0, "b", False), (1, 0, "a", True)], "block_num long, tx_index int, authority string, discarded boolean")
+    out = outcome.persistent_changes(spark.createDataFrame(rows, names), tx, auth)
+    # the sender's is b's at 3; one more nonce and one code of b were authorized, a's authorization was discarded
+    assert {(r["tx_index"], r["kind"], r["ordinal"]) for r in out.where("persisted").collect()} == {(0, "nonce", 3), (0, "nonce", 7), (0, "code", 4), (0, "balance", 1), (1, "nonce", 1)}
+    none = tx.select("block_num", "tx_index", F.lit("a").alias("authority"), F.lit(False).alias("discarded")).limit(0)
+    many = spark.range(100).selectExpr("id AS block_num", "CAST(id % 2 AS INT) AS tx_index", "id % 3 <> 0 AS transaction_success")
+    changes = spark.createDataFrame(rows, names)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        plan = nodes(outcome.persistent_changes(changes, many, none))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert plan.count("Exchange hashpartitioning") == 2 and plan.count("Sort [") == 2  # one each of changes and transactions
