@@ -50,11 +50,21 @@ def row_before(df: DataFrame, keys: list[str], order: str, columns: list[str], n
     return seen.select(*df.columns, F.coalesce("_in", "_from").alias(name))
 
 
-def change_within(df: DataFrame, keys: list[str], order: str, seconds: str, value: str, gap: int, name: str) -> DataFrame:
-    """Change of a value from the row before, null across a gap of more than ``gap`` seconds."""
-    w = Window.partitionBy(*keys).orderBy(order)
+def change_within(df: DataFrame, keys: list[str], order: str, seconds: str, value: str, gap: int, name: str, width: int | None = None) -> DataFrame:
+    """Change of a value from the row before, null across a gap of more than ``gap`` seconds.
+
+    With ``width``, for ``seconds`` that are known and never fall along ``order``, windows stay inside ranges of so many seconds: a row also goes to the
+    ranges that begin within ``gap`` after it, as the one before their first row, and no key is a single task.
+    """
+    ranges = [] if width is None else ["_range"]
+    rows = df
+    if width is not None:
+        own, reach = F.floor(F.col(seconds) / width), F.floor((F.col(seconds) + gap) / width)
+        rows = df.select("*", F.posexplode(F.coalesce(F.sequence(own, reach), F.array(own))).alias("_copy", "_range"))
+    w = Window.partitionBy(*keys, *ranges).orderBy(order)
     near = F.lag(seconds).over(w) >= F.col(seconds) - gap
-    return df.withColumn(name, F.when(near, F.col(value) - F.lag(value).over(w)))
+    out = rows.withColumn(name, F.when(near, F.col(value) - F.lag(value).over(w)))
+    return out if width is None else out.where("_copy = 0").drop("_copy", "_range")
 
 
 def last_known(df: DataFrame, keys: list[str], order: list[str], values: dict[str, str], width: int | None = None) -> DataFrame:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from blockwright.functions.labels import FORCED, NON_TRADE, ZERO_HASH, dex, market_type
 from blockwright.functions.schema import AMOUNT
-from blockwright.operators.aggregates import change_within, checked_sum, constant_or_null, ordinal_in_block
+from blockwright.operators.aggregates import change_within, checked_sum, constant_or_null
 
 OUTCOME_LEFT_OUT = ["fill_time", "market_type", "dex", "liquidated_user", "liquidation_mark_px", "liquidation_method"]
 
@@ -45,16 +45,21 @@ def liquidations(fills: DataFrame) -> DataFrame:
 
 
 def funding_rates(deltas: DataFrame, headers: DataFrame) -> DataFrame:
-    """Deltas rolled up by event and coin, with the event's ordinal among the funding events of its block, empty ones included."""
-    ordinals = ordinal_in_block(headers.select("block_num", "event_index"), "event_index", "dex_index")
+    """Deltas rolled up by event and coin, with the event's ordinal among the funding events of its block, empty ones included.
+
+    Both sides are dealt by block once, and a block's events are one list: a coin has few deltas an event, so sums made before a shuffle would be wider than
+    the deltas and no fewer.
+    """
+    listed = headers.select("block_num", "event_index").repartition("block_num").groupBy("block_num").agg(F.sort_array(F.collect_list(F.struct("event_index"))).alias("_events"))
     size, amount = F.col("szi"), F.col("funding_amount")
     side = lambda when, x: checked_sum(F.when(when, x).otherwise(F.lit(0).cast(AMOUNT))).cast(AMOUNT)
-    rolled = deltas.groupBy("block_num", "event_index", "coin").agg(
+    rolled = deltas.repartition("block_num").groupBy("block_num", "event_index", "coin").agg(
         constant_or_null(F.col("funding_rate")).alias("funding_rate"), F.count("*").alias("positions"),
         F.count_if(size > 0).alias("long_positions"), F.count_if(size < 0).alias("short_positions"),
         checked_sum(F.abs(size)).cast(AMOUNT).alias("open_interest"), side(size > 0, size).alias("long_size"), side(size < 0, -size).alias("short_size"),
         side(amount > 0, amount).alias("positive_funding"), side(amount < 0, amount).alias("negative_funding"))
-    return rolled.join(ordinals, ["block_num", "event_index"]).withColumn("dex", dex(F.col("coin")))
+    places = F.filter(F.transform("_events", lambda x, i: F.when(x["event_index"] == F.col("event_index"), i.cast("long"))), lambda i: i.isNotNull())
+    return rolled.join(listed, "block_num").withColumn("dex_index", F.explode(places)).drop("_events").withColumn("dex", dex(F.col("coin")))
 
 
 def fills_enriched(fills: DataFrame) -> DataFrame:
@@ -78,8 +83,8 @@ def trades(fills: DataFrame) -> DataFrame:
 
 
 def funding_rates_view(rates: DataFrame) -> DataFrame:
-    """net_funding, net_position, the price the payments imply, and the change of open interest (null across a missing hour); ``ts``: epoch seconds."""
-    out = change_within(rates, ["coin"], "block_num", "ts", "open_interest", 61 * 60, "open_interest_change")
+    """net_funding, net_position, the price the payments imply, and the change of open interest (null across a missing hour); ``ts``: epoch seconds, no earlier in a later block."""
+    out = change_within(rates, ["coin"], "block_num", "ts", "open_interest", 61 * 60, "open_interest_change", width=24 * 60 * 60)
     rate, held = F.col("funding_rate").cast("double"), F.col("open_interest").cast("double")
     implied = F.when((F.col("funding_rate") != 0) & (F.col("open_interest") > 0), (F.col("positive_funding") - F.col("negative_funding")).cast("double") / (held * F.abs(rate)))
     return out.withColumns({"net_funding": F.col("positive_funding") + F.col("negative_funding"), "net_position": F.col("long_size") - F.col("short_size"), "funding_price_derived": implied})

@@ -3,7 +3,8 @@
 from pyspark.sql import functions as F
 
 from blockwright.operators import crosschecks as C
-from blockwright.operators import joins, outcome
+from blockwright.operators import aggregates, joins, outcome
+from blockwright.plans import market
 
 
 def join_rows(df):
@@ -147,3 +148,26 @@ def test_persistent_changes_deal_and_sort_changes_once(spark):
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert plan.count("Exchange hashpartitioning") == 2 and plan.count("Sort [") == 2  # one each of changes and transactions
+
+
+def test_change_within_keeps_no_key_in_one_window(spark):
+    rows = spark.sql("SELECT id % 2 AS k, id AS n, 1000 + id * 7 + CASE WHEN id % 13 > 6 THEN 40 ELSE 0 END + 300 * floor(id / 13) AS s, id * id % 101 AS v FROM range(400)")
+    rows = rows.unionByName(spark.sql("SELECT 2L AS k, id AS n, id - 5 AS s, id % 3 AS v FROM range(10)"))
+    for gap, width in ((60, 100), (60, 61), (200, 50), (0, 10)):
+        plain, ranged = (aggregates.change_within(rows, ["k"], "n", "s", "v", gap, "c", width=w) for w in (None, width))
+        assert ranged.columns == plain.columns and ranged.exceptAll(plain).count() == plain.exceptAll(ranged).count() == 0
+        assert "_range" in nodes(ranged).split("Window [")[1].split("Exchange")[1]
+
+
+def test_funding_rates_are_dealt_by_block_alone(spark):
+    deltas = spark.sql("SELECT CAST(b AS BIGINT) AS block_num, CAST(e AS BIGINT) AS event_index, c AS coin, CAST(s AS DECIMAL(38,10)) AS szi, CAST(s AS DECIMAL(38,10)) AS funding_amount, CAST(1 AS DECIMAL(38,10)) AS funding_rate "
+                       "FROM VALUES (1, 2, 'A', 1), (1, 2, 'A', -3), (1, 7, 'A', 2), (1, 7, 'B', 2), (2, 5, 'A', 1), (3, 1, 'A', 1) t(b, e, c, s)")
+    headers = spark.sql("SELECT CAST(b AS BIGINT) AS block_num, CAST(e AS BIGINT) AS event_index FROM VALUES (1, 7), (1, 2), (1, 4), (2, 5), (4, 1) t(b, e)")
+    rates = market.funding_rates(deltas, headers)
+    assert {(r["block_num"], r["event_index"], r["coin"], r["dex_index"], int(r["open_interest"])) for r in rates.collect()} == {(1, 2, "A", 0, 4), (1, 7, "A", 2, 2), (1, 7, "B", 2, 2), (2, 5, "A", 0, 1)}
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        plan = nodes(market.funding_rates(deltas, headers))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert plan.count("Exchange hashpartitioning") == 2
