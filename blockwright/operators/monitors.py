@@ -1,7 +1,7 @@
 """Data-quality monitors of an order-book chain: observations that hold in sound tables, each violation a row.
 
-Every source is read once: a row's violated rules are one array, exploded once. Groups that a rule looks at (legs of a match,
-child rows, links) are joined to the rows beforehand or come from one window. Rules are SQL over the source's columns.
+A row's violated rules are one array, exploded once. Rules that look at the row alone shuffle nothing; those that look at groups
+(legs of a match, child rows, links) meet them with the few columns that they compare. Rules are SQL over the source's columns.
 """
 
 from __future__ import annotations
@@ -27,18 +27,18 @@ FILLS = {
     "M19": "market_type IS NULL OR NOT market_type <=> _market_type OR NOT dex <=> _dex",
 }
 EVENTS = {
-    "M2": "event_time_ns <> block_time_ns",
     "M4e": f"coalesce(ledger_type, '') NOT IN ('deposit', 'withdraw') AND {_HASH}",
     "M5e": "length(hash) <> 66 OR length(user) <> 42 OR length(destination) <> 42 OR length(vault) <> 42 OR length(validator) <> 42 OR length(sub_account) <> 42 OR exists(users, u -> length(u) <> 42)",
     "M6": "event_type = 'ledger_update' AND size(users) NOT IN (1, 2)",
-    "M8i": "item_count IS NOT NULL AND item_count <> coalesce(_items, 0)",
     "M10": "event_type = 'gossip_priority_auction_restart' AND (previous_winner_ip IS NULL) <> (end_gas IS NULL)",
     "M12": "ledger_type IN ('send', 'spot_transfer') AND (fee_token IS NULL) <> (fee = 0)",
     "M13": "extra_json IS NOT NULL",
-    "M16e": "ledger_type = 'liquidation' AND _linked IS NULL",
     "M21": "NOT _table <=> table_name",
     "M23": "token RLIKE '^[+#][0-9]+$'",
 }
+# ... and of events beside what their block, their child rows and their link say.
+TIMES = {"M2": "event_time_ns <> block_time_ns"}
+ITEMS = {"M8i": "item_count <> coalesce(_items, 0)"}
 BLOCKS = {"M8f": "fill_count <> coalesce(_fills, 0)", "M8e": "event_count <> coalesce(_events, 0)", "M13": "extra_json IS NOT NULL"}
 RATES = {"M17": "funding_rate IS NULL", "M20": "abs(long_size - short_size) > open_interest * 0.000001", "M13": "extra_json IS NOT NULL"}
 
@@ -67,8 +67,8 @@ def with_match(fills: DataFrame) -> DataFrame:
 def unpaired_trades(fills: DataFrame) -> DataFrame:
     """M9: trade ids outside outcome markets that aren't two neighbouring legs, the buyer first and one crossed."""
     legs = fills.where("transaction_id <> 0 AND NOT market_type <=> 'outcome'").groupBy("block_num", "transaction_id").agg(
-        F.count("*").alias("n"), F.count_if("crossed").alias("crossed"), F.min_by("side", "fill_index").alias("first"), (F.max("fill_index") - F.min("fill_index")).alias("apart"))
-    return violations(legs, {"M9": "n <> 2 OR crossed <> 1 OR first <> 'BUY' OR apart <> 1"}, "transaction_id")
+        F.count("*").alias("n"), F.count_if("crossed").alias("crossed"), F.min_by(F.col("side") != "BUY", "fill_index").alias("first"), (F.max("fill_index") - F.min("fill_index")).alias("apart"))
+    return violations(legs, {"M9": "n <> 2 OR crossed <> 1 OR first OR apart <> 1"}, "transaction_id")
 
 
 def coins_without_rate(fills: DataFrame, rates: DataFrame, hour: int = 3600) -> DataFrame:
@@ -91,25 +91,26 @@ def monitors(tables: dict[str, DataFrame]) -> DataFrame:
 
     ``tables``: blocks, fills, events (all event tables, told apart by ``table_name``), funding_rates, and of these as many as there
     are: ``items`` (block_num, event_index of every child row of events), ``links`` (block_num, ledger_event_index), and other tables with
-    extra_json and an index, as name -> (table, index). A match of other than two legs that claims a counterparty breaks M14.
+    extra_json and an index, as name -> (table, index). A match of other than two legs that claims a counterparty breaks M14. Fills that went
+    through ``with_match`` already, say in the pass that paired them, are taken as they are.
     """
     blocks, fills, events, rates = (tables[n] for n in ("blocks", "fills", "events", "funding_rates"))
-    events = events.join(blocks.select("block_num", "block_time_ns"), "block_num", "left").withColumn("_table", event_table(F.col("event_type"), F.col("ledger_type")))
+    matched = fills if "_legs" in fills.columns else with_match(fills)
     place = ["block_num", "event_index"]
+    timed = events.select(*place, "event_time_ns").join(blocks.select("block_num", "block_time_ns"), "block_num")
+    beside = [violations(timed, TIMES, "event_index")]
     if "items" in tables:
-        events = events.join(tables["items"].groupBy(*place).agg(F.count("*").alias("_items")), place, "left")
-    else:
-        events = events.withColumn("_items", F.col("item_count"))
+        counts = tables["items"].select(*place).repartition(*place).groupBy(*place).agg(F.count("*").alias("_items"))
+        beside.append(violations(events.where("item_count IS NOT NULL").select(*place, "item_count").join(counts, place, "left"), ITEMS, "event_index"))
     if "links" in tables:
-        linked = tables["links"].select("block_num", F.col("ledger_event_index").alias("event_index"), F.lit(True).alias("_linked")).distinct()
-        events = events.join(linked, place, "left")
-    else:
-        events = events.withColumn("_linked", F.lit(True))
+        linked = tables["links"].select("block_num", F.col("ledger_event_index").alias("event_index"))
+        beside.append(violations(events.where("ledger_type = 'liquidation'").select(*place).join(linked, place, "left_anti"), {"M16e": "true"}, "event_index"))
+    routed = events.withColumn("_table", event_table(F.col("event_type"), F.col("ledger_type")))
     counted = blocks.join(fills.groupBy("block_num").agg(F.count("*").alias("_fills")), "block_num", "left").join(events.groupBy("block_num").agg(F.count("*").alias("_events")), "block_num", "left")
     funding = events.where("event_type = 'funding'").groupBy("block_num").agg(F.max("event_index").alias("last"), F.count("*").alias("n"))
     dexes = rates.groupBy("dex_index").agg(F.count_distinct("dex").alias("n"), F.min("block_num").alias("block_num"))
     parts = [
-        violations(with_match(fills), FILLS, "fill_index"), violations(events, EVENTS, "event_index"), violations(counted, BLOCKS, "block_num"), violations(rates, RATES, "coin"), unpaired_trades(fills),
+        violations(matched, FILLS, "fill_index"), violations(routed, EVENTS, "event_index"), *beside, violations(counted, BLOCKS, "block_num"), violations(rates, RATES, "coin"), unpaired_trades(fills),
         violations(funding, {"M3": "last <> n - 1"}, "n"), violations(dexes, {"M18": "n > 1"}, "dex_index"), violations(coins_without_rate(fills, rates), {"M22": "true"}, "coin"),
     ]
     parts += [violations(df, {"M13": "extra_json IS NOT NULL"}, index) for df, index in (x for x in tables.values() if isinstance(x, tuple))]

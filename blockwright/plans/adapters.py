@@ -88,6 +88,8 @@ SELECT o_orderkey AS id, CASE o_orderkey % 12 WHEN 0 THEN 'N/A' WHEN 1 THEN '-'
 FROM orders""",
 }
 
+#: name -> (table, column) that rows are dealt by before its SQL, so that windows and groups by block further on find them together without another shuffle
+_DEALT = {"legs": ("lineitem", "l_orderkey")}
 _NEEDS = {"paired": ["legs"], "fills": ["paired"]}
 
 
@@ -107,6 +109,8 @@ def adapted(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
         for t in [*TABLES, *made]:
             if re.search(rf"\bFROM {t}\b", sql):
                 used[t] = made[t] if t in made else spark.read.parquet(f"{sf_dir}/{t}.parquet")
+                if _DEALT.get(n, ("",))[0] == t:
+                    used[t] = used[t].repartition(_DEALT[n][1])
                 sql = re.sub(rf"\bFROM {t}\b", f"FROM {{{t}}}", sql)
         made[n] = spark.sql(sql, **used)
     return made[name]

@@ -10,7 +10,7 @@ from blockwright.functions import schema as S
 from blockwright.operators import aggregates as A
 from blockwright.operators import changelog as G
 from blockwright.operators import forks, joins, layout, outcome, quality
-from blockwright.operators.monitors import monitors
+from blockwright.operators.monitors import monitors, with_match
 from blockwright.plans import filings as SEC
 from blockwright.plans import market as M
 from blockwright.plans.adapters import adapted
@@ -595,11 +595,12 @@ UNION ALL SELECT block_num, event_index, 'funding', NULL, '{L.ZERO_HASH}', NULL,
 
 
 def monitored(spark, d):
-    """The tables that monitors read, stored once."""
+    """The tables that monitors read, stored once, with what they read alone; matches are looked at in the pass that pairs the fills."""
     start = 1767225600
     f = spark.sql(_ODD_FILLS.replace("FROM fills", "FROM {fills}").replace("'{}'", "'{{}}'"), fills=adapted(spark, d, "fills"))
-    f = M.with_counterparty(M.with_market(f.withColumn("direction", F.lit("")))).withColumns({"timestamp": F.timestamp_seconds("block_ts"), "fill_time": F.timestamp_seconds("filled")})
-    f = ST.stored_table(f.withColumn("market_type", F.when(F.expr("block_num % 211 = 0 AND fill_index = 0"), "spot").otherwise(F.col("market_type"))), "monitored-fills")
+    f = with_match(M.with_counterparty(M.with_market(f.withColumn("direction", F.lit(""))))).withColumns({"timestamp": F.timestamp_seconds("block_ts"), "fill_time": F.timestamp_seconds("filled")})
+    f = f.withColumn("market_type", F.when(F.expr("block_num % 211 = 0 AND fill_index = 0"), "spot").otherwise(F.col("market_type")))
+    f = ST.stored_table(f.drop("block_ts", "filled", "direction", "counterparty_direction", "counterparty_fill_index"), "monitored-fills")
     e = spark.sql(_ODD_EVENTS.replace("FROM ledger", "FROM {ledger}").replace("FROM funding_headers", "FROM {headers}"), ledger=adapted(spark, d, "ledger"), headers=adapted(spark, d, "funding_headers"))
     own = L.event_table(F.col("event_type"), F.col("ledger_type"))
     e = e.withColumns({"table_name": F.when(F.col("astray"), F.lit("transfers")).otherwise(own), "validator": F.lit(None).cast("string"), "sub_account": F.lit(None).cast("string"), "extra_json": F.expr("CASE WHEN block_num % 499 = 0 THEN 'x' END"),
@@ -608,7 +609,9 @@ def monitored(spark, d):
     b = f.groupBy("block_num").agg(F.count("*").alias("fill_count"), F.lit(0).cast("long").alias("event_count")).unionByName(e.groupBy("block_num").agg(F.lit(0).cast("long").alias("fill_count"), F.count("*").alias("event_count")))
     b = b.groupBy("block_num").agg(F.sum("fill_count").alias("fill_count"), F.sum("event_count").alias("event_count"))
     b = b.withColumns({"fill_count": F.expr("fill_count + CASE WHEN block_num % 50 = 0 THEN 1 ELSE 0 END"), "event_count": F.expr("event_count + CASE WHEN block_num % 70 = 0 THEN 1 ELSE 0 END"), "block_time_ns": (F.lit(start) + F.col("block_num") * 60) * 1_000_000_000, "extra_json": F.lit(None).cast("string")})
+    b = ST.stored_table(b, "monitored-blocks")
     r = rates(spark, d).withColumns({"coin": F.regexp_replace("coin", "C0", "BTC"), "timestamp": F.timestamp_seconds(F.lit(start) + F.col("block_num") * 60), "extra_json": F.lit(None).cast("string"), "dex": F.expr("CASE WHEN block_num % 2 = 0 THEN '' ELSE 'xyz' END")})
+    r = r.select("block_num", "coin", "dex_index", "dex", "timestamp", "funding_rate", "open_interest", "long_size", "short_size", "extra_json")
     items = adapted(spark, d, "funding_deltas")
     return {"blocks": b, "fills": f, "events": e, "funding_rates": ST.stored_table(r, "monitored-rates"), "items": items.select("block_num", "event_index"),
             "links": e.where("ledger_type = 'liquidation' AND event_index % 2 = 0").select("block_num", F.col("event_index").alias("ledger_event_index")), "funding_deltas": (items.withColumn("extra_json", F.expr("CASE WHEN block_num % 1009 = 0 THEN 'x' END")), "event_index")}

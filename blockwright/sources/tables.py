@@ -33,7 +33,7 @@ def stored_table(df: DataFrame, name: str) -> DataFrame:
     path = shared_path(df.sparkSession, name)
     if _SCOPES:
         _SCOPES[-1].append(path)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

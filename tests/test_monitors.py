@@ -86,3 +86,19 @@ def test_the_hour_before_equals_brute_force(spark):
 def test_zero_hashes_and_outcome_trades_are_no_violations(spark):
     legs = [fill(1, 0, hash=ZERO_HASH, coin="#10", market_type="outcome", dex=None, transaction_id=9, counterparty=None, crossed=False)]
     assert monitors(tables(spark, fills=legs)).count() == 0
+
+
+def test_rows_are_not_shuffled_for_rules_of_their_own(spark):
+    from blockwright.operators.monitors import with_match
+
+    given = tables(spark)
+    given["fills"] = with_match(given["fills"])
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        plan = monitors(given)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert monitors(given).count() == 0
+    assert plan.count("windowspecdefinition(block_num") > 0 and len({x for x in plan.splitlines() if "Window [" in x}) == 1  # matches once, as they were given
+    assert not [x for x in plan.splitlines() if "SortMergeJoin" in x and "LeftOuter" in x and "event_index" in x and "ledger_type" in x]
+    assert "SortAggregate" not in plan
