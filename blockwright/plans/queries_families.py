@@ -6,11 +6,13 @@ from pyspark.sql import functions as F
 
 from blockwright.operators import crosschecks as C
 from blockwright.operators import quality
+from blockwright.operators.validate import with_errors
 from blockwright.plans import market as M
 from blockwright.plans.adapters import adapted
 from blockwright.plans.queries import _FACTS, _LEGS, _RATES, _SETTLED, outcome_legs, query, rates, read
 from blockwright.plans.queries_more import _PROBLEMS
-from blockwright.plans.specs import flatten_family
+from blockwright.plans.specs import CHECKS, flatten_family
+from blockwright.sources import tables as ST
 
 #: One row a fill and event with odd values here and there, in SQL that both engines compute alike.
 _ROUGH = """SELECT block_num, fill_index,
@@ -63,7 +65,10 @@ def f5_sound(spark, d):
 
 @query("f_hypercore_funding_rates", f"WITH {_SOUND} SELECT block_num, fill_index AS event_index, (row_number() OVER (PARTITION BY block_num ORDER BY fill_index) - 1)::BIGINT AS dex_index, 'BTC' AS coin, '' AS dex, 2::BIGINT AS positions, 5.0::DOUBLE AS open_interest, (1 + amount::INT)::DOUBLE AS positive_funding FROM sound WHERE kind = 0")
 def f_funding_rates(spark, d):
-    rates = flatten_family(order_book_blocks(spark, d), "hypercore")["funding_rates"]
+    checked = with_errors(order_book_blocks(spark, d), CHECKS["hypercore"])
+    # rates come from two tables of the blocks, which are checked once and leave their fills behind
+    sound = ST.stored_table(checked.where("size(_errors) = 0").select("block_num", "events", "_errors"), "sound-events")
+    rates = flatten_family(sound, "hypercore")["funding_rates"]
     return rates.select("block_num", "event_index", F.col("dex_index").cast("long").alias("dex_index"), "coin", "dex", "positions", F.col("open_interest").cast("double").alias("open_interest"), F.col("positive_funding").cast("double").alias("positive_funding"))
 
 
