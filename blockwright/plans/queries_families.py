@@ -147,8 +147,9 @@ SELECT block_num, fill_index AS tx_index, kind, call_index::BIGINT AS call_index
 UNION ALL SELECT block_num, fill_index, 'balance', 1, 0, 'a', true FROM trade UNION ALL SELECT block_num, fill_index, 'balance', 1, 1, 'a', true FROM trade WHERE status = 'SUCCEEDED'
 UNION ALL SELECT block_num, fill_index, 'balance', 2, 0, 'a', NOT undone FROM trade WHERE status = 'SUCCEEDED'""")
 def f_evm_persisted(spark, d):
-    tables = flatten_family(trade_blocks(spark, d), "evm", only={"balance_changes", "nonce_changes", "code_changes"})
-    parts = [tables[f"{kind}_changes"].select("block_num", "tx_index", F.lit(kind).alias("kind"), "call_index", "ordinal", "address", "persisted") for kind in ("balance", "nonce", "code")]
+    blocks = trade_blocks(spark, d)
+    # each table by itself, so that it doesn't mark the changes of the others
+    parts = [flatten_family(blocks, "evm", only={f"{kind}_changes"})[f"{kind}_changes"].select("block_num", "tx_index", F.lit(kind).alias("kind"), "call_index", "ordinal", "address", "persisted") for kind in ("balance", "nonce", "code")]
     return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
 

@@ -391,12 +391,27 @@ def needed_bodies(blocks: DataFrame, tables: list[str]) -> DataFrame:
     return blocks.withColumn("filings", F.transform("filings", lambda x: x.dropFields(*spare))) if spare else blocks
 
 
+def needed_changes(blocks: DataFrame, tables: list[str]) -> DataFrame:
+    """Transactions without the lists of changes in their calls that no path of these tables goes through, so that only what the tables hold is marked."""
+    transactions = _type_at(blocks.schema, "transactions")
+    calls = _type_at(transactions.elementType, "calls") if isinstance(transactions, T.ArrayType) else None
+    if not isinstance(calls, T.ArrayType):
+        return blocks
+    used = {part.partition("@")[0].removesuffix("?") for text in tables for part in text.partition("|")[0].split()}
+    spare = [f.name for f in calls.elementType.fields if isinstance(f.dataType, T.ArrayType) and f.name.endswith("_changes") and f.name not in used]
+    if not spare or len(spare) == len(calls.elementType.fields):
+        return blocks
+    return blocks.withColumn("transactions", F.transform("transactions", lambda t: t.withField("calls", F.transform(t["calls"], lambda c: c.dropFields(*spare)))))
+
+
 def flatten_family(blocks: DataFrame, family: str, errors: str | None = None, only: set[str] | None = None) -> dict[str, DataFrame]:
     """All tables that blocks of this schema can fill, derived ones included; a family's own checks hold unless ``errors`` names others."""
     if errors is None and family in CHECKS and "_errors" not in blocks.columns:
         blocks = with_errors(blocks, CHECKS[family])
     if family == "sec" and only is not None:
         blocks = needed_bodies(blocks, [FAMILIES[family].get(name, "") for name in only])
+    if family == "evm" and only is not None and only <= set(FAMILIES[family]):
+        blocks = needed_changes(blocks, [FAMILIES[family][name] for name in only])
     blocks = PREPARED[family](blocks) if family in PREPARED else blocks
     out = flatten(blocks, family_spec(family, T.StructType([f for f in blocks.schema if f.name != "_errors"]), errors, only))
     out = DERIVED[family](out) if family in DERIVED else out

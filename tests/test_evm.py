@@ -82,3 +82,13 @@ def test_every_table_is_compacted_by_its_order_key(spark, tmp_path):
     for t, df in few.items():
         done = layout.compact_closed_dates(spark, str(tmp_path), t, f"{tmp_path}/c", days)
         assert done.agg(F.sum("rows")).first()[0] == df.count()
+
+
+def test_only_the_lists_of_asked_tables_are_marked(spark):
+    from blockwright.plans import specs
+
+    call = "struct<index:bigint,balance_changes:array<struct<ordinal:bigint>>,nonce_changes:array<struct<ordinal:bigint,address:string>>,code_changes:array<struct<ordinal:bigint,address:string>>>"
+    blocks = spark.createDataFrame([], f"block_num long, transactions array<struct<status:string,calls:array<{call}>>>")
+    kept = specs.needed_changes(blocks, [specs.FAMILIES["evm"]["nonce_changes"]]).schema["transactions"].dataType.elementType["calls"].dataType.elementType
+    assert kept.fieldNames() == ["index", "nonce_changes"]
+    assert "nonce_changes" in specs.flatten_family(blocks, "evm", only={"nonce_changes"}) and "persisted" in specs.flatten_family(blocks, "evm", only={"nonce_changes"})["nonce_changes"].columns
