@@ -7,7 +7,7 @@ are found through the hashes of the set and of all but one of its shingles, with
 
 All links come from the product of the class by n-gram incidence with its transpose, computed tile by tile: a pair of a tile is kept when
 its overlap count reaches the bound that follows from the two sizes. A part that few classes share gives its pairs of fitting sizes, dealt to tiles of
-about TILE_ROWS pairs. Classes of the other parts, by whatever chain, form blocks: small ones share a tile, large ones are cut into tiles of
+about TILE_ROWS pairs. Parts meet one slice of their hashes after another, so that disk never holds the shuffles of all. Classes of the other parts, by whatever chain, form blocks: small ones share a tile, large ones are cut into tiles of
 about TILE_ROWS classes. In a large block each tile also holds the block's first class; classes linked with it by
 their own tile need no more products with each other, and only the others (with all classes) go through the tiles off the diagonal.
 """
@@ -16,7 +16,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
-from functools import cache
+from functools import cache, reduce
 
 import numpy as np
 import pyarrow as pa
@@ -31,6 +31,7 @@ CLASS_WIDTH = 1.5
 MISS = 1e-8
 SURE = 1000
 FEW = 12
+SLICES = 4
 TILE_ROWS = 256
 LIGHT = 8
 COLUMNS = 4096
@@ -119,20 +120,33 @@ def _lists(values: list[np.ndarray], kind: type = np.int64) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum([len(x) for x in values])]).astype(np.int32)), pa.array(flat))
 
 
+def _slice(parts: np.ndarray) -> np.ndarray:
+    """The slice of each part's hash, by other bits than those that deal shuffles."""
+    return parts >> np.uint64(32) & np.uint64(SLICES - 1)
+
+
+#: Rows of _profile: the parts of each slice, and how many the class asks for, in columns of their own, so that a slice's readers skip the others.
+_SIGNED = "doc_id long, place long, n long, key long, " + ", ".join(f"parts_{k} array<long>, asks_{k} array<int>" for k in range(SLICES))
+
+
 def _profile(words: int, num: int, den: int):
-    """Rows (doc_id, place, n, key, parts, asks) of texts (doc_id, place, text)."""
+    """Rows _SIGNED of texts (doc_id, place, text)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             data, offsets = text_bytes(batch.column("text"))
             for i, j in slices(offsets, BATCH_BYTES):
-                n, key, parts, asks = [], [], [], []
+                n, key, sliced = [], [], [([], []) for _ in range(SLICES)]
                 for s in shingle_sets(data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i], words):
                     n.append(len(s))
                     key.append(set_key(s))
-                    for found, into in zip(signed_parts(s, num, den), (parts, asks), strict=True):
-                        into.append(found)
-                yield pa.RecordBatch.from_pydict({"doc_id": batch.column("doc_id").slice(i, j - i), "place": batch.column("place").slice(i, j - i), "n": pa.array(n, pa.int64()), "key": pa.array(key, pa.int64()), "parts": _lists(parts), "asks": _lists(asks, np.int32)})
+                    parts, asks = signed_parts(s, num, den)
+                    own = _slice(parts)
+                    for k, (some, few) in enumerate(sliced):
+                        some.append(parts[own == k])
+                        few.append(asks[own == k])
+                columns = {f"{name}_{k}": _lists(x, kind) for k, lists in enumerate(sliced) for name, x, kind in zip(("parts", "asks"), lists, (np.int64, np.int32), strict=True)}
+                yield pa.RecordBatch.from_pydict({"doc_id": batch.column("doc_id").slice(i, j - i), "place": batch.column("place").slice(i, j - i), "n": pa.array(n, pa.int64()), "key": pa.array(key, pa.int64()), **columns})
 
     return run
 
@@ -218,16 +232,27 @@ def _met(parts: DataFrame) -> DataFrame:
     return parts.groupBy("part").agg(F.min("key").alias("hub"), F.max("key").alias("top"), F.count("*").alias("m")).where("hub < top").select("part", "hub", "m")
 
 
-def _pruned(near: DataFrame) -> DataFrame:
-    """Written rows (part, key, n, ask) without classes that share fewer parts than they would with any partner, and the parts left with one class; hub and m added.
+def _near(signed: DataFrame, k: int) -> DataFrame:
+    """Written rows (part, ask, key, n), distinct, of the parts of slice ``k`` that several classes have."""
+    met = written(_met(signed.select(F.explode(f"parts_{k}").alias("part"), "key")).select("part"), "met")
+    # merge joins at every size: the keys grow with the documents, so no size of theirs is a bound for a broadcast
+    rows = signed.select(F.explode(F.arrays_zip(F.col(f"parts_{k}").alias("part"), F.col(f"asks_{k}").alias("ask"))).alias("x"), "key", "n").select("x.part", "x.ask", "key", "n")
+    near = written(rows.join(met.hint("merge"), "part").dropDuplicates(["part", "key"]), "near")
+    forget(met)
+    return near
+
+
+def _pruned(slices: list[DataFrame]) -> DataFrame:
+    """Written rows (part, key, n, ask) of all slices without classes that share fewer parts than they would with any partner, and the parts left with one class; hub and m added.
 
     Partners' shared parts all stay, so no link is lost; what goes is classes that share a passage or two.
     """
+    near = reduce(DataFrame.union, slices)
     enough = near.groupBy("key", "ask").agg(F.count("*").alias("c")).where("c >= ask").select("key", "ask")
     live = written(near.select("part", "key", "n", "ask").join(enough.hint("merge"), ["key", "ask"], "left_semi"), "live")
     met = written(_met(live), "met")
     out = written(live.join(met.hint("merge"), "part"), "near")
-    forget(near, live, met)
+    forget(*slices, live, met)
     return out
 
 
@@ -270,17 +295,12 @@ def jaccard_components(docs: DataFrame, words: int = 5, num: int = 80, den: int
     Nothing is capped: a block of many classes goes through tiles of bounded size.
     """
     spark, src = docs.sparkSession, with_text(docs).withColumn("place", F.xxhash64("text"))
-    signed = written(src.mapInArrow(_profile(words, num, den), "doc_id long, place long, n long, key long, parts array<long>, asks array<int>"), "signed")
+    signed = written(src.mapInArrow(_profile(words, num, den), _SIGNED), "signed")
     rows = written(signed.select("doc_id", "place", "n", "key"), "profile")
     full = rows.where("n > 0")
     classes = written(full.groupBy("key").agg(F.min("doc_id").alias("class_id"), F.min(F.struct("place", F.coalesce("doc_id", F.lit(0)).alias("id"))).alias("rep")), "classes")
-    parts = signed.select(F.explode("parts").alias("part"), "key")
-    met = written(_met(parts).select("part"), "met")
-    sweep(spark)
-    # merge joins at every size: the keys grow with the documents, so no size of theirs is a bound for a broadcast
-    rows_ = signed.select(F.explode(F.arrays_zip("parts", "asks")).alias("x"), "key", "n").select(F.col("x.parts").alias("part"), F.col("x.asks").alias("ask"), "key", "n")
-    near = written(rows_.join(met.hint("merge"), "part").dropDuplicates(["part", "key"]), "near")
-    forget(signed, met)
+    near = [_near(signed, k) for k in range(SLICES)]
+    forget(signed)
     near = _pruned(near)
     sweep(spark)
     few = near.where(F.col("m") <= FEW).select("part", "key", "n")
