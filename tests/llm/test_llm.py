@@ -330,6 +330,36 @@ def test_language_model_scores_do_not_depend_on_the_head(spark):
             assert got[k] == pytest.approx(want, rel=1e-3), head  # what a context leaves is rounded down to 16 bits
 
 
+def test_language_model_is_looked_up_in_its_shards(spark):
+    texts = [*corpus(6, 300), *["the same two words the same two words"] * 40, "", "never-seen zz words"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    learn = docs.where(lm.is_training(docs["doc_id"]))
+    want = None
+    for shards in (1, 3, 64):  # with one shard no context is spread, with 64 nearly all are
+        model, tries = lm.learn(learn, shards=shards)
+        assert tries.count() <= shards and len(model) < 1 << 16
+        found = lm.score(docs, model, tries)
+        assert "Join" not in found._jdf.queryExecution().toString()  # no row stands for a pair
+        got = {r["doc_id"]: (r["n_tokens"], r["n_known"], r["base_score"], r["score"]) for r in found.collect()}
+        want = want or got
+        assert got.keys() == want.keys() == {*range(len(texts))}
+        for k, x in got.items():
+            assert x == pytest.approx(want[k], rel=1e-9), (shards, k)
+
+
+def test_language_model_asks_grow_as_the_texts():
+    r = np.random.default_rng(3)
+    for n, few in ((0, 5), (1, 5), (5000, 5), (5000, 70_000)):
+        context, word, owner = np.sort(r.integers(0, 50, n).astype(np.uint64)), r.integers(0, 9, n).astype(np.uint64), r.integers(0, few, n)
+        order = np.lexsort((word, context))
+        word = word[order]
+        raw = lm._ask(context, word, owner)
+        c, of, w, pair, texts = lm._read_ask(raw)
+        assert (c[of][pair] == context).all() and (w[pair] == word).all() and (texts == owner).all()
+        assert len(c) == len(np.unique(context)) and len(w) == len(np.unique(context * 9 + word))  # each once a slice
+        assert len(raw) <= 18 + 16 * len(w) + len(w) // 8 + n // 8 + 4 * n + 2
+
+
 def test_language_model_on_odd_rows(odd, none):
     model, counts = lm.train(odd)
     got = lm.score(odd, model, counts).collect()
