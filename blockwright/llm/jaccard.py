@@ -7,9 +7,10 @@ are found through the hashes of the set and of all but one of its shingles, with
 
 All links come from the product of the class by n-gram incidence with its transpose, computed tile by tile: a pair of a tile is kept when
 its overlap count reaches the bound that follows from the two sizes. A part that few classes share gives its pairs of fitting sizes, dealt to tiles of
-about TILE_ROWS pairs. Parts meet one slice of their hashes after another, so that disk never holds the shuffles of all. Classes of the other parts, by whatever chain, form blocks: small ones share a tile, large ones are cut into tiles of
-about TILE_ROWS classes. In a large block each tile also holds the block's first class; classes linked with it by
-their own tile need no more products with each other, and only the others (with all classes) go through the tiles off the diagonal.
+about TILE_ROWS pairs. Parts meet one slice of their hashes after another, so that disk never holds the shuffles of all. Classes of the other parts, by whatever chain, form blocks; small ones share a tile.
+Passages that many texts share chain blocks that grow faster than the input, so the classes of large blocks meet again by the rarest of their n-grams, of which linked sets share one for certain; that gives pairs and blocks as
+the parts did. What is still a large block is cut into tiles of about TILE_ROWS classes. Each tile also holds the block's first class; classes linked with it by
+their own tile need no more products with each other, and only the others (with all classes) go through the tiles off the diagonal, in rounds that send no more sets than there are.
 """
 
 from __future__ import annotations
@@ -34,6 +35,7 @@ FEW = 12
 SLICES = 4
 TILE_ROWS = 256
 LIGHT = 8
+ROUND_SETS = 1 << 14
 COLUMNS = 4096
 BATCH_BYTES = 4 << 20
 
@@ -256,6 +258,46 @@ def _pruned(slices: list[DataFrame]) -> DataFrame:
     return out
 
 
+def _candidates(near: DataFrame, num: int, den: int) -> tuple[DataFrame, DataFrame]:
+    """Written pairs (u, v) of fitting sizes that share a part of up to FEW rows, and written blocks (node, component) of the classes of wider parts. ``near``: written rows (part, key, n, hub, m)."""
+    few = near.where(F.col("m") <= FEW).select("part", "key", "n")
+    other = few.select("part", F.col("key").alias("v"), F.col("n").alias("y"))
+    fits = (F.col("key") < F.col("v")) & (den * F.least("n", "y") >= num * F.greatest("n", "y"))
+    pairs = written(few.join(other.hint("merge"), "part").where(fits).select(F.col("key").alias("u"), "v").distinct(), "pairs")
+    return pairs, written(components(near.where((F.col("m") > FEW) & (F.col("key") > F.col("hub"))).select(F.col("key").alias("u"), F.col("hub").alias("v"))), "blocks")
+
+
+def rarest_met(sets: DataFrame, num: int, den: int) -> DataFrame:
+    """Written rows (part, key, n, hub, m) as ``_pruned`` gives, the parts being n-grams, of the sets (key, s) that can have a link with each other.
+
+    Of two linked sets each has at most ``n * (den - num) // den`` n-grams that the other lacks. So in one order of all n-grams, they share one of the first of each, that many and one more. The order
+    is by the number of sets that hold the n-gram, then by hash: a passage of many sets comes last. N-grams of one set alone come first and meet nothing.
+    """
+    grams = sets.select("key", F.size("s").cast("long").alias("n"), F.explode("s").alias("part"))
+    shared = written(grams.groupBy("part").agg(F.count("*").alias("df")).where("df > 1"), "grams")
+    held = grams.join(shared.hint("merge"), "part").groupBy("key", "n").agg(F.sort_array(F.collect_list(F.struct("df", "part"))).alias("x"))
+    first = held.select("key", "n", F.explode(F.slice("x", F.lit(1), F.greatest(F.expr(f"n * {den - num} div {den} + 1 - (n - size(x))"), F.lit(0)).cast("int"))).alias("x"))
+    rows = written(first.select("x.part", "key", "n"), "rarest")
+    met = written(_met(rows), "met")
+    out = written(rows.join(met.hint("merge"), "part"), "near")
+    forget(shared, rows, met)
+    return out
+
+
+def _thinned(pairs: DataFrame, blocks: DataFrame, sets: DataFrame, num: int, den: int, tile: int = TILE_ROWS) -> tuple[DataFrame, DataFrame]:
+    """``pairs`` and ``blocks`` (both written, and gone if replaced) with the classes of blocks of more than ``tile`` met by their rarest n-grams instead."""
+    large = written(blocks.groupBy("component").agg(F.count("*").alias("m")).where(F.col("m") > tile).select("component"), "large")
+    if large.isEmpty():
+        return pairs, blocks
+    wide = written(sets.join(blocks.join(large.hint("merge"), "component", "left_semi").select(F.col("node").alias("key")).hint("merge"), "key", "left_semi"), "wide")
+    near = rarest_met(wide, num, den)
+    more, dense = _candidates(near, num, den)
+    both = written(pairs.union(more).distinct(), "pairs")
+    rest = written(blocks.join(large.hint("merge"), "component", "left_anti").select("node", "component").union(dense.select("node", "component")), "blocks")
+    forget(pairs, blocks, large, wide, near, more, dense)
+    return both, rest
+
+
 def pair_links(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
     """Links (u, v) among written candidate pairs (u, v): all pairs of one u in one tile, which has each class once."""
     tiles = max(1, pairs.count() // TILE_ROWS)
@@ -264,8 +306,8 @@ def pair_links(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFra
     return _products(rows.select("t", none.alias("i"), none.alias("j"), "key", F.lit(2).alias("side")), sets, num, den)
 
 
-def block_links(blocks: DataFrame, sets: DataFrame, num: int, den: int, tile: int = TILE_ROWS) -> DataFrame:
-    """Links (u, v) between the classes of each block, enough to connect all that linked pairs connect.
+def block_links(blocks: DataFrame, sets: DataFrame, num: int, den: int, tile: int = TILE_ROWS, most: int = ROUND_SETS) -> DataFrame:
+    """Links (u, v) between the classes of each block, enough to connect all that linked pairs connect. ``most``: so many sets a round may send, however few there are.
 
     ``blocks``: written rows (node, component), component being the block's smallest node; ``sets``: written rows (key, s).
     """
@@ -282,7 +324,13 @@ def block_links(blocks: DataFrame, sets: DataFrame, num: int, den: int, tile: in
     rest = written(apart.groupBy("component").agg(F.ceil(F.count("*") / tile).alias("h")), "rest")
     rows = apart.join(rest, "component").select("component", _dealt("node", "h").alias("i"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("g") - 1)).alias("j"), F.col("node").alias("key"), F.lit(0).alias("side"))
     columns = many.join(rest, "component").select("component", F.explode(F.sequence(F.lit(0).cast("long"), F.col("h") - 1)).alias("i"), _dealt("node", "g").alias("j"), F.col("node").alias("key"), F.lit(1).alias("side"))
-    return links.union(_products(rows.union(columns).withColumnRenamed("component", "t"), sets, num, den))
+    tiles = rows.union(columns).withColumnRenamed("component", "t")
+    # a block of m classes sends m / tile copies of each: one round after another, so that disk holds about one copy
+    sent = (apart.agg(F.sum("g")).first()[0] or 0) + (many.join(rest, "component").agg(F.sum("h")).first()[0] or 0)
+    rounds = max(1, -(-sent // max(most, sets.count())))
+    for k in range(rounds):
+        links = links.union(written(_products(tiles.where(F.pmod(F.xxhash64("t", "i", "j"), F.lit(rounds)) == k), sets, num, den), "links"))
+    return links
 
 
 def jaccard_components(docs: DataFrame, words: int = 5, num: int = 80, den: int = 100) -> DataFrame:
@@ -303,11 +351,7 @@ def jaccard_components(docs: DataFrame, words: int = 5, num: int = 80, den: int
     forget(signed)
     near = _pruned(near)
     sweep(spark)
-    few = near.where(F.col("m") <= FEW).select("part", "key", "n")
-    other = few.select("part", F.col("key").alias("v"), F.col("n").alias("y"))
-    fits = (F.col("key") < F.col("v")) & (den * F.least("n", "y") >= num * F.greatest("n", "y"))
-    pairs = written(few.join(other.hint("merge"), "part").where(fits).select(F.col("key").alias("u"), "v").distinct(), "pairs")
-    blocks = written(components(near.where((F.col("m") > FEW) & (F.col("key") > F.col("hub"))).select(F.col("key").alias("u"), F.col("hub").alias("v"))), "blocks")
+    pairs, blocks = _candidates(near, num, den)
     forget(near)
     sweep(spark)
     needed = pairs.select(F.col("u").alias("node")).union(pairs.select("v")).union(blocks.select("node")).distinct()
@@ -316,6 +360,7 @@ def jaccard_components(docs: DataFrame, words: int = 5, num: int = 80, den: int
     # rows repeated whole go here, where they lie together already; a class's other rows aren't its representative
     sets = written(texts.dropDuplicates(["place", "_id"]).select("text").mapInArrow(_sets(words), "key long, s array<long>"), "sets")
     sweep(spark)
+    pairs, blocks = _thinned(pairs, blocks, sets, num, den)
     joined = written(components(pair_links(pairs, sets, num, den).union(block_links(blocks, sets, num, den))), "joined")
     sweep(spark)
     named = classes.select("key", "class_id").join(joined.hint("merge"), F.col("key") == F.col("node"), "left").select("key", "class_id", "component")
