@@ -77,24 +77,28 @@ def persistent_changes(changes: DataFrame, transactions: DataFrame, authorizatio
 KEPT_REASONS = ["GAS_BUY", "GAS_REFUND", "REWARD_TRANSACTION_FEE", "INCREASE_MINT"]
 
 
+def once(value: Column, then) -> Column:
+    """``then(value)`` with the value computed once, however often ``then`` looks at it: inside a list's function Spark computes an expression anew at each place and for each element."""
+    return F.get(F.transform(F.array(value), then), 0)
+
+
 def kept_in_order(changes: Column, authorities: Column, sender: bool) -> Column:
     """Changes of a failed transaction's root call that stay: with ``sender`` the earliest of all, then for each address as many of the earliest
     others as accepted authorizations name it. Earliest by ordinal, then by place; what stays keeps its place."""
     order = F.array_sort(F.transform(changes, lambda c, i: F.struct(c["ordinal"].alias("o"), i.alias("i"), c["address"].alias("a"))))
-    rest = F.slice(order, 2, F.greatest(F.size(order) - 1, F.lit(0))) if sender else order
-    # bound once in a list of one, as the lists below look at it for every change
-    held = F.array(F.struct(order.alias("order"), rest.alias("rest")))
 
     def places(x: Column) -> Column:
-        def stays(c: Column, k: Column) -> Column:
-            before = F.size(F.filter(F.slice(x["rest"], F.lit(1), k), lambda y: y["a"] == c["a"]))
-            return before < F.size(F.filter(authorities, lambda t: t == c["a"]))
+        rest = F.slice(x["order"], F.lit(2), F.greatest(F.size(x["order"]) - 1, F.lit(0))) if sender else x["order"]
+
+        def of(a: Column) -> Column:
+            own = F.transform(F.filter(rest, lambda y: y["a"] == a), lambda y: y["i"])
+            return F.slice(own, F.lit(1), F.size(F.filter(x["named"], lambda t: t == a)))
 
-        more = F.transform(F.filter(x["rest"], stays), lambda y: y["i"])
+        more = F.flatten(F.transform(F.array_distinct(x["named"]), of))
         return F.concat(F.transform(F.slice(x["order"], 1, 1), lambda y: y["i"]), more) if sender else more
 
-    kept = F.get(F.transform(held, places), 0)
-    return F.filter(changes, lambda c, i: F.array_contains(kept, i))
+    held = F.struct(order.alias("order"), authorities.alias("named"))
+    return once(held, lambda x: once(places(x), lambda kept: F.filter(changes, lambda c, i: F.array_contains(kept, i))))
 
 
 def with_persisted_changes(transaction: Column, kind: T.StructType) -> Column:

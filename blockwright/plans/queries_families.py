@@ -11,7 +11,7 @@ from blockwright.plans import market as M
 from blockwright.plans.adapters import adapted
 from blockwright.plans.queries import _FACTS, _LEGS, _RATES, _SETTLED, outcome_legs, query, rates, read
 from blockwright.plans.queries_more import _PROBLEMS
-from blockwright.plans.specs import CHECKS, flatten_family
+from blockwright.plans.specs import CHECKS, evm_changes, flatten_family
 from blockwright.sources import tables as ST
 
 #: One row a fill and event with odd values here and there, in SQL that both engines compute alike.
@@ -147,10 +147,7 @@ SELECT block_num, fill_index AS tx_index, kind, call_index::BIGINT AS call_index
 UNION ALL SELECT block_num, fill_index, 'balance', 1, 0, 'a', true FROM trade UNION ALL SELECT block_num, fill_index, 'balance', 1, 1, 'a', true FROM trade WHERE status = 'SUCCEEDED'
 UNION ALL SELECT block_num, fill_index, 'balance', 2, 0, 'a', NOT undone FROM trade WHERE status = 'SUCCEEDED'""")
 def f_evm_persisted(spark, d):
-    blocks = trade_blocks(spark, d)
-    # each table by itself, so that it doesn't mark the changes of the others
-    parts = [flatten_family(blocks, "evm", only={f"{kind}_changes"})[f"{kind}_changes"].select("block_num", "tx_index", F.lit(kind).alias("kind"), "call_index", "ordinal", "address", "persisted") for kind in ("balance", "nonce", "code")]
-    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+    return evm_changes(trade_blocks(spark, d), ["balance", "nonce", "code"]).select("block_num", "tx_index", "kind", "call_index", "ordinal", "address", "persisted")
 
 
 @query("f_evm_system_balance_changes", f"WITH trade AS ({_TRADES}) SELECT DISTINCT block_num, NULL::BIGINT AS call_index, 'r' AS address, block_num % 5 AS ordinal FROM trade UNION ALL SELECT DISTINCT block_num, 9, 's', block_num % 7 FROM trade")

@@ -17,7 +17,7 @@ from pyspark.sql import types as T
 
 from blockwright.functions.labels import BODY_TABLES, DIRECTIONS, LEDGER_TABLES, LEVERAGE_TYPES, SIDES, event_table
 from blockwright.functions.schema import AMOUNT, IDENTITY
-from blockwright.operators.flatten import FlattenSpec, Level, TableSpec, cases, flatten, routed, union_by_name
+from blockwright.operators.flatten import FlattenSpec, Level, TableSpec, cases, flatten, flatten_table, routed, union_by_name
 from blockwright.operators.outcome import with_persisted_changes
 from blockwright.operators.validate import Checks, with_errors
 from blockwright.plans.market import funding_rates, liquidations, outcome_fills, with_counterparty, with_market
@@ -404,6 +404,21 @@ def needed_changes(blocks: DataFrame, tables: list[str]) -> DataFrame:
     return blocks.withColumn("transactions", F.transform("transactions", lambda t: t.withField("calls", F.transform(t["calls"], lambda c: c.dropFields(*spare)))))
 
 
+def evm_changes(blocks: DataFrame, kinds: list[str]) -> DataFrame:
+    """Rows (tx_index, kind, call_index, change_position, ordinal, address, state_reverted, persisted, and the block's identity) of the tables ``X_changes`` of several kinds X, from one pass over the blocks."""
+    names = [f"{kind}_changes" for kind in kinds]
+    blocks = evm_blocks(needed_changes(blocks, [FAMILIES["evm"][name] for name in names]))
+    calls = TableSpec("changes", (Level("transactions", "tx_index"), Level("calls", "call_position")), {"call_index": "e1.index", "state_reverted": "e1.state_reverted", "persisted": "e1.persisted", **{name: f"e1.{name}" for name in names}})
+    rows = flatten_table(blocks, calls)
+
+    def tagged(kind: str) -> Column:
+        one = lambda c, i: F.struct(F.lit(kind).alias("kind"), i.cast("long").alias("change_position"), c["ordinal"].alias("ordinal"), c["address"].alias("address"))
+        return F.coalesce(F.transform(f"{kind}_changes", one), F.array())
+
+    own = [c for c in rows.columns if c not in (*names, "call_position")]
+    return rows.select(*own, F.explode(F.concat(*map(tagged, kinds))).alias("x")).select(*own, "x.*")
+
+
 def flatten_family(blocks: DataFrame, family: str, errors: str | None = None, only: set[str] | None = None) -> dict[str, DataFrame]:
     """All tables that blocks of this schema can fill, derived ones included; a family's own checks hold unless ``errors`` names others."""
     if errors is None and family in CHECKS and "_errors" not in blocks.columns:

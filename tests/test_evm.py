@@ -92,3 +92,20 @@ def test_only_the_lists_of_asked_tables_are_marked(spark):
     kept = specs.needed_changes(blocks, [specs.FAMILIES["evm"]["nonce_changes"]]).schema["transactions"].dataType.elementType["calls"].dataType.elementType
     assert kept.fieldNames() == ["index", "nonce_changes"]
     assert "nonce_changes" in specs.flatten_family(blocks, "evm", only={"nonce_changes"}) and "persisted" in specs.flatten_family(blocks, "evm", only={"nonce_changes"})["nonce_changes"].columns
+
+
+@pytest.mark.parametrize("seed", [5, 6])
+def test_changes_of_several_kinds_from_one_pass(spark, seed):
+    from blockwright.plans.specs import evm_changes
+
+    df, kinds, columns = spark.createDataFrame(blocks(seed), SHAPE), ["balance", "nonce", "code", "storage"], ["block_num", "tx_index", "call_index", "change_position", "ordinal", "address", "state_reverted", "persisted"]
+    out = flatten_family(df, "evm")
+    want = [(k, *r) for k in kinds for r in out[f"{k}_changes"].select(*columns).collect()]
+    assert sorted(map(str, (tuple(r) for r in evm_changes(df, kinds).select("kind", *columns).collect()))) == sorted(map(str, want))
+
+
+def test_what_stays_is_computed_once_a_list(spark):
+    from blockwright.operators.outcome import kept_in_order
+
+    shown = str(kept_in_order(F.col("changes"), F.filter("named", lambda x: F.length(x) > 0), sender=True))
+    assert shown.count("array_sort") == 1 and shown.count("length") == 1
